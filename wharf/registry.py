@@ -32,6 +32,7 @@ from wharf.plans import serving as S
 from wharf.plans import star
 from wharf.sources import conform as C
 from wharf.sources.tables import Tables
+from wharf.session import scratch_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -843,3 +844,240 @@ def _append(docs: DataFrame, record: dict) -> DataFrame:
         T.StructField("n_chars", T.LongType(), True),
     ])
     return append_record(docs, record, schema)
+
+
+# ============================================================ sources, sinks, jobs
+#
+# These entries write the driver tables to the shared scratch folder (below
+# ``spark.checkpoint.dir``) with one operator and read them back with another;
+# the oracle is the source table itself, so a pass means the round trip is
+# lossless. Every call uses a fresh folder.
+
+
+def _parts(spark: SparkSession) -> int:
+    """Output file / bucket count: follows the session's shuffle parallelism."""
+    return max(4, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
+
+
+_NTZ_FMT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
+@register("csv_quoted_roundtrip", "SELECT * FROM part")
+def csv_quoted_roundtrip(spark, sf_dir):
+    """SNK-5 (all fields quoted, header) → SRC-11 (folder read, header skipped)."""
+    from wharf.sinks.writers import quoted_csv
+    part = _t(spark, sf_dir).part
+    path = scratch_path(spark, "part_csv")
+    quoted_csv(part, path)
+    return spark.read.option("header", True).schema(part.schema).csv(path)
+
+
+@register("json_table_roundtrip", """
+SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality AS consent, l.toxic
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+WHERE l.quality IS NOT NULL
+""")
+def json_table_roundtrip(spark, sf_dir):
+    """PL-3 published: DQ-7 rule + metrics, SNK-4 JSON table sink, SRC-9 catalog read."""
+    from wharf.sources.files import read_catalog
+    trusted = L.customer_trusted(_landing(_t(spark, sf_dir)), consent_col="consent")
+    table = _table_name("customer_trusted")
+    L.publish(trusted, table, scratch_path(spark, table), mode="append")
+    return read_catalog(spark, None, table)
+
+
+@register("json_recursive_read", "SELECT * FROM events")
+def json_recursive_read(spark, sf_dir):
+    """SRC-8: inferred JSON lines from nested folders (``recurse=True``)."""
+    from wharf.sources.files import read_json_recursive
+    ev = _t(spark, sf_dir).events
+    base = scratch_path(spark, "events_json")
+    split = F.col("event_type").isin("click", "view")
+    for cond, sub in ((split, "a/b"), (~split, "c")):
+        (ev.filter(cond).write.mode("overwrite").option("timestampNTZFormat", _NTZ_FMT)
+         .json(f"{base}/{sub}"))
+    got = read_json_recursive(spark, base)
+    return got.select(
+        "event_id", F.to_timestamp_ntz(F.col("ts"), F.lit(_NTZ_FMT)).alias("ts"), "user_id",
+        "event_type", "value", "props",
+    )
+
+
+# The positional JSON paths of the event staging load.
+EVENT_JSONPATHS = [
+    ("event_id", "$.eventId", "bigint"),
+    ("ts", "$.eventTime", "timestamp_ntz"),
+    ("user_id", "$.userId", "bigint"),
+    ("event_type", "$.eventType", "string"),
+    ("value", "$.value", "double"),
+    ("props", "$.props", "string"),
+]
+
+
+@register("jsonpaths_stage", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def jsonpaths_stage(spark, sf_dir):
+    """SRC-3 staging load from a date prefix (SRC-4) with a JSON path list (SRC-2)."""
+    import datetime as dt
+
+    from wharf.sources.files import dated_prefix, stage
+    ev = _t(spark, sf_dir).events
+    base = scratch_path(spark, "log_data")
+    run_date = dt.date(2024, 1, 31)
+    camel = ev.select(
+        F.col("event_id").alias("eventId"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("eventTime"),
+        F.col("user_id").alias("userId"), F.col("event_type").alias("eventType"),
+        "value", "props",
+    )
+    camel.write.mode("overwrite").json(dated_prefix(base, run_date))
+    return stage(spark, base, scratch_path(spark, "staging_events"),
+                 json_paths=EVENT_JSONPATHS, run_date=run_date)
+
+
+@register("gzip_split_roundtrip", "SELECT * FROM lineitem")
+def gzip_split_roundtrip(spark, sf_dir):
+    """SRC-5: ``;``-separated gzip parts read by name prefix, one task per file."""
+    from wharf.sources.files import read_delimited
+    li = _t(spark, sf_dir).lineitem
+    path = scratch_path(spark, "lineitem_gz")
+    (li.repartition(_parts(spark)).write.mode("overwrite").option("sep", ";")
+     .option("compression", "gzip").option("timestampNTZFormat", _NTZ_FMT).csv(path))
+    return (spark.read.option("sep", ";").option("timestampNTZFormat", _NTZ_FMT)
+            .schema(li.schema).csv(f"{path}/part*"))
+
+
+@register("pipe_load_tables", "SELECT * FROM part")
+def pipe_load_tables(spark, sf_dir):
+    """SRC-7 ``loadTables``: pipe rows with a trailing ``|``, gzip, into a catalog table."""
+    from wharf.sources.files import load_tables
+    part = _t(spark, sf_dir).part
+    path = scratch_path(spark, "part_pipe")
+    line = F.concat(F.concat_ws("|", *[F.col(c).cast("string") for c in part.columns]), F.lit("|"))
+    part.select(line.alias("value")).write.mode("overwrite").option("compression", "gzip").text(path)
+    table = _table_name("ssb_part")
+    load_tables(spark, {table: (path, part.schema)}, sep="|")
+    return spark.table(table)
+
+
+@register("csv_cleanup", _with(_SE) + """
+SELECT artist, firstName, gender, CAST(itemInSession AS INTEGER) AS itemInSession, lastName,
+       CAST(length AS FLOAT) AS length, level, location, CAST(sessionId AS INTEGER) AS sessionId,
+       song, CAST(userId AS INTEGER) AS userId
+FROM staging_events
+WHERE artist IS NOT NULL AND artist <> ''
+""")
+def csv_cleanup(spark, sf_dir):
+    """PL-8: CSV folder (SRC-11) → FLT-10 + PRJ-6 → quoted CSV (SNK-5) → FN-11 casts."""
+    staged = C.staging_events(_t(spark, sf_dir))
+    raw_dir = scratch_path(spark, "event_data")
+    (staged.select(*[F.col(c).cast("string") for c in staged.columns])
+     .write.mode("overwrite").option("header", True).csv(raw_dir))
+    from wharf.sources.files import read_csv_dir
+    raw = read_csv_dir(spark, raw_dir, columns=staged.columns)
+    clean_dir = scratch_path(spark, "event_datafile_new")
+    S.write_clean_csv(raw, clean_dir)
+    clean = read_csv_dir(spark, clean_dir, columns=list(S.CLEAN_COLUMNS))
+    return S.typed_events(clean)
+
+
+@register("union_files", "SELECT * FROM events")
+def union_files(spark, sf_dir):
+    """SET-1: UNION ALL of same-schema files — one folder read over every split."""
+    ev = _t(spark, sf_dir).events
+    path = scratch_path(spark, "events_by_type")
+    ev.write.mode("overwrite").partitionBy("event_type").parquet(path)
+    return spark.read.parquet(path).select(*ev.columns)
+
+
+@register("bucketed_join", """
+SELECT o_orderkey, o_orderstatus, COUNT(*) AS n_lines, SUM(l_quantity) AS total_qty
+FROM orders JOIN lineitem ON o_orderkey = l_orderkey
+GROUP BY o_orderkey, o_orderstatus
+""")
+def bucketed_join(spark, sf_dir):
+    """SNK-7: both sides bucketed on the join key → join and aggregate without Exchange."""
+    from wharf.sinks.writers import save_bucketed
+    t = _t(spark, sf_dir)
+    n = _parts(spark)
+    li_t, o_t = _table_name("lineitem_b"), _table_name("orders_b")
+    save_bucketed(t.lineitem.select("l_orderkey", "l_quantity"), li_t, ["l_orderkey"], n,
+                  sort_by=["l_orderkey"], path=scratch_path(spark, li_t))
+    save_bucketed(t.orders.select("o_orderkey", "o_orderstatus"), o_t, ["o_orderkey"], n,
+                  sort_by=["o_orderkey"], path=scratch_path(spark, o_t))
+    li, o = spark.table(li_t), spark.table(o_t)
+    return (o.join(li, o["o_orderkey"] == li["l_orderkey"])
+            .groupBy("o_orderkey", "o_orderstatus")
+            .agg(F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").alias("total_qty")))
+
+
+@register("serving_bucketed_lookup", _with(_CONV_DEDUP) + f"""
+SELECT role, text FROM conv WHERE conv_id = {LOOKUP_SESSION} AND turn = {LOOKUP_ITEM}
+""")
+def serving_bucketed_lookup(spark, sf_dir):
+    """PL-9 stored: SNK-7 bucketed on the partition key + FLT-12 lookup (bucket pruning)."""
+    table = _table_name("songs_by_session")
+    S.save_serving_table(_songs_by_session(spark, sf_dir), table, ["conv_id"], ["turn"],
+                         _parts(spark), path=scratch_path(spark, table))
+    return S.lookup(spark.table(table), {"conv_id": LOOKUP_SESSION, "turn": LOOKUP_ITEM},
+                    ["role", "text"])
+
+
+@register("file_listing")
+def file_listing(spark, sf_dir):
+    """SRC-13: ``(path, length)`` of the files of a written dataset (rows-only check)."""
+    from wharf.sources.files import list_files
+    path = scratch_path(spark, "lineitem_files")
+    _t(spark, sf_dir).lineitem.write.mode("overwrite").parquet(path)
+    return list_files(spark, path, glob="*.parquet")
+
+
+# The split point of the incremental runs: files before it arrive first.
+INCREMENTAL_SPLIT = "2024-01-16 00:00:00"
+
+
+@register("incremental_append", "SELECT * FROM events")
+def incremental_append(spark, sf_dir):
+    """STR-1: bookmark-style runs — new files only; a rerun with no new files adds 0."""
+    from wharf.streaming.incremental import run_incremental
+    ev = _t(spark, sf_dir).events
+    landing, sink = scratch_path(spark, "landing"), scratch_path(spark, "trusted")
+    ckpt = scratch_path(spark, "bookmark")
+    early = F.col("ts") < F.lit(INCREMENTAL_SPLIT).cast("timestamp_ntz")
+    ev.filter(early).write.mode("append").parquet(landing)
+    run_incremental(spark, landing, ev.schema, sink, ckpt)
+    run_incremental(spark, landing, ev.schema, sink, ckpt)  # nothing new: adds 0
+    ev.filter(~early).write.mode("append").parquet(landing)
+    run_incremental(spark, landing, ev.schema, sink, ckpt)
+    return spark.read.schema(ev.schema).parquet(sink)
+
+
+@register("incremental_keyed_replay", "SELECT * FROM events")
+def incremental_keyed_replay(spark, sf_dir):
+    """STR-2: micro-batches appended with a key anti-join; a replay adds nothing."""
+    from wharf.streaming.incremental import run_keyed_append
+    ev = _t(spark, sf_dir).events
+    landing, target = scratch_path(spark, "landing"), scratch_path(spark, "fact")
+    ev.write.mode("append").parquet(landing)
+    run_keyed_append(spark, landing, ev.schema, target, "event_id", scratch_path(spark, "ck"))
+    # A lost checkpoint replays every file; the key anti-join keeps the target whole.
+    run_keyed_append(spark, landing, ev.schema, target, "event_id", scratch_path(spark, "ck"))
+    return spark.read.parquet(target).select(*ev.columns)
+
+
+@register("star_v2_job", _with(_SE, _SS, _songplays_v2_sql()) + "SELECT * FROM songplays")
+def star_v2_job(spark, sf_dir):
+    """PL-2 end to end: stage ×2 → fact → 4 dims → DQ-6 checks; the fact read back."""
+    t = _t(spark, sf_dir)
+    out = scratch_path(spark, "star_v2")
+    paths = star.run_v2(C.staging_events(t), C.staging_songs(t), out, play_page=PLAY_PAGE)
+    # A rerun of the same hour appends nothing (T-11).
+    from wharf.sinks.writers import append_new
+    append_new(star.songplays_v2(spark.read.parquet(paths["staging_events"]),
+                                 spark.read.parquet(paths["staging_songs"]), PLAY_PAGE),
+               paths["songplays"], key="songplay_id")
+    return spark.read.parquet(paths["songplays"])
+
+
+def _table_name(prefix: str) -> str:
+    import uuid
+    return f"{prefix}_{uuid.uuid4().hex[:10]}"
