@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from wharf.operators.joins import existence_join, join_keys, right_join_distinct
+from wharf.operators.joins import existence_join, right_join_distinct
 from wharf.operators.quality import column_count_rule, observed
 from wharf.sinks.writers import save_json_table
 
@@ -29,16 +29,17 @@ def accelerometer_trusted(readings: DataFrame, customers: DataFrame,
                           keep: Sequence[str] = ("user", "timestamp", "x", "y", "z")) -> DataFrame:
     """PL-4: readings of known customers, reading columns only (JN-4, PRJ-3).
 
-    An inner join on differently named keys: a customer listed twice doubles
-    its readings, as in the reference. ``keep`` is resolved against the
-    reading side, so a column named ``user`` is never mistaken for
-    ``current_user()`` (T-5).
+    An inner join on differently named keys (both kept until the select): a
+    customer listed twice doubles its readings, as in the reference. ``keep``
+    is resolved against the reading side, so a column named ``user`` is never
+    mistaken for ``current_user()`` (T-5).
     """
     missing = [c for c in keep if c not in readings.columns]
     if missing:
         raise ValueError(f"columns not in readings: {missing}")
-    joined = join_keys(readings, customers, [reading_user], [customer_key])
-    return joined.select(*[readings[c] for c in keep])
+    r, c = readings.alias("act"), customers.alias("cus")
+    joined = r.join(c, F.col(f"act.{reading_user}") == F.col(f"cus.{customer_key}"))
+    return joined.select(*[F.col(f"act.{k}") for k in keep])
 
 
 def customer_curated(customers: DataFrame, readings: DataFrame, customer_key: str = "email",
@@ -63,8 +64,10 @@ def machine_learning_curated(steps: DataFrame, readings: DataFrame,
                                                          "distanceFromObject"),
                              reading_cols: Sequence[str] = ("x", "y", "z")) -> DataFrame:
     """PL-7: steps left-joined to readings on equal time, no DISTINCT (JN-7, T-14)."""
-    joined = steps.join(readings, steps[step_time] == readings[reading_time], "left")
-    return joined.select(*[steps[c] for c in step_cols], *[readings[c] for c in reading_cols])
+    s, r = steps.alias("stt"), readings.alias("act")
+    joined = s.join(r, F.col(f"stt.{step_time}") == F.col(f"act.{reading_time}"), "left")
+    return joined.select(*[F.col(f"stt.{c}") for c in step_cols],
+                         *[F.col(f"act.{c}") for c in reading_cols])
 
 
 def publish(df: DataFrame, table: str, path: str, mode: str = "append",

@@ -26,7 +26,9 @@ from pyspark.sql import functions as F
 from wharf.functions import exprs as X
 from wharf.operators.joins import key_condition
 from wharf.operators.projections import all_of
-from wharf.operators.quality import SqlCheck, TableChecks, raise_on_failure, run_suite, sql_check_report
+from wharf.operators.quality import (
+    DataQualityError, SqlCheck, TableChecks, raise_on_failure, run_suite, sql_check_report,
+)
 from wharf.sinks import writers
 
 PLAY_PAGE = "NextSong"
@@ -152,6 +154,32 @@ def build_v1(staging_events: DataFrame, staging_songs: DataFrame,
     return {s.name: build_table(s, sources) for s in v1_specs(play_page)}
 
 
+def run_v1(staging_events: DataFrame, staging_songs: DataFrame, out_dir: str,
+           play_page: str = PLAY_PAGE) -> dict[str, str]:
+    """PL-1 as a job: persist staging once, write the five tables, run DQ-4.
+
+    Staging is written as Parquet and re-read, so the five table plans share
+    one computation of the staging joins instead of repeating it. Returns the
+    table paths; raises :class:`DataQualityError` if a check fails, after
+    reporting every check (one status each, T-12).
+    """
+    spark = staging_events.sparkSession
+    base = out_dir.rstrip("/")
+    writers.overwrite(staging_events, f"{base}/staging_events")
+    writers.overwrite(staging_songs, f"{base}/staging_songs")
+    tables = build_v1(spark.read.parquet(f"{base}/staging_events"),
+                      spark.read.parquet(f"{base}/staging_songs"), play_page)
+    paths = {}
+    for name, df in tables.items():
+        paths[name] = f"{base}/{name}"
+        writers.overwrite(df, paths[name])
+    report = check_v1({n: spark.read.parquet(p) for n, p in paths.items()})
+    failed = [r["check"] for r in report.collect() if not r["passed"]]
+    if failed:
+        raise DataQualityError("failed checks: " + "; ".join(failed))
+    return paths
+
+
 V1_CHECKS = [
     TableChecks("users", key="user_id"),
     TableChecks("artists", key="artist_id"),

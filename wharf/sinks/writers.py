@@ -109,10 +109,14 @@ def save_bucketed(df: DataFrame, table: str, bucket_by: Sequence[str], buckets:
                   mode: str = "overwrite") -> None:
     """SNK-7 from a DataFrame: ``bucketBy().sortBy().saveAsTable()``.
 
-    Each write task emits one file per bucket it holds; repartitioning on the
-    bucket key first makes that one file per bucket.
+    Each write task emits one file per bucket it holds. A ``REBALANCE`` on
+    the bucket key into ``buckets`` partitions makes that about one file per
+    bucket, and — unlike ``repartition`` — lets adaptive execution split a
+    partition that a hot key made large across several tasks (a bucket may
+    hold several files), so one key with a third of the rows does not write
+    through one task.
     """
-    w = df.repartition(buckets, *bucket_by).write.mode(mode).format("parquet")
+    w = df.hint("rebalance", buckets, *bucket_by).write.mode(mode).format("parquet")
     if path:
         w = w.option("path", path)
     w = w.bucketBy(buckets, *bucket_by)
@@ -128,8 +132,18 @@ def drop_tables(spark: SparkSession, tables: Sequence[str]) -> None:
 
 
 def truncate_table(spark: SparkSession, table: str) -> None:
-    """SNK-10: ``TRUNCATE TABLE``."""
-    spark.sql(f"TRUNCATE TABLE {table}")
+    """SNK-10: ``TRUNCATE TABLE``.
+
+    Spark refuses TRUNCATE on external (path-backed) tables; those are
+    overwritten with an empty frame of the table's schema instead.
+    """
+    ext = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter(
+        (F.col("col_name") == "Type") & (F.col("data_type") == "EXTERNAL")).count() > 0
+    if not ext:
+        spark.sql(f"TRUNCATE TABLE {table}")
+        return
+    empty = spark.createDataFrame([], spark.table(table).schema)
+    empty.write.insertInto(table, overwrite=True)
 
 
 def use_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
