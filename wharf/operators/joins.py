@@ -17,15 +17,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# Verdicts of broadcast_if_small per (logical plan, input files, bound).
+_SMALL: dict[tuple[int, tuple[str, ...], int], bool] = {}
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Mark ``df`` for broadcast only if it provably has at most ``max_rows`` rows.
 
     The check reads at most ``max_rows + 1`` rows. Above the bound the frame is
-    returned unchanged and the planner picks a shuffle join.
+    returned unchanged and the planner picks a shuffle join. The verdict is
+    remembered for the same logical plan over the same input files (a table
+    rewritten at its path has new file names and is checked again).
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+    small = _SMALL.get(key)
+    if small is None:
+        small = _SMALL[key] = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if small else df
 
 
 def key_condition(left: DataFrame, right: DataFrame, left_keys: Sequence[str],

@@ -23,13 +23,19 @@ from wharf.operators.windows import order_spec, top_k, top_n_per_group
 
 
 def popular_per_group(plays: DataFrame, group_col: str, item_cols: Sequence[str],
-                      n: int = 3, count_col: str = "play_count") -> DataFrame:
+                      n: int = 3, count_col: str = "play_count",
+                      weight: str | None = None) -> DataFrame:
     """Query 1: the n most played items per group (WIN-1, WIN-2, FLT-11).
 
     ``ROW_NUMBER() OVER (PARTITION BY group ORDER BY COUNT(*) DESC)`` over the
-    aggregate; the item columns break ties (T-7).
+    aggregate; the item columns break ties (T-7). ``weight`` names a column of
+    pre-aggregated play counts (rows of ``plays`` then stand for that many
+    plays), so callers can count the fact on its join keys before joining the
+    dimensions.
     """
-    counts = count_by(plays, [group_col, *item_cols], alias=count_col)
+    keys = [group_col, *item_cols]
+    counts = (count_by(plays, keys, alias=count_col) if weight is None else
+              plays.groupBy(*keys).agg(F.sum(weight).cast("bigint").alias(count_col)))
     ranked = top_n_per_group(counts, [group_col], order_spec(desc=[count_col], asc=item_cols), n)
     return ranked.select("rank", group_col, *item_cols, count_col)
 
