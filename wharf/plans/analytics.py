@@ -62,14 +62,17 @@ def full_name(first: str, last: str) -> F.Column:
 def date_dim(dates: DataFrame, date_col: str) -> DataFrame:
     """``dwdate`` from the distinct calendar dates of ``date_col``.
 
-    Its size is bounded by the calendar (one row per day in the range), not
-    by the fact's volume.
+    ``d_datekey`` is the INT ``yyyymmdd`` key the fact joins on. The table's
+    size is bounded by the calendar (one row per day in the range), not by
+    the fact's volume.
     """
-    d = F.col(date_col)
-    return dates.select(d.alias("d_datekey")).distinct().select(
-        "d_datekey",
-        F.year("d_datekey").alias("d_year"),
-        F.date_format("d_datekey", "MMMyyyy").alias("d_yearmonth"),
+    d = F.to_date(F.col(date_col))
+    return dates.select(d.alias("d_date")).distinct().select(
+        (F.year("d_date") * 10000 + F.month("d_date") * 100 + F.dayofmonth("d_date"))
+        .cast("int").alias("d_datekey"),
+        "d_date",
+        F.year("d_date").alias("d_year"),
+        F.date_format("d_date", "MMMyyyy").alias("d_yearmonth"),
     )
 
 

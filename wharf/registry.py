@@ -600,16 +600,16 @@ def ssb_tables(t: Tables) -> dict[str, DataFrame]:
         "c_custkey", F.col("n_name").alias("c_city"), F.col("r_name").alias("c_region"))
     part = t.part.select("p_partkey", F.col("p_brand").alias("p_brand1"),
                          F.col("p_type").alias("p_category"))
-    dwdate = A.date_dim(t.orders.select(F.to_date("o_orderdate").alias("d")), "d")
+    dwdate = A.date_dim(t.orders.select("o_orderdate"), "o_orderdate")
     return {"lineorder": C.lineorder(t), "dwdate": dwdate, "part": part,
             "supplier": supplier, "customer": customer}
 
 
 _SSB_DIMS = """
 dwdate AS (
-  SELECT d_datekey, CAST(year(d_datekey) AS INTEGER) AS d_year,
-         strftime(d_datekey, '%b%Y') AS d_yearmonth
-  FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d_datekey FROM orders) d
+  SELECT CAST(year(d_date) * 10000 + month(d_date) * 100 + day(d_date) AS INTEGER) AS d_datekey,
+         d_date, CAST(year(d_date) AS INTEGER) AS d_year, strftime(d_date, '%b%Y') AS d_yearmonth
+  FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d_date FROM orders) d
 ),
 geo AS (
   SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey

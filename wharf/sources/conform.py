@@ -80,6 +80,12 @@ def staging_songs(t: Tables) -> DataFrame:
     )
 
 
+def date_key(ts: str) -> F.Column:
+    """SSB date key: the calendar date as an INT ``yyyymmdd``."""
+    d = F.col(ts)
+    return (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("int")
+
+
 def lineorder(t: Tables) -> DataFrame:
     """SSB ``lineorder``: one row per line item with its order's attributes."""
     li = t.lineitem.select(
@@ -93,7 +99,7 @@ def lineorder(t: Tables) -> DataFrame:
         F.col("o_custkey").alias("lo_custkey"),
         F.col("l_partkey").alias("lo_partkey"),
         F.col("l_suppkey").alias("lo_suppkey"),
-        F.to_date("o_orderdate").alias("lo_orderdate"),
+        date_key("o_orderdate").alias("lo_orderdate"),
         F.col("l_quantity").alias("lo_quantity"),
         F.col("l_extendedprice").alias("lo_extendedprice"),
         F.col("l_discount").alias("lo_discount"),
@@ -130,7 +136,9 @@ staging_songs AS (
 LINEORDER_SQL = """
 lineorder AS (
   SELECT l_orderkey AS lo_orderkey, l_linenumber AS lo_linenumber, o_custkey AS lo_custkey,
-         l_partkey AS lo_partkey, l_suppkey AS lo_suppkey, CAST(o_orderdate AS DATE) AS lo_orderdate,
+         l_partkey AS lo_partkey, l_suppkey AS lo_suppkey,
+         CAST(year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate) AS INTEGER)
+           AS lo_orderdate,
          l_quantity AS lo_quantity, l_extendedprice AS lo_extendedprice, l_discount AS lo_discount
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 )"""
