@@ -155,3 +155,11 @@ def test_column_count_rule_and_observation(spark, tmp):
     obs_df, obs = Q.observed(df)
     obs_df.write.mode("overwrite").parquet(tmp + "/o")
     assert obs.get["rows"] == 5
+
+
+def test_report_lines_one_status_per_check(spark):
+    t = spark.createDataFrame([(1,), (1,)], "k int")
+    lines = Q.report_lines(Q.run_suite({"t": t}, [Q.TableChecks("t", key="k")]))
+    assert lines == ["PASSED: t is not empty (value: 2)",
+                     "PASSED: t.k has no NULL values (value: 0)",
+                     "FAILED: t.k is unique (value: 1)"]
