@@ -16,10 +16,9 @@ Timings are wall-clock on the driver; the report is one small row per query.
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from wharf.functions import exprs as X
 from wharf.sinks.writers import save_bucketed
@@ -99,14 +98,3 @@ def split_vs_single(spark: SparkSession, df: DataFrame, base: str, schema: str,
         t = run_noop(loaded.repartition(rep) if rep else loaded)
         rows.append((name, n_in, t))
     return spark.createDataFrame(rows, "layout string, input_partitions int, load_seconds double")
-
-
-def plan_has_exchange(df: DataFrame, between: Sequence[str] = ()) -> bool:
-    """True if the executed plan contains a shuffle (for plan assertions)."""
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    return "Exchange hashpartitioning" in plan or (
-        bool(between) and any(f"Exchange {b}" in plan for b in between))
-
-
-def with_row_count(df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("rows"))

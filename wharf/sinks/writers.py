@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,11 +18,22 @@ from pyspark.sql import types as T
 from wharf.operators.quality import DataQualityError, check_record_schema, column_count_rule
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jpath)
+def _existing(spark: SparkSession, path: str, fmt: str,
+              schema: T.StructType | None = None) -> DataFrame | None:
+    """The dataset at ``path``, or ``None`` if nothing has been written there.
+
+    With ``schema`` the partition columns keep their declared types instead
+    of being inferred from the folder names.
+    """
+    reader = spark.read.format(fmt)
+    if schema is not None:
+        reader = reader.schema(schema)
+    try:
+        return reader.load(path)
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
+            return None
+        raise
 
 
 def overwrite(df: DataFrame, path: str, fmt: str = "parquet",
@@ -42,17 +54,25 @@ def append(df: DataFrame, path: str, fmt: str = "parquet",
     w.save(path)
 
 
-def append_new(df: DataFrame, path: str, key: str, fmt: str = "parquet") -> None:
+def append_new(df: DataFrame, path: str, key: str, fmt: str = "parquet",
+               partition_by: Sequence[str] = ()) -> None:
     """SNK-1 with ``dedupe_on``: append only keys not yet in the target (T-11).
 
-    An anti join against the target's key column; reruns of the same hour add
-    nothing. Single writer per target.
+    An anti join against the target's keys; reruns of the same hour add
+    nothing. With ``partition_by`` (e.g. the event date) the target is
+    partitioned on write and only the partitions the batch touches are probed
+    (a semi join on the partition columns, which dynamic partition pruning
+    turns into a partition filter on the target's scan), so an hourly run
+    does not read the whole fact's key column. Single writer per target.
     """
-    spark = df.sparkSession
-    if _exists(spark, path):
-        present = spark.read.format(fmt).load(path).select(key).distinct()
-        df = df.join(present, key, "left_anti")
-    append(df, path, fmt)
+    target = _existing(df.sparkSession, path, fmt, schema=df.schema)
+    if target is not None:
+        present = target
+        if partition_by:
+            touched = df.select(*partition_by).distinct()
+            present = present.join(touched, list(partition_by), "left_semi")
+        df = df.join(present.select(key).distinct(), key, "left_anti")
+    append(df, path, fmt, partition_by=partition_by)
 
 
 def save_json_table(df: DataFrame, table: str, path: str, mode: str = "append",
