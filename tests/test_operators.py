@@ -1,7 +1,6 @@
 """Joins, aggregates, windows, upsert, surrogate keys, sampling and checks."""
 
 import pytest
-from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from wharf.operators import quality as Q

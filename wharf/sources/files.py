@@ -78,14 +78,16 @@ def stage(spark: SparkSession, source: str, target: str, schema: T.StructType |
 
 
 def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str,
-                   sep: str = ",", header: bool = False, repartition: int | None = None) -> DataFrame:
+                   sep: str = ",", header: bool = False, repartition: int | None = None,
+                   options: Mapping[str, str] | None = None) -> DataFrame:
     """SRC-5 / SRC-6 / SRC-7: delimited text, gzip or plain, with a declared schema.
 
     ``repartition`` is for a single unsplittable file (SRC-6): the read is one
-    task, so spread the rows before any further work.
+    task, so spread the rows before any further work. ``options`` go to the
+    CSV reader (e.g. a timestamp format).
     """
     df = (spark.read.option("sep", sep).option("header", header).option("mode", "PERMISSIVE")
-          .schema(schema).csv(path))
+          .options(**(options or {})).schema(schema).csv(path))
     return df.repartition(repartition) if repartition else df
 
 
