@@ -348,29 +348,34 @@ def right_join_distinct(spark, sf_dir):
 
 
 @register("left_join_time", """
-SELECT s.event_id AS serial_number, date_trunc('minute', s.ts) AS reading_minute,
-       s.value AS distance, r.event_id AS x_event, r.value AS x_value
+SELECT s.event_id AS serial_number, s.ts AS sensor_reading_time, s.value AS distance,
+       r.event_id AS x_event, r.value AS x_value
 FROM events s
-LEFT JOIN (SELECT * FROM events WHERE event_type = 'view') r
-  ON date_trunc('minute', s.ts) = date_trunc('minute', r.ts)
+LEFT JOIN events r ON s.ts = r.ts
 WHERE s.event_type = 'purchase'
 """)
 def left_join_time(spark, sf_dir):
-    """PL-7: JN-7, left join on equal (minute) time, no DISTINCT (T-14)."""
+    """PL-7: JN-7, left join on equal (exact) time, no DISTINCT (T-14).
+
+    Steps are the purchase events, readings are all events; the key is the
+    exact timestamp, as in the reference, so each step meets the readings
+    taken at that instant (at least its own) and the output stays linear in
+    the input — no time bucketing that would pair every event of a bucket.
+    """
     ev = _t(spark, sf_dir).events
     steps = ev.filter(F.col("event_type") == "purchase").select(
         F.col("event_id").alias("serial_number"),
-        F.date_trunc("minute", "ts").alias("reading_minute"),
+        F.col("ts").alias("sensor_reading_time"),
         F.col("value").alias("distance"),
     )
-    readings = ev.filter(F.col("event_type") == "view").select(
-        F.date_trunc("minute", "ts").alias("minute"),
+    readings = ev.select(
+        F.col("ts").alias("reading_time"),
         F.col("event_id").alias("x_event"),
         F.col("value").alias("x_value"),
     )
     return L.machine_learning_curated(
-        steps, readings, step_time="reading_minute", reading_time="minute",
-        step_cols=("serial_number", "reading_minute", "distance"),
+        steps, readings, step_time="sensor_reading_time", reading_time="reading_time",
+        step_cols=("serial_number", "sensor_reading_time", "distance"),
         reading_cols=("x_event", "x_value"),
     )
 
