@@ -45,6 +45,20 @@ def overwrite(df: DataFrame, path: str, fmt: str = "parquet",
     w.save(path)
 
 
+def persist(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
+    """Write an intermediate table that later steps read, and return the re-read.
+
+    A ``REBALANCE`` before the write lets adaptive execution cut the rows into
+    partitions of about ``spark.sql.adaptive.advisoryPartitionSizeInBytes``
+    (and split a skewed one), so the files are balanced whatever the source
+    layout was — one huge source file or millions of small ones — and every
+    later step that reads them, including a fan-out join, starts with even
+    tasks.
+    """
+    overwrite(df.hint("rebalance"), path, fmt)
+    return df.sparkSession.read.format(fmt).load(path)
+
+
 def append(df: DataFrame, path: str, fmt: str = "parquet",
            partition_by: Sequence[str] = ()) -> None:
     """SNK-1 / SNK-3: ``INSERT INTO … SELECT`` without truncate."""
