@@ -64,3 +64,33 @@ def test_no_python_udf_in_registered_plans(spark):
     for name in ("songplay_v2", "time_dim_v1", "dq_suite", "ssb_drill", "left_join_time"):
         plan = physical(E.queries()[name](spark, SF_SMALL))
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
+
+
+def test_hot_key_join_is_split_by_aqe(spark):
+    # One key holds a third of the rows: AQE splits that partition of the
+    # sort-merge join instead of running it in one task.
+    from pyspark.sql import functions as F
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.shuffle.partitions": "32"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        n = 300_000
+        fact = spark.range(n).select(
+            F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 5000).alias("k"),
+            F.col("id").alias("v"))
+        dim = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("g"))
+        out = fact.join(dim, "k").groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+        assert sum(r["n"] for r in out.collect()) == n
+        assert "SortMergeJoin(skew=true)" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
