@@ -77,3 +77,34 @@ def publish(df: DataFrame, table: str, path: str, mode: str = "append",
     df, obs = observed(df, f"dq_{table}")
     save_json_table(df, table, path, mode=mode, partition_keys=partition_keys)
     return obs
+
+
+# The table names of the chain, in run order.
+CHAIN_TABLES = (
+    "customer_trusted", "accelerometer_trusted", "customer_curated",
+    "step_trainer_trusted", "machine_learning_curated",
+)
+
+
+def run_chain(customer_landing: DataFrame, accelerometer_landing: DataFrame,
+              step_trainer_landing: DataFrame, base: str, suffix: str = "") -> dict[str, str]:
+    """PL-3 … PL-7 in the reference's chain order, each job reading the previous
+    jobs' output through the catalog (SRC-9) and publishing its own (SNK-4).
+
+    Returns ``{job: catalog table}``. Each table is a JSON table below
+    ``base``; ``suffix`` keeps repeated runs apart. Every job is its own Spark
+    job with its own files, so a failed step is rerun alone.
+    """
+    spark = customer_landing.sparkSession
+    names = {job: f"{job}{suffix}" for job in CHAIN_TABLES}
+
+    def out(job: str, df: DataFrame) -> DataFrame:
+        publish(df, names[job], f"{base.rstrip('/')}/{job}", mode="overwrite")
+        return spark.table(names[job])
+
+    trusted = out("customer_trusted", customer_trusted(customer_landing))
+    accel = out("accelerometer_trusted", accelerometer_trusted(accelerometer_landing, trusted))
+    curated = out("customer_curated", customer_curated(trusted, accel))
+    steps = out("step_trainer_trusted", step_trainer_trusted(step_trainer_landing, curated))
+    out("machine_learning_curated", machine_learning_curated(steps, accel))
+    return names

@@ -1099,3 +1099,71 @@ def star_v2_job(spark, sf_dir):
 def _table_name(prefix: str) -> str:
     import uuid
     return f"{prefix}_{uuid.uuid4().hex[:10]}"
+
+
+_CHAIN_LANDING = """
+customer_landing AS (
+  SELECT c_name AS customerName, CAST(c_custkey AS VARCHAR) AS email,
+         CAST(c_custkey AS VARCHAR) AS serialNumber,
+         CASE WHEN c_acctbal >= 0 THEN c_custkey * 1000 END AS shareWithResearchAsOfDate
+  FROM customer
+),
+accelerometer_landing AS (
+  SELECT CAST(user_id AS VARCHAR) AS "user", epoch_us(ts) // 1000 AS "timestamp",
+         value AS x, value / 2 AS y, -value AS z
+  FROM events
+),
+step_trainer_landing AS (
+  SELECT epoch_us(ts) // 1000 AS sensorReadingTime, CAST(user_id AS VARCHAR) AS serialNumber,
+         CAST(floor(value) AS INTEGER) AS distanceFromObject
+  FROM events WHERE event_type = 'purchase'
+),
+customer_trusted AS (
+  SELECT * FROM customer_landing WHERE shareWithResearchAsOfDate IS NOT NULL
+),
+accelerometer_trusted AS (
+  SELECT a."user", a."timestamp", a.x, a.y, a.z
+  FROM accelerometer_landing a JOIN customer_trusted c ON a."user" = c.email
+),
+customer_curated AS (
+  SELECT DISTINCT c.* FROM customer_trusted c JOIN accelerometer_trusted a ON c.email = a."user"
+),
+step_trainer_trusted AS (
+  SELECT DISTINCT stl.serialNumber, stl.sensorReadingTime, stl.distanceFromObject
+  FROM step_trainer_landing stl RIGHT JOIN customer_curated cc ON stl.serialNumber = cc.serialNumber
+)"""
+
+
+@register("lake_chain", _with(_CHAIN_LANDING) + """
+SELECT stt.serialNumber, stt.sensorReadingTime, stt.distanceFromObject, act.x, act.y, act.z
+FROM step_trainer_trusted stt
+LEFT JOIN accelerometer_trusted act ON act."timestamp" = stt.sensorReadingTime
+""")
+def lake_chain(spark, sf_dir):
+    """PL-3 → PL-7 chained through published JSON catalog tables (SNK-4, SRC-9, DQ-7).
+
+    Landing stand-ins: customers (consent when the balance is not negative),
+    every event as an accelerometer reading of its user, purchases as step
+    readings; times are epoch milliseconds, as in the landing tables.
+    """
+    t = _t(spark, sf_dir)
+    c, ev = t.customer, t.events
+    customers = c.select(
+        F.col("c_name").alias("customerName"),
+        F.col("c_custkey").cast("string").alias("email"),
+        F.col("c_custkey").cast("string").alias("serialNumber"),
+        F.when(F.col("c_acctbal") >= 0, F.col("c_custkey") * 1000)
+        .alias("shareWithResearchAsOfDate"),
+    )
+    accel = ev.select(
+        F.col("user_id").cast("string").alias("user"), X.epoch_ms("ts").alias("timestamp"),
+        F.col("value").alias("x"), (F.col("value") / 2).alias("y"), (-F.col("value")).alias("z"),
+    )
+    steps = ev.filter(F.col("event_type") == "purchase").select(
+        X.epoch_ms("ts").alias("sensorReadingTime"),
+        F.col("user_id").cast("string").alias("serialNumber"),
+        F.floor("value").cast("int").alias("distanceFromObject"),
+    )
+    names = L.run_chain(customers, accel, steps, scratch_path(spark, "lake"),
+                        suffix=_table_name(""))
+    return spark.table(names["machine_learning_curated"])
