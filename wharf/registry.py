@@ -1167,3 +1167,30 @@ def lake_chain(spark, sf_dir):
     names = L.run_chain(customers, accel, steps, scratch_path(spark, "lake"),
                         suffix=_table_name(""))
     return spark.table(names["machine_learning_curated"])
+
+
+@register("star_v1_job", _with(_SE, _SS) + f"""
+SELECT {_START('se.ts')} AS start_time, se.userId AS user_id, se.level, ss.song_id,
+       ss.artist_id, se.sessionId AS session_id, se.location, se.userAgent AS user_agent
+FROM staging_events se JOIN staging_songs ss ON se.song = ss.title
+WHERE se.page = '{PLAY_PAGE}' AND se.userId IS NOT NULL AND ss.song_id IS NOT NULL
+""")
+def star_v1_job(spark, sf_dir):
+    """PL-1 end to end: balanced staging → five tables written → DQ-4; the fact read back."""
+    t = _t(spark, sf_dir)
+    paths = star.run_v1(C.staging_events(t), C.staging_songs(t), scratch_path(spark, "star_v1"),
+                        play_page=PLAY_PAGE)
+    return spark.read.parquet(paths["songplay"])
+
+
+@register("external_json_table", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def external_json_table(spark, sf_dir):
+    """SRC-10: ``CREATE TABLE … USING json LOCATION`` with declared columns, then read."""
+    from wharf.sources.files import create_external_json_table, read_catalog
+    ev = _t(spark, sf_dir).events
+    path = scratch_path(spark, "events_landing")
+    ev.write.mode("overwrite").option("timestampNTZFormat", _NTZ_FMT).json(path)
+    table = _table_name("events_landing")
+    create_external_json_table(spark, table, ev.schema, path,
+                               options={"timestampNTZFormat": _NTZ_FMT})
+    return read_catalog(spark, None, table)

@@ -130,10 +130,19 @@ def read_catalog(spark: SparkSession, database: str | None, table: str) -> DataF
 
 
 def create_external_json_table(spark: SparkSession, table: str, schema: T.StructType,
-                               location: str) -> None:
-    """SRC-10: external JSON table with declared columns over a path."""
+                               location: str, options: Mapping[str, str] | None = None) -> None:
+    """SRC-10: external JSON table with declared columns over a path.
+
+    ``options`` are reader options stored with the table (e.g. a timestamp
+    format), applied whenever the table is read.
+    """
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING json LOCATION '{location}'")
+    opts = ""
+    if options:
+        def lit(v: str) -> str:
+            return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        opts = " OPTIONS (" + ", ".join(f"{lit(k)} = {lit(v)}" for k, v in options.items()) + ")"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING json{opts} LOCATION '{location}'")
 
 
 def read_csv_dir(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
