@@ -101,7 +101,7 @@ def right_join_distinct(left: DataFrame, right: DataFrame, left_keys: Sequence[s
     ).select(*left_cols).distinct()
     if not keep_null_row:
         return matched
-    lkeys = left.select(*left_keys)
+    lkeys = left.select(*left_keys).distinct()  # a hot key collapses map-side
     unmatched = rkeys.join(
         lkeys, key_condition(rkeys, lkeys, right_keys, left_keys), "left_anti"
     ).limit(1)
