@@ -52,9 +52,12 @@ def sort_asc(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def clustered(df: DataFrame, partition_cols: Sequence[str], clustering_cols: Sequence[str]) -> DataFrame:
     """SRT-4: rows of one partition key together, ordered by the clustering key.
 
-    Hash-partitions on the partition key and sorts inside each partition; no
-    global sort, so it scales with the number of partitions.
+    A ``REBALANCE`` on the partition key, then a sort inside each partition;
+    no global sort, so it scales with the number of partitions. Unlike
+    ``repartition(key)``, the rebalance lets adaptive execution split a key
+    that holds too many rows for one task across several tasks (each part
+    still sorted by the clustering key) instead of sending it to one.
     """
-    return df.repartition(*[F.col(c) for c in partition_cols]).sortWithinPartitions(
+    return df.hint("rebalance", *partition_cols).sortWithinPartitions(
         *partition_cols, *clustering_cols
     )
