@@ -32,7 +32,7 @@ from wharf.registry import (  # noqa: E402
     PLAY_PAGE, QUERIES, SSB_CATEGORY, SSB_CITIES, SSB_DISCOUNT, SSB_MAX_QUANTITY, SSB_REGION,
     SSB_YEAR, SSB_YEARMONTH, ssb_tables,
 )
-from wharf.session import get_session, scratch_path  # noqa: E402
+from wharf.session import get_session, input_bytes, scratch_path, size_for_input  # noqa: E402
 from wharf.sinks.writers import save_bucketed  # noqa: E402
 from wharf.sources import conform as C  # noqa: E402
 from wharf.sources.tables import TABLES, Tables, load  # noqa: E402
@@ -76,6 +76,8 @@ def main() -> None:
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     spark = get_session(f"local[{cpus}]", app_name="wharf-bench", shuffle_partitions=cpus,
                         extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "8g")})
+    # Shuffle and split sizes from the input volume (only keys left unset).
+    size_for_input(spark, input_bytes(spark, [sf_dir]))
     t = Tables(spark, sf_dir)
     out: dict[str, float] = {}
     headline: list[str] = []

@@ -162,3 +162,23 @@ def test_report_lines_one_status_per_check(spark):
     assert lines == ["PASSED: t is not empty (value: 2)",
                      "PASSED: t.k has no NULL values (value: 0)",
                      "FAILED: t.k is unique (value: 1)"]
+
+
+def test_size_for_input_only_fills_unset_keys(spark, tmp):
+    from wharf.session import input_bytes, size_for_input
+    spark.range(1000).write.parquet(tmp + "/p")
+    assert input_bytes(spark, [tmp + "/p"]) > 0
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    big = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(big, None)
+    try:
+        applied = size_for_input(spark, 100 * 1024 ** 4)  # 100 TiB
+        assert applied[key] == "50000" and applied[big] == "512m"
+        assert size_for_input(spark, 100 * 1024 ** 4) == {}  # already set: left alone
+    finally:
+        spark.conf.unset(key)
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        if old is None:
+            spark.conf.unset(big)
+        else:
+            spark.conf.set(big, old)

@@ -106,3 +106,50 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path)
+
+
+# Sizing rules: bytes of input per initial shuffle partition, and the
+# partition / split sizes used once inputs reach terabytes.
+_BYTES_PER_INITIAL_PARTITION = 512 * 1024 * 1024
+_MAX_INITIAL_PARTITIONS = 50_000
+_LARGE_INPUT = 10 * 1024 ** 4  # 10 TiB
+_LARGE_ADVISORY = "256m"
+_LARGE_SPLIT = "512m"
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the files under ``paths`` (a listing; contents are not read)."""
+    from pyspark.sql import functions as F
+
+    total = 0
+    for p in paths:
+        row = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(p)
+               .agg(F.sum("length").alias("n")).first())
+        total += int(row["n"] or 0)
+    return total
+
+
+def size_for_input(spark: SparkSession, total_bytes: int) -> dict[str, str]:
+    """Size shuffles and scan splits for an input of ``total_bytes``.
+
+    Sets, only where the cluster left them unset: the initial number of
+    shuffle partitions AQE coalesces from (one per 512 MiB of input, at least
+    two per core, at most 50 000), and for inputs of 10 TiB and more a 256 MiB
+    advisory partition size and 512 MiB scan splits, so tasks stay few enough
+    to schedule and small enough to fit executor memory. Returns what it set.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    wanted = {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(
+            max(2 * cores, min(_MAX_INITIAL_PARTITIONS,
+                               -(-total_bytes // _BYTES_PER_INITIAL_PARTITION)))),
+    }
+    if total_bytes >= _LARGE_INPUT:
+        wanted["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = _LARGE_ADVISORY
+        wanted["spark.sql.files.maxPartitionBytes"] = _LARGE_SPLIT
+    applied = {}
+    for key, value in wanted.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+            applied[key] = value
+    return applied
