@@ -26,7 +26,7 @@ def with_derived_first(df: DataFrame, name: str, expr: Column) -> DataFrame:
 
 
 def drop_fields(df: DataFrame, paths: Sequence[str]) -> DataFrame:
-    """PRJ-5: ``DropFields.apply(paths=[…])``."""
+    """PRJ-5: drop the named columns."""
     return df.drop(*paths)
 
 

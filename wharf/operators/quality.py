@@ -179,9 +179,10 @@ def compare(actual: object, expected: object, comparison: str) -> bool:
 
 
 def column_count_rule(df: DataFrame, minimum: int = 1) -> None:
-    """Ruleset ``ColumnCount > 0``: a schema property, checked without a job."""
+    """DQ-7: the output must have more than ``minimum - 1`` columns; a schema
+    property, checked without a job."""
     if len(df.columns) < minimum:
-        raise DataQualityError(f"ColumnCount {len(df.columns)} is not > {minimum - 1}")
+        raise DataQualityError(f"column count {len(df.columns)} is not > {minimum - 1}")
 
 
 def observed(df: DataFrame, name: str = "dq") -> tuple[DataFrame, Observation]:

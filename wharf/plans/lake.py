@@ -1,7 +1,7 @@
 """Layered lake jobs, landing → trusted → curated (PL-3 … PL-7).
 
 Each job is a function from input DataFrames to the output DataFrame, plus
-:func:`publish` which applies the ``ColumnCount > 0`` rule, attaches row-count
+:func:`publish` which applies the column-count rule, attaches row-count
 metrics to the write pass (``Observation``: no second job) and writes a JSON
 table (SNK-4). Chain order: customer_trusted → accelerometer_trusted →
 customer_curated → step_trainer_trusted → machine_learning_curated.

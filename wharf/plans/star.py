@@ -31,6 +31,7 @@ from wharf.operators.quality import (
 )
 from wharf.sinks import writers
 
+# Fixed value: the page value of a song play in the event log.
 PLAY_PAGE = "NextSong"
 
 

@@ -966,7 +966,7 @@ def gzip_split_roundtrip(spark, sf_dir):
 
 @register("pipe_load_tables", "SELECT * FROM part")
 def pipe_load_tables(spark, sf_dir):
-    """SRC-7 ``loadTables``: pipe rows with a trailing ``|``, gzip, into a catalog table."""
+    """SRC-7: pipe rows with a trailing ``|``, gzip, loaded into a catalog table."""
     from wharf.sources.files import load_tables
     part = _t(spark, sf_dir).part
     path = scratch_path(spark, "part_pipe")

@@ -93,9 +93,9 @@ def save_json_table(df: DataFrame, table: str, path: str, mode: str = "append",
                     partition_keys: Sequence[str] = ()) -> None:
     """SNK-4: JSON files at ``path`` that are also a catalog table.
 
-    ``getSink(path, updateBehavior, partitionKeys) + setCatalogInfo +
-    setFormat("json") + writeFrame``: the table is created on first write and
-    appended afterwards; the ``ColumnCount > 0`` rule runs first (DQ-7).
+    The table is created on the first write and appended (or replaced) on
+    later ones, optionally partitioned; the column-count rule runs first
+    (DQ-7).
     """
     column_count_rule(df)
     w = df.write.format("json").option("path", path).mode(mode)

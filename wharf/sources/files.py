@@ -21,7 +21,7 @@ _TOP_LEVEL = re.compile(r"^\$\.([A-Za-z_][A-Za-z0-9_]*)$")
 
 def read_json(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str,
               rename: Mapping[str, str] | None = None) -> DataFrame:
-    """SRC-1 / SRC-10: ``COPY … FORMAT AS JSON 'auto'`` — keys matched to columns.
+    """SRC-1 / SRC-10: JSON lines loaded by key — each key fills the column of that name.
 
     Spark matches keys to a given schema case-sensitively (T-3), so the schema
     is given in the file's case and ``rename`` maps to the table's names.
@@ -34,7 +34,7 @@ def read_json(spark: SparkSession, path: str | Sequence[str], schema: T.StructTy
 
 def read_json_paths(spark: SparkSession, path: str | Sequence[str],
                     columns: Sequence[tuple[str, str, str]]) -> DataFrame:
-    """SRC-2: ``FORMAT AS JSON '<jsonpaths>'`` — the i-th path fills the i-th column.
+    """SRC-2: JSON lines loaded by a JSON path list — the i-th path fills the i-th column.
 
     ``columns`` is ``[(column, json_path, type), …]``. When every path is a
     top-level key the record is parsed once with ``json_tuple``; otherwise
@@ -94,7 +94,7 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: T.Str
 def load_tables(spark: SparkSession, tables: Mapping[str, tuple[str, T.StructType | str]],
                 database: str | None = None, sep: str = "|",
                 bucket_by: Mapping[str, tuple[Sequence[str], int]] | None = None) -> DataFrame:
-    """SRC-7 ``loadTables(schema, tables)``: load each table, time it, report.
+    """SRC-7: load several delimited tables into the catalog, timing each.
 
     Each table is read with its schema and saved as a catalog table (bucketed
     when ``bucket_by`` names its key and bucket count). Returns a DataFrame of
@@ -125,7 +125,7 @@ def read_json_recursive(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_catalog(spark: SparkSession, database: str | None, table: str) -> DataFrame:
-    """SRC-9: ``from_catalog(database, table_name)``."""
+    """SRC-9: a catalog table by database and name."""
     return spark.table(f"{database}.{table}" if database else table)
 
 
@@ -154,7 +154,7 @@ def read_csv_dir(spark: SparkSession, path: str, columns: Sequence[str] | None =
 
 
 def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-12: ``pd.read_csv`` — header and inferred types (one extra pass)."""
+    """SRC-12: CSV with header and inferred types (one extra pass)."""
     return spark.read.option("header", True).option("inferSchema", True).csv(path)
 
 
@@ -165,7 +165,7 @@ def list_files(spark: SparkSession, prefix: str, glob: str = "*") -> DataFrame:
 
 
 def sql_over(spark: SparkSession, query: str, mapping: Mapping[str, DataFrame]) -> DataFrame:
-    """SRC-14 ``sparkSqlQuery(query, mapping)``: frames as views, then SQL."""
+    """SRC-14: SQL over frames — each frame registered as a view under its name."""
     for name, df in mapping.items():
         df.createOrReplaceTempView(name)
     return spark.sql(query)
