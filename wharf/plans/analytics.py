@@ -103,9 +103,10 @@ def ssb_one_dim(lineorder: DataFrame, dwdate: DataFrame, year: int, discount_lo:
 
 
 def ssb_two_dim(lineorder: DataFrame, dwdate: DataFrame, part: DataFrame, supplier: DataFrame,
-                category: str, region: str) -> DataFrame:
+                category: str, region: str, revenue: F.Column | None = None) -> DataFrame:
     """twoDim: revenue by (year, brand) for one category and one supplier region
-    (AGG-8, JN-9)."""
+    (AGG-8, JN-9). ``revenue`` defaults to :func:`net_revenue_expr`; pass
+    ``F.col("lo_revenue")`` on SSB data, which stores it."""
     p = part.filter(F.col("p_category") == category).select("p_partkey", "p_brand1")
     s = supplier.filter(F.col("s_region") == region).select("s_suppkey")
     return (
@@ -113,14 +114,15 @@ def ssb_two_dim(lineorder: DataFrame, dwdate: DataFrame, part: DataFrame, suppli
         .join(p, F.col("lo_partkey") == F.col("p_partkey"))
         .join(s, F.col("lo_suppkey") == F.col("s_suppkey"))
         .groupBy("d_year", "p_brand1")
-        .agg(exact_sum(net_revenue_expr()).alias("revenue"))
+        .agg(exact_sum(net_revenue_expr() if revenue is None else revenue).alias("revenue"))
     )
 
 
 def ssb_drill(lineorder: DataFrame, dwdate: DataFrame, customer: DataFrame, supplier: DataFrame,
-              cities: Sequence[str], yearmonth: str) -> DataFrame:
+              cities: Sequence[str], yearmonth: str, revenue: F.Column | None = None) -> DataFrame:
     """drill: revenue by (customer city, supplier city, year) for two cities on
-    each side and one month, ``ORDER BY d_year ASC, revenue DESC`` (FLT-7, SRT-3)."""
+    each side and one month, ``ORDER BY d_year ASC, revenue DESC`` (FLT-7, SRT-3).
+    ``revenue`` as in :func:`ssb_two_dim`."""
     c = customer.filter(F.col("c_city").isin(list(cities))).select("c_custkey", "c_city")
     s = supplier.filter(F.col("s_city").isin(list(cities))).select("s_suppkey", "s_city")
     d = dwdate.filter(F.col("d_yearmonth") == yearmonth)
@@ -129,7 +131,7 @@ def ssb_drill(lineorder: DataFrame, dwdate: DataFrame, customer: DataFrame, supp
         .join(c, F.col("lo_custkey") == F.col("c_custkey"))
         .join(s, F.col("lo_suppkey") == F.col("s_suppkey"))
         .groupBy("c_city", "s_city", "d_year")
-        .agg(exact_sum(net_revenue_expr()).alias("revenue"))
+        .agg(exact_sum(net_revenue_expr() if revenue is None else revenue).alias("revenue"))
         .orderBy(F.col("d_year").asc_nulls_last(), F.col("revenue").desc_nulls_last(),
                  "c_city", "s_city")
     )
@@ -144,3 +146,33 @@ def ssb_same_dist(lineorder: DataFrame, part: DataFrame) -> DataFrame:
         .agg(exact_sum(revenue_expr()).alias("revenue"))
         .orderBy(F.col("lo_orderdate").asc_nulls_last())
     )
+
+
+# --- PL-12 on a built v1 star ---------------------------------------------------------------
+
+
+def star_sample_queries(tables: dict[str, DataFrame], year: int) -> dict[str, DataFrame]:
+    """The four sample queries over a v1 star (``songplay``, ``songs``, ``artists``,
+    ``users``, ``time_dim`` as built by :func:`wharf.plans.star.build_v1`).
+
+    1. the 3 most played songs per gender; 2. the 10 most played artists in
+    ``year``; 3. the 3 users with the most plays; 4. plays per location and
+    level, ordered by location. Ties are broken by the output columns (T-7).
+    """
+    sp, songs, artists = tables["songplay"], tables["songs"], tables["artists"]
+    users, time_dim = tables["users"], tables["time_dim"]
+    by_gender = (
+        sp.join(songs.select("song_id", "title"), "song_id")
+        .join(artists.select("artist_id", F.col("name").alias("artist")), "artist_id")
+        .join(users.select("user_id", "gender"), "user_id")
+    )
+    in_year = sp.join(time_dim.filter(F.col("year") == year).select("start_time"), "start_time")
+    by_artist = in_year.join(artists.select("artist_id", "name"), "artist_id")
+    by_user = sp.join(users.select("user_id", full_name("first_name", "last_name").alias("name")),
+                      "user_id")
+    return {
+        "top_songs_by_gender": popular_per_group(by_gender, "gender", ["title", "artist"], 3),
+        "top_artists_in_year": top_by_count(by_artist, "name", 10),
+        "top_users": top_by_count(by_user, "name", 3),
+        "plays_by_location_level": count_by_sorted(sp, ["location", "level"], "location"),
+    }
