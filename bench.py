@@ -43,7 +43,7 @@ IO_QUERIES = {
     "csv_quoted_roundtrip", "json_table_roundtrip", "json_recursive_read", "jsonpaths_stage",
     "gzip_split_roundtrip", "pipe_load_tables", "csv_cleanup", "union_files", "bucketed_join",
     "serving_bucketed_lookup", "file_listing", "incremental_append", "incremental_keyed_replay",
-    "star_v2_job", "sample_n", "dq_compare", "lake_chain", "star_v1_job", "external_json_table",
+    "star_v2_job", "sample_n", "dq_compare", "lake_chain", "star_v1_job", "external_json_table", "json_roundtrip",
 }
 
 

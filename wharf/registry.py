@@ -1232,3 +1232,16 @@ def v1_top_songs_by_gender(spark, sf_dir):
     """PL-12 query 1 on the v1 star itself: songplay ⋈ songs ⋈ artists ⋈ users, top 3
     per gender (WIN-1, WIN-2, JN-3)."""
     return A.star_sample_queries(_v1(spark, sf_dir), year=2024)["top_songs_by_gender"]
+
+
+@register("json_roundtrip", "SELECT * FROM events")
+def json_roundtrip(spark, sf_dir):
+    """SNK-4 JSON table sink → SRC-1 load by key with the declared schema."""
+    from wharf.sinks.writers import save_json_table
+    from wharf.sources.files import read_json
+    ev = _t(spark, sf_dir).events
+    table = _table_name("events_json")
+    path = scratch_path(spark, table)
+    fmt = {"timestampNTZFormat": _NTZ_FMT}
+    save_json_table(ev, table, path, mode="overwrite", options=fmt)
+    return read_json(spark, path, ev.schema, options=fmt)

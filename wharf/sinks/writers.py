@@ -90,7 +90,8 @@ def append_new(df: DataFrame, path: str, key: str, fmt: str = "parquet",
 
 
 def save_json_table(df: DataFrame, table: str, path: str, mode: str = "append",
-                    partition_keys: Sequence[str] = ()) -> None:
+                    partition_keys: Sequence[str] = (),
+                    options: Mapping[str, str] | None = None) -> None:
     """SNK-4: JSON files at ``path`` that are also a catalog table.
 
     The table is created on the first write and appended (or replaced) on
@@ -98,7 +99,7 @@ def save_json_table(df: DataFrame, table: str, path: str, mode: str = "append",
     (DQ-7).
     """
     column_count_rule(df)
-    w = df.write.format("json").option("path", path).mode(mode)
+    w = df.write.format("json").options(**(options or {})).option("path", path).mode(mode)
     if partition_keys:
         w = w.partitionBy(*partition_keys)
     w.saveAsTable(table)

@@ -20,13 +20,15 @@ _TOP_LEVEL = re.compile(r"^\$\.([A-Za-z_][A-Za-z0-9_]*)$")
 
 
 def read_json(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str,
-              rename: Mapping[str, str] | None = None) -> DataFrame:
+              rename: Mapping[str, str] | None = None,
+              options: Mapping[str, str] | None = None) -> DataFrame:
     """SRC-1 / SRC-10: JSON lines loaded by key — each key fills the column of that name.
 
     Spark matches keys to a given schema case-sensitively (T-3), so the schema
     is given in the file's case and ``rename`` maps to the table's names.
+    ``options`` go to the JSON reader (e.g. a timestamp format).
     """
-    df = spark.read.schema(schema).json(path)
+    df = spark.read.options(**(options or {})).schema(schema).json(path)
     for src, dst in (rename or {}).items():
         df = df.withColumnRenamed(src, dst)
     return df
