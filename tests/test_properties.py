@@ -72,3 +72,17 @@ def test_ascending_sort_puts_nulls_last(spark):
     # T-6: the warehouse sorts NULLs last in ascending order; Spark's default is first.
     df = spark.createDataFrame([(None,), ("b",), ("a",)], "loc string")
     assert [r[0] for r in sort_asc(df, ["loc"]).collect()] == ["a", "b", None]
+
+
+@SETTINGS
+@given(st.lists(st.tuples(keys, st.one_of(st.none(), small)), max_size=25),
+       st.lists(keys, min_size=1, max_size=8))
+def test_right_join_distinct_without_key_column_equals_sql(spark, left_rows, right_keys):
+    left = spark.createDataFrame(left_rows, "k int, v int")
+    right = spark.createDataFrame([(k,) for k in right_keys], "rk int")
+    left.createOrReplaceTempView("pl2")
+    right.createOrReplaceTempView("pr2")
+    ref = spark.sql("SELECT DISTINCT pl2.v FROM pl2 RIGHT JOIN pr2 ON pl2.k = pr2.rk")
+    got = right_join_distinct(left, right, ["k"], ["rk"], ["v"])
+    norm = lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
+    assert norm(got) == norm(ref)

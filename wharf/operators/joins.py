@@ -108,4 +108,8 @@ def right_join_distinct(left: DataFrame, right: DataFrame, left_keys: Sequence[s
     null_row = unmatched.select(
         [F.lit(None).cast(left.schema[c].dataType).alias(c) for c in left_cols]
     )
-    return matched.unionByName(null_row)
+    out = matched.unionByName(null_row)
+    # With the key among the kept columns a matched row is never all NULL, so
+    # the union is already distinct; otherwise a matched all-NULL row could
+    # repeat the synthetic one.
+    return out if set(left_keys) <= set(left_cols) else out.distinct()
