@@ -182,3 +182,25 @@ def test_size_for_input_only_fills_unset_keys(spark, tmp):
             spark.conf.unset(big)
         else:
             spark.conf.set(big, old)
+
+
+def test_small_library_operators(spark):
+    from wharf.operators.aggregates import count_all, distinct_rows, paid_wins
+    from wharf.operators.joins import join_keys, star_join
+    from wharf.operators.projections import drop_fields
+    plays = spark.createDataFrame([(1, "S1", "free"), (1, "S1", "paid"), (2, "S2", "free")],
+                                  "user_id int, song_id string, level string")
+    users = spark.createDataFrame([(1, "Ann"), (2, "Bo")], "uid int, name string")
+    songs = spark.createDataFrame([("S1", "T1"), ("S2", "T2")], "sid string, title string")
+    assert count_all(plays).first()["count"] == 3                      # AGG-2
+    assert distinct_rows(plays, ["user_id", "song_id"]).count() == 2   # AGG-10
+    levels = {r["user_id"]: r["level"] for r in
+              plays.groupBy("user_id").agg(paid_wins("level").alias("level")).collect()}
+    assert levels == {1: "paid", 2: "free"}                             # AGG-5
+    joined = join_keys(plays, users, ["user_id"], ["uid"])               # JN-4: both keys kept
+    assert {"user_id", "uid"} <= set(joined.columns)
+    wide = star_join(plays, [(users, "user_id", "uid"), (songs, "song_id", "sid")])  # JN-3
+    assert sorted((r["name"], r["title"]) for r in wide.collect()) == [
+        ("Ann", "T1"), ("Ann", "T1"), ("Bo", "T2")]
+    assert drop_fields(wide, ["uid", "sid"]).columns == ["user_id", "song_id", "level", "name",
+                                                         "title"]  # PRJ-5

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wharf.functions import exprs as X
+from wharf.operators.aggregates import distinct_rows
 from wharf.operators.joins import key_condition
 from wharf.operators.projections import all_of
 from wharf.operators.quality import (
@@ -222,24 +223,19 @@ def songplays_v2(staging_events: DataFrame, staging_songs: DataFrame,
 
 def users_v2(staging_events: DataFrame, play_page: str = PLAY_PAGE) -> DataFrame:
     """DISTINCT over five columns: a user on two levels has two rows (T-10)."""
-    return (
-        staging_events.filter(F.col("page") == play_page)
-        .select(
-            F.col("userId").alias("userid"), F.col("firstName").alias("firstname"),
-            F.col("lastName").alias("lastname"), "gender", "level",
-        )
-        .distinct()
-    )
+    return distinct_rows(staging_events.filter(F.col("page") == play_page), [
+        F.col("userId").alias("userid"), F.col("firstName").alias("firstname"),
+        F.col("lastName").alias("lastname"), "gender", "level",
+    ])
 
 
 def songs_v2(staging_songs: DataFrame) -> DataFrame:
-    return staging_songs.select("song_id", "title", "artist_id", "year", "duration").distinct()
+    return distinct_rows(staging_songs, ["song_id", "title", "artist_id", "year", "duration"])
 
 
 def artists_v2(staging_songs: DataFrame) -> DataFrame:
-    return staging_songs.select(
-        "artist_id", "artist_name", "artist_location", "artist_latitude", "artist_longitude"
-    ).distinct()
+    return distinct_rows(staging_songs, [
+        "artist_id", "artist_name", "artist_location", "artist_latitude", "artist_longitude"])
 
 
 def time_v2(songplays: DataFrame) -> DataFrame:

@@ -12,7 +12,6 @@ memory are sized by the deployment.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -99,15 +98,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/wharf-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for Python-side file checks in tests."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
-
-
 # Sizing rules: bytes of input per initial shuffle partition, and the
 # partition / split sizes used once inputs reach terabytes.
 _BYTES_PER_INITIAL_PARTITION = 512 * 1024 * 1024
