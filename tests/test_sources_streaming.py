@@ -121,3 +121,28 @@ def test_append_new_partitioned_probes_touched_partitions(spark, tmp):
     writers.append_new(batch, tmp + "/fact", key="id", partition_by=["day"])
     got = sorted((r["id"], str(r["day"])) for r in spark.read.parquet(tmp + "/fact").collect())
     assert got == [("a", "2018-11-01"), ("b", "2018-11-02"), ("c", "2018-11-02")]
+
+
+def test_month_layout_prunes_partitions(spark, tmp):
+    df = spark.createDataFrame([(1, 1541121934796), (2, 1543622400000), (3, 1546300800000)],
+                               "id int, ts long")  # 2018-11-02, 2018-12-01, 2019-01-01
+    writers.write_by_month(df, tmp + "/staging")
+    got = files.read_month(spark, tmp + "/staging", dt.date(2018, 12, 5))
+    assert [r["id"] for r in got.collect()] == [2]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and "(month" in plan
+
+
+def test_analyze_tables_enables_cbo(spark, tmp):
+    from wharf.session import analyze_tables
+    spark.range(100).write.mode("overwrite").option("path", tmp + "/a").saveAsTable("cbo_a")
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.cbo.enabled",
+                                                 "spark.sql.cbo.joinReorder.enabled")}
+    try:
+        analyze_tables(spark, ["cbo_a"])
+        stats = spark.sql("DESCRIBE TABLE EXTENDED cbo_a").filter("col_name = 'Statistics'").first()
+        assert "100 rows" in stats["data_type"]
+        assert spark.conf.get("spark.sql.cbo.enabled") == "true"
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

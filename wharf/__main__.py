@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from wharf import schemas
 from wharf.operators.quality import report_lines
 from wharf.plans import analytics, lake, layout, star
-from wharf.session import get_session
+from wharf.session import analyze_tables, get_session
 from wharf.sources import files
 
 
@@ -70,6 +70,7 @@ def _ssb(spark, a) -> int:
     keys = {"lineorder": a.bucket_key, "part": "p_partkey", "supplier": "s_suppkey",
             "customer": "c_custkey", "dwdate": "d_datekey"}
     names = layout.write_bucketed(plain, keys, a.buckets, a.out, "ssb")
+    analyze_tables(spark, list(names.values()))  # statistics for join reordering
     bucketed = {n: spark.table(t) for n, t in names.items()}
 
     def q(fn):

@@ -143,3 +143,17 @@ def size_for_input(spark: SparkSession, total_bytes: int) -> dict[str, str]:
             spark.conf.set(key, value)
             applied[key] = value
     return applied
+
+
+def analyze_tables(spark: SparkSession, tables: list[str], columns: bool = True) -> None:
+    """Collect catalog statistics and turn on cost-based join reordering.
+
+    ``ANALYZE TABLE … COMPUTE STATISTICS [FOR ALL COLUMNS]`` gives Catalyst row
+    counts and column statistics, so with ``spark.sql.cbo.enabled`` and
+    ``spark.sql.cbo.joinReorder.enabled`` it orders a multi-way star join by
+    estimated size instead of by how the query lists the tables.
+    """
+    for t in tables:
+        spark.sql(f"ANALYZE TABLE {t} COMPUTE STATISTICS" + (" FOR ALL COLUMNS" if columns else ""))
+    for key in ("spark.sql.cbo.enabled", "spark.sql.cbo.joinReorder.enabled"):
+        spark.conf.set(key, "true")

@@ -59,6 +59,18 @@ def persist(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
     return df.sparkSession.read.format(fmt).load(path)
 
 
+def write_by_month(df: DataFrame, path: str, ts_ms_col: str = "ts", mode: str = "append",
+                   fmt: str = "parquet") -> None:
+    """SRC-4 as a layout: ``year=/month=`` partitions from an epoch-ms column.
+
+    A run for one date then reads its month only (partition pruning, see
+    :func:`wharf.sources.files.read_month`) instead of listing a date prefix.
+    """
+    ts = F.timestamp_millis(F.col(ts_ms_col))
+    (df.withColumn("year", F.year(ts)).withColumn("month", F.month(ts))
+     .write.mode(mode).format(fmt).partitionBy("year", "month").save(path))
+
+
 def append(df: DataFrame, path: str, fmt: str = "parquet",
            partition_by: Sequence[str] = ()) -> None:
     """SNK-1 / SNK-3: ``INSERT INTO … SELECT`` without truncate."""

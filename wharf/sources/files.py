@@ -79,6 +79,16 @@ def stage(spark: SparkSession, source: str, target: str, schema: T.StructType |
     return spark.read.format(fmt).load(target)
 
 
+def read_month(spark: SparkSession, path: str, run_date: dt.date, fmt: str = "parquet") -> DataFrame:
+    """SRC-4 on a ``year=/month=`` layout: the run date's month only.
+
+    The equality on the partition columns becomes a partition filter, so only
+    that month's folders are listed and read.
+    """
+    df = spark.read.format(fmt).load(path)
+    return df.filter((F.col("year") == run_date.year) & (F.col("month") == run_date.month))
+
+
 def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str,
                    sep: str = ",", header: bool = False, repartition: int | None = None,
                    options: Mapping[str, str] | None = None) -> DataFrame:
