@@ -14,10 +14,13 @@ landing with a consent column.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wharf.functions import exprs as X
 from wharf.operators import quality as Q
@@ -31,9 +34,17 @@ from wharf.plans import analytics as A
 from wharf.plans import lake as L
 from wharf.plans import serving as S
 from wharf.plans import star
+from wharf.session import scratch_path
+from wharf.sinks.writers import (
+    append_new, append_record, quoted_csv, save_bucketed, save_json_table,
+)
 from wharf.sources import conform as C
+from wharf.sources.files import (
+    create_external_json_table, dated_prefix, list_files, load_tables, read_catalog,
+    read_csv_dir, read_delimited, read_json, read_json_recursive, stage,
+)
 from wharf.sources.tables import Tables
-from wharf.session import scratch_path
+from wharf.streaming.incremental import run_incremental, run_keyed_append
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -847,9 +858,6 @@ def append_rows(spark, sf_dir):
 
 
 def _append(docs: DataFrame, record: dict) -> DataFrame:
-    from pyspark.sql import types as T
-
-    from wharf.sinks.writers import append_record
     schema = T.StructType([
         T.StructField("doc_id", T.LongType(), False),
         T.StructField("text", T.StringType(), False),
@@ -879,7 +887,6 @@ _NTZ_FMT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 @register("csv_quoted_roundtrip", "SELECT * FROM part")
 def csv_quoted_roundtrip(spark, sf_dir):
     """SNK-5 (all fields quoted, header) → SRC-11 (folder read, header skipped)."""
-    from wharf.sinks.writers import quoted_csv
     part = _t(spark, sf_dir).part
     path = scratch_path(spark, "part_csv")
     quoted_csv(part, path)
@@ -893,7 +900,6 @@ WHERE l.quality IS NOT NULL
 """)
 def json_table_roundtrip(spark, sf_dir):
     """PL-3 published: DQ-7 rule + metrics, SNK-4 JSON table sink, SRC-9 catalog read."""
-    from wharf.sources.files import read_catalog
     trusted = L.customer_trusted(_landing(_t(spark, sf_dir)), consent_col="consent")
     table = _table_name("customer_trusted")
     L.publish(trusted, table, scratch_path(spark, table), mode="append")
@@ -903,7 +909,6 @@ def json_table_roundtrip(spark, sf_dir):
 @register("json_recursive_read", "SELECT * FROM events")
 def json_recursive_read(spark, sf_dir):
     """SRC-8: inferred JSON lines from nested folders (``recurse=True``)."""
-    from wharf.sources.files import read_json_recursive
     ev = _t(spark, sf_dir).events
     base = scratch_path(spark, "events_json")
     split = F.col("event_type").isin("click", "view")
@@ -931,9 +936,7 @@ EVENT_JSONPATHS = [
 @register("jsonpaths_stage", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def jsonpaths_stage(spark, sf_dir):
     """SRC-3 staging load from a date prefix (SRC-4) with a JSON path list (SRC-2)."""
-    import datetime as dt
 
-    from wharf.sources.files import dated_prefix, stage
     ev = _t(spark, sf_dir).events
     base = scratch_path(spark, "log_data")
     run_date = dt.date(2024, 1, 31)
@@ -955,7 +958,6 @@ def gzip_split_roundtrip(spark, sf_dir):
     Written with one part per write task (the scan's own split), so the
     number of parts grows with the table and no shuffle is spent on it.
     """
-    from wharf.sources.files import read_delimited
     li = _t(spark, sf_dir).lineitem
     path = scratch_path(spark, "lineitem_gz")
     (li.write.mode("overwrite").option("sep", ";").option("compression", "gzip")
@@ -967,7 +969,6 @@ def gzip_split_roundtrip(spark, sf_dir):
 @register("pipe_load_tables", "SELECT * FROM part")
 def pipe_load_tables(spark, sf_dir):
     """SRC-7: pipe rows with a trailing ``|``, gzip, loaded into a catalog table."""
-    from wharf.sources.files import load_tables
     part = _t(spark, sf_dir).part
     path = scratch_path(spark, "part_pipe")
     line = F.concat(F.concat_ws("|", *[F.col(c).cast("string") for c in part.columns]), F.lit("|"))
@@ -990,7 +991,6 @@ def csv_cleanup(spark, sf_dir):
     raw_dir = scratch_path(spark, "event_data")
     (staged.select(*[F.col(c).cast("string") for c in staged.columns])
      .write.mode("overwrite").option("header", True).csv(raw_dir))
-    from wharf.sources.files import read_csv_dir
     raw = read_csv_dir(spark, raw_dir, columns=staged.columns)
     clean_dir = scratch_path(spark, "event_datafile_new")
     S.write_clean_csv(raw, clean_dir)
@@ -1014,7 +1014,6 @@ GROUP BY o_orderkey, o_orderstatus
 """)
 def bucketed_join(spark, sf_dir):
     """SNK-7: both sides bucketed on the join key → join and aggregate without Exchange."""
-    from wharf.sinks.writers import save_bucketed
     t = _t(spark, sf_dir)
     n = _parts(spark)
     li_t, o_t = _table_name("lineitem_b"), _table_name("orders_b")
@@ -1043,7 +1042,6 @@ def serving_bucketed_lookup(spark, sf_dir):
 @register("file_listing")
 def file_listing(spark, sf_dir):
     """SRC-13: ``(path, length)`` of the files of a written dataset (rows-only check)."""
-    from wharf.sources.files import list_files
     path = scratch_path(spark, "lineitem_files")
     _t(spark, sf_dir).lineitem.write.mode("overwrite").parquet(path)
     return list_files(spark, path, glob="*.parquet")
@@ -1056,7 +1054,6 @@ INCREMENTAL_SPLIT = "2024-01-16 00:00:00"
 @register("incremental_append", "SELECT * FROM events")
 def incremental_append(spark, sf_dir):
     """STR-1: bookmark-style runs — new files only; a rerun with no new files adds 0."""
-    from wharf.streaming.incremental import run_incremental
     ev = _t(spark, sf_dir).events
     landing, sink = scratch_path(spark, "landing"), scratch_path(spark, "trusted")
     ckpt = scratch_path(spark, "bookmark")
@@ -1072,7 +1069,6 @@ def incremental_append(spark, sf_dir):
 @register("incremental_keyed_replay", "SELECT * FROM events")
 def incremental_keyed_replay(spark, sf_dir):
     """STR-2: micro-batches appended with a key anti-join; a replay adds nothing."""
-    from wharf.streaming.incremental import run_keyed_append
     ev = _t(spark, sf_dir).events
     landing, target = scratch_path(spark, "landing"), scratch_path(spark, "fact")
     ev.write.mode("append").parquet(landing)
@@ -1089,7 +1085,6 @@ def star_v2_job(spark, sf_dir):
     out = scratch_path(spark, "star_v2")
     paths = star.run_v2(C.staging_events(t), C.staging_songs(t), out, play_page=PLAY_PAGE)
     # A rerun of the same hour appends nothing (T-11).
-    from wharf.sinks.writers import append_new
     append_new(star.songplays_v2(spark.read.parquet(paths["staging_events"]),
                                  spark.read.parquet(paths["staging_songs"]), PLAY_PAGE),
                paths["songplays"], key="songplay_id")
@@ -1097,7 +1092,6 @@ def star_v2_job(spark, sf_dir):
 
 
 def _table_name(prefix: str) -> str:
-    import uuid
     return f"{prefix}_{uuid.uuid4().hex[:10]}"
 
 
@@ -1186,7 +1180,6 @@ def star_v1_job(spark, sf_dir):
 @register("external_json_table", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def external_json_table(spark, sf_dir):
     """SRC-10: ``CREATE TABLE … USING json LOCATION`` with declared columns, then read."""
-    from wharf.sources.files import create_external_json_table, read_catalog
     ev = _t(spark, sf_dir).events
     path = scratch_path(spark, "events_landing")
     ev.write.mode("overwrite").option("timestampNTZFormat", _NTZ_FMT).json(path)
@@ -1237,8 +1230,6 @@ def v1_top_songs_by_gender(spark, sf_dir):
 @register("json_roundtrip", "SELECT * FROM events")
 def json_roundtrip(spark, sf_dir):
     """SNK-4 JSON table sink → SRC-1 load by key with the declared schema."""
-    from wharf.sinks.writers import save_json_table
-    from wharf.sources.files import read_json
     ev = _t(spark, sf_dir).events
     table = _table_name("events_json")
     path = scratch_path(spark, table)
