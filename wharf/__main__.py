@@ -50,14 +50,14 @@ def _star_v2(spark, a) -> int:
 
 
 def _lake_chain(spark, a) -> int:
-    names = lake.run_chain(
+    result = lake.run_chain(
         files.read_json(spark, a.customer, schemas.CUSTOMER_LANDING),
         files.read_json(spark, a.accelerometer, schemas.ACCELEROMETER_LANDING),
         files.read_json(spark, a.step_trainer, schemas.STEP_TRAINER_LANDING),
         a.out,
     )
-    for job, table in names.items():
-        print(f"{job}: {table} ({spark.table(table).count()} rows)")
+    for job, table in result.tables.items():
+        print(f"{job}: {table} ({result.rows[job]} rows)")
     return 0
 
 

@@ -10,6 +10,7 @@ customer_curated → step_trainer_trusted → machine_learning_curated.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -86,20 +87,31 @@ CHAIN_TABLES = (
 )
 
 
+@dataclass(frozen=True)
+class ChainResult:
+    """Catalog table and published row count of every job of the chain."""
+
+    tables: dict[str, str]
+    rows: dict[str, int]
+
+
 def run_chain(customer_landing: DataFrame, accelerometer_landing: DataFrame,
-              step_trainer_landing: DataFrame, base: str, suffix: str = "") -> dict[str, str]:
+              step_trainer_landing: DataFrame, base: str, suffix: str = "") -> ChainResult:
     """PL-3 … PL-7 in the reference's chain order, each job reading the previous
     jobs' output through the catalog (SRC-9) and publishing its own (SNK-4).
 
-    Returns ``{job: catalog table}``. Each table is a JSON table below
-    ``base``; ``suffix`` keeps repeated runs apart. Every job is its own Spark
-    job with its own files, so a failed step is rerun alone.
+    Each table is a JSON table below ``base``; ``suffix`` keeps repeated runs
+    apart. Row counts come from the metrics observed in each write pass
+    (DQ-7), not from extra count jobs. Every job is its own Spark job with its
+    own files, so a failed step is rerun alone.
     """
     spark = customer_landing.sparkSession
     names = {job: f"{job}{suffix}" for job in CHAIN_TABLES}
+    rows: dict[str, int] = {}
 
     def out(job: str, df: DataFrame) -> DataFrame:
-        publish(df, names[job], f"{base.rstrip('/')}/{job}", mode="overwrite")
+        obs = publish(df, names[job], f"{base.rstrip('/')}/{job}", mode="overwrite")
+        rows[job] = int(obs.get["rows"])
         return spark.table(names[job])
 
     trusted = out("customer_trusted", customer_trusted(customer_landing))
@@ -107,4 +119,4 @@ def run_chain(customer_landing: DataFrame, accelerometer_landing: DataFrame,
     curated = out("customer_curated", customer_curated(trusted, accel))
     steps = out("step_trainer_trusted", step_trainer_trusted(step_trainer_landing, curated))
     out("machine_learning_curated", machine_learning_curated(steps, accel))
-    return names
+    return ChainResult(names, rows)

@@ -1158,9 +1158,9 @@ def lake_chain(spark, sf_dir):
         F.col("user_id").cast("string").alias("serialNumber"),
         F.floor("value").cast("int").alias("distanceFromObject"),
     )
-    names = L.run_chain(customers, accel, steps, scratch_path(spark, "lake"),
-                        suffix=_table_name(""))
-    return spark.table(names["machine_learning_curated"])
+    result = L.run_chain(customers, accel, steps, scratch_path(spark, "lake"),
+                         suffix=_table_name(""))
+    return spark.table(result.tables["machine_learning_curated"])
 
 
 @register("star_v1_job", _with(_SE, _SS) + f"""
