@@ -28,6 +28,11 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     returned unchanged and the planner picks a shuffle join. The verdict is
     remembered for the same logical plan over the same input files (a table
     rewritten at its path has new file names and is checked again).
+
+    Meant for tables whose size is bounded by what they describe (nations,
+    regions, calendars). Large fact or dimension tables should not be passed
+    here: their joins are left to the planner and AQE, which decide from
+    measured sizes.
     """
     key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
     small = _SMALL.get(key)
