@@ -86,3 +86,32 @@ def test_right_join_distinct_without_key_column_equals_sql(spark, left_rows, rig
     got = right_join_distinct(left, right, ["k"], ["rk"], ["v"])
     norm = lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
     assert norm(got) == norm(ref)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(keys, small), max_size=25), st.lists(st.tuples(keys, small), max_size=40),
+       st.sampled_from(["left", "inner"]), st.integers(min_value=1, max_value=4))
+def test_salted_join_equals_plain_join(spark, left_rows, right_rows, how, buckets):
+    from wharf.operators.joins import salted_join
+    left = spark.createDataFrame(left_rows, "k int, a int")
+    right = spark.createDataFrame(right_rows, "rk int, b int")
+    # hot_rows=2: every key with 3+ right rows is salted.
+    got = salted_join(left, right, ["k"], ["rk"], how=how, buckets=buckets, hot_rows=2)
+    ref = left.join(right, left.k == right.rk, how)
+    norm = lambda df: sorted((tuple(r) for r in df.select("k", "a", "rk", "b").collect()), key=repr)
+    assert norm(got) == norm(ref)
+
+
+def test_salted_join_spreads_a_hot_right_key(spark):
+    from pyspark.sql import functions as F
+
+    from wharf.operators.joins import salted_join
+    right = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") + 10).alias("rk"),
+        F.col("id").alias("b"))
+    left = spark.createDataFrame([(1, "hot"), (5, "cold")], "k long, tag string")
+    out = salted_join(left, right, ["k"], ["rk"], how="left", buckets=8, hot_rows=1000)
+    assert out.filter("tag = 'hot'").count() == 10000
+    assert out.filter("tag = 'cold' AND rk IS NULL").count() == 1
+    # the hot key's right rows are spread over all 8 salts
+    assert out.filter("tag = 'hot'").select(F.pmod(F.xxhash64("rk", "b"), F.lit(8))).distinct().count() == 8

@@ -195,3 +195,14 @@ def test_bucketed_serving_lookup_prunes_buckets(spark, tmp):
     scanned = scan.metrics().get("numOutputRows").get().value()
     # Only the file of the key's bucket is read (bucket pruning), not all 1000 rows.
     assert scanned < 1000 / 4
+
+
+def test_equal_time_join_salted_matches_plain(spark):
+    steps = spark.createDataFrame([("s1", 100, 7), ("s2", 200, 8), ("s3", 300, 9)],
+                                  "serialNumber string, sensorReadingTime bigint, distanceFromObject int")
+    readings = spark.createDataFrame([(100, float(i), 0.0, 0.0) for i in range(50)] + [(200, 1.0, 0.0, 0.0)],
+                                     "timestamp bigint, x double, y double, z double")
+    plain = lake.machine_learning_curated(steps, readings)
+    salted = lake.machine_learning_curated(steps, readings, salt_buckets=4, hot_rows=10)
+    norm = lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
+    assert norm(salted) == norm(plain) and len(norm(plain)) == 52

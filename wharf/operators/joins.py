@@ -118,3 +118,54 @@ def right_join_distinct(left: DataFrame, right: DataFrame, left_keys: Sequence[s
     # the union is already distinct; otherwise a matched all-NULL row could
     # repeat the synthetic one.
     return out if set(left_keys) <= set(left_cols) else out.distinct()
+
+
+def salted_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
+                right_keys: Sequence[str], how: str = "left", buckets: int = 16,
+                hot_rows: int = 1_000_000, max_hot_keys: int = 10_000) -> DataFrame:
+    """Equi-join that spreads hot keys of the *right* side over ``buckets`` tasks.
+
+    AQE splits skewed partitions only on the side that may be split for the
+    join type — for a left outer join, the left side. A key holding a third of
+    the right side's rows would still be built in one task. Here the right
+    keys with more than ``hot_rows`` rows are found with a map-side count; the
+    right rows of those keys get a salt in ``[0, buckets)`` from a hash of the
+    row, and the matching left rows are replicated once per salt, so each
+    (left, right) pair meets in exactly one bucket. Other keys use salt 0.
+
+    For ``how="left"`` a replicated left row whose bucket happens to be empty
+    would come out NULL-padded; a hot key always has right rows, so those
+    copies are dropped and the result equals the plain join exactly. The hot
+    key list is at most ``right rows / hot_rows`` long and is broadcast only
+    below ``max_hot_keys`` rows (checked); above it the hot keys are joined by
+    shuffle. Supports ``inner`` and ``left``.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("salted_join supports inner and left joins")
+    hot = (right.groupBy(*right_keys).agg(F.count(F.lit(1)).alias("_n"))
+           .filter(F.col("_n") > hot_rows)
+           .select(*[F.col(k).alias(f"_hot{i}") for i, k in enumerate(right_keys)])
+           .withColumn("_is_hot", F.lit(True)))
+    hot = broadcast_if_small(hot, max_hot_keys)
+
+    def tag(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        cond = reduce(lambda a, b: a & b,
+                      [df[k] == hot[f"_hot{i}"] for i, k in enumerate(keys)])
+        tagged = df.join(hot, cond, "left")
+        return tagged.drop(*[f"_hot{i}" for i in range(len(keys))]).withColumn(
+            "_is_hot", F.coalesce(F.col("_is_hot"), F.lit(False)))
+
+    r = tag(right, right_keys)
+    r = r.withColumn("_salt", F.when(
+        F.col("_is_hot"), F.pmod(F.xxhash64(*[F.col(c) for c in right.columns]), F.lit(buckets))
+    ).otherwise(F.lit(0))).withColumn("_matched", F.lit(True)).drop("_is_hot")
+    lt = tag(left, left_keys)
+    lt = lt.withColumn("_salt", F.explode(F.when(
+        F.col("_is_hot"), F.sequence(F.lit(0), F.lit(buckets - 1))
+    ).otherwise(F.array(F.lit(0)))))
+    r = r.withColumnRenamed("_salt", "_rsalt")
+    cond = key_condition(lt, r, list(left_keys), list(right_keys)) & (lt["_salt"] == r["_rsalt"])
+    out = lt.join(r, cond, how)
+    if how == "left":
+        out = out.filter(~(F.col("_is_hot") & F.col("_matched").isNull()))
+    return out.drop("_is_hot", "_salt", "_rsalt", "_matched")

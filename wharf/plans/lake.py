@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from wharf.operators.joins import existence_join, right_join_distinct
+from wharf.operators.joins import existence_join, right_join_distinct, salted_join
 from wharf.operators.quality import column_count_rule, observed
 from wharf.sinks.writers import save_json_table
 
@@ -63,8 +63,22 @@ def machine_learning_curated(steps: DataFrame, readings: DataFrame,
                              step_time: str = "sensorReadingTime", reading_time: str = "timestamp",
                              step_cols: Sequence[str] = ("serialNumber", "sensorReadingTime",
                                                          "distanceFromObject"),
-                             reading_cols: Sequence[str] = ("x", "y", "z")) -> DataFrame:
-    """PL-7: steps left-joined to readings on equal time, no DISTINCT (JN-7, T-14)."""
+                             reading_cols: Sequence[str] = ("x", "y", "z"),
+                             salt_buckets: int = 0, hot_rows: int = 1_000_000) -> DataFrame:
+    """PL-7: steps left-joined to readings on equal time, no DISTINCT (JN-7, T-14).
+
+    AQE can split a hot time only on the steps side of this left join; when
+    many readings share one instant, ``salt_buckets > 0`` spreads the times
+    with more than ``hot_rows`` readings over that many tasks
+    (:func:`wharf.operators.joins.salted_join`).
+    """
+    if salt_buckets > 0:
+        st = steps.select(*[F.col(c).alias(f"s_{c}") for c in steps.columns])
+        rd = readings.select(*[F.col(c).alias(f"r_{c}") for c in readings.columns])
+        joined = salted_join(st, rd, [f"s_{step_time}"], [f"r_{reading_time}"], how="left",
+                             buckets=salt_buckets, hot_rows=hot_rows)
+        return joined.select(*[F.col(f"s_{c}").alias(c) for c in step_cols],
+                             *[F.col(f"r_{c}").alias(c) for c in reading_cols])
     s, r = steps.alias("stt"), readings.alias("act")
     joined = s.join(r, F.col(f"stt.{step_time}") == F.col(f"act.{reading_time}"), "left")
     return joined.select(*[F.col(f"stt.{c}") for c in step_cols],
