@@ -129,18 +129,24 @@ def main() -> None:
             repeats)
     headline += ["load_gzip_split", "load_gzip_single"]
 
-    # Every other registered query once, after a warm-up.
+    # Every other registered query once, after a warm-up. A failure is
+    # reported on stderr and recorded as null, so the JSON line still prints.
+    failed: dict[str, None] = {}
     for name, fn in QUERIES.items():
         if name in IO_QUERIES or name in out:
             continue
-        out[name] = timed(lambda fn=fn: run_noop(fn(spark, sf_dir)), 1)
+        try:
+            out[name] = timed(lambda fn=fn: run_noop(fn(spark, sf_dir)), 1)
+        except Exception as exc:  # noqa: BLE001
+            print(f"bench: {name} failed: {exc}", file=sys.stderr)
+            failed[name] = None
 
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({
         "metric": "headline_total_sec",
         "value": round(sum(out[k] for k in headline), 3),
         "unit": "sec",
-        "queries": {k: round(v, 3) for k, v in out.items()},
+        "queries": {**{k: round(v, 3) for k, v in out.items()}, **failed},
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
         "cpus": cpus,
     }))
