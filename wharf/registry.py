@@ -974,7 +974,7 @@ def pipe_load_tables(spark, sf_dir):
     line = F.concat(F.concat_ws("|", *[F.col(c).cast("string") for c in part.columns]), F.lit("|"))
     part.select(line.alias("value")).write.mode("overwrite").option("compression", "gzip").text(path)
     table = _table_name("ssb_part")
-    load_tables(spark, {table: (path, part.schema)}, sep="|")
+    load_tables(spark, {table: (path, part.schema)}, sep="|", location=scratch_path(spark, table))
     return spark.table(table)
 
 

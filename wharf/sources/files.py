@@ -105,12 +105,14 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: T.Str
 
 def load_tables(spark: SparkSession, tables: Mapping[str, tuple[str, T.StructType | str]],
                 database: str | None = None, sep: str = "|",
-                bucket_by: Mapping[str, tuple[Sequence[str], int]] | None = None) -> DataFrame:
+                bucket_by: Mapping[str, tuple[Sequence[str], int]] | None = None,
+                location: str | None = None) -> DataFrame:
     """SRC-7: load several delimited tables into the catalog, timing each.
 
     Each table is read with its schema and saved as a catalog table (bucketed
-    when ``bucket_by`` names its key and bucket count). Returns a DataFrame of
-    ``(table, load_seconds)`` — one row per table.
+    when ``bucket_by`` names its key and bucket count), below ``location``
+    when given (external tables), else in the warehouse. Returns a DataFrame
+    of ``(table, load_seconds)`` — one row per table.
     """
     import time
 
@@ -121,11 +123,13 @@ def load_tables(spark: SparkSession, tables: Mapping[str, tuple[str, T.StructTyp
         full = f"{database}.{name}" if database else name
         t0 = time.perf_counter()
         df = read_delimited(spark, path, schema, sep=sep)
+        target = f"{location.rstrip('/')}/{name}" if location else None
         if bucket_by and name in bucket_by:
             cols, n = bucket_by[name]
-            save_bucketed(df, full, bucket_by=cols, buckets=n, sort_by=cols)
+            save_bucketed(df, full, bucket_by=cols, buckets=n, sort_by=cols, path=target)
         else:
-            df.write.mode("overwrite").format("parquet").saveAsTable(full)
+            w = df.write.mode("overwrite").format("parquet")
+            (w.option("path", target) if target else w).saveAsTable(full)
         timings.append((name, time.perf_counter() - t0))
     return spark.createDataFrame(timings, "table string, load_seconds double")
 
