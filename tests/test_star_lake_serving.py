@@ -206,3 +206,11 @@ def test_equal_time_join_salted_matches_plain(spark):
     salted = lake.machine_learning_curated(steps, readings, salt_buckets=4, hot_rows=10)
     norm = lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
     assert norm(salted) == norm(plain) and len(norm(plain)) == 52
+
+
+def test_v1_job_generates_unique_songplay_ids(spark, staging, tmp):
+    events, songs = staging
+    paths = star.run_v1(events, songs.filter(F.col("song_id").isNotNull()), tmp + "/v1ids")
+    fact = spark.read.parquet(paths["songplay"])
+    assert fact.columns[0] == "songplay_id"
+    assert fact.select("songplay_id").distinct().count() == fact.count() == 4

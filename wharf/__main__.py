@@ -19,7 +19,7 @@ import sys
 from pyspark.sql import functions as F
 
 from wharf import schemas
-from wharf.operators.quality import report_lines
+from wharf.operators.quality import report_lines, run_suite
 from wharf.plans import analytics, lake, layout, star
 from wharf.session import analyze_tables, get_session
 from wharf.sources import files
@@ -30,7 +30,7 @@ def _star_v1(spark, a) -> int:
     songs = files.read_json(spark, a.song_data, schemas.STAGING_SONGS)
     paths = star.run_v1(events, songs, a.out)
     tables = {n: spark.read.parquet(p) for n, p in paths.items()}
-    for line in report_lines(star.check_v1(tables)):
+    for line in report_lines(run_suite(tables, star.V1_JOB_CHECKS)):
         print(line)
     for name, df in analytics.star_sample_queries(tables, a.year).items():
         print(f"-- {name}")
