@@ -94,3 +94,14 @@ def test_hot_key_join_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_no_registered_query_has_nested_loops_or_python(spark):
+    bad = {}
+    for name, fn in E.queries().items():
+        plan = physical(fn(spark, SF_SMALL))
+        hits = [p for p in ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython",
+                            "ArrowEvalPython") if p in plan]
+        if hits:
+            bad[name] = hits
+    assert bad == {}
