@@ -204,3 +204,23 @@ def test_small_library_operators(spark):
         ("Ann", "T1"), ("Ann", "T1"), ("Bo", "T2")]
     assert drop_fields(wide, ["uid", "sid"]).columns == ["user_id", "song_id", "level", "name",
                                                          "title"]  # PRJ-5
+
+
+def test_question_bank_post_and_draw(spark):
+    from wharf import schemas
+    from wharf.plans.questions import get_questions, post_question
+    rows = [(f"q{i}", "math" if i % 2 else "art", "A", "test", "a", "b", None, None)
+            for i in range(30)]
+    bank = spark.createDataFrame(rows, schemas.QUESTION)
+    bank = post_question(bank, {"question": "new", "subject": ["math", "art"], "correct": "A",
+                                "use": "exam", "responseA": "a", "responseB": "b"})
+    assert bank.filter("use = 'exam'").count() == 2
+    got = get_questions(bank, "test", ["math"], 10, seed=1).collect()
+    assert len(got) == 10 and {r["subject"] for r in got} == {"math"}
+    assert {r["responseC"] for r in got} == {""}  # NULL shown as empty (FN-12)
+    with pytest.raises(SampleError):
+        get_questions(bank, "test", ["math"], 7)          # not an allowed size
+    with pytest.raises(Q.DataQualityError):
+        get_questions(bank, "test", ["history"], 5)       # unknown subject
+    with pytest.raises(SampleError):
+        get_questions(bank, "exam", ["math"], 5)          # fewer than n

@@ -26,12 +26,11 @@ from wharf.functions import exprs as X
 from wharf.operators import quality as Q
 from wharf.operators.aggregates import distinct_count
 from wharf.operators.joins import broadcast_if_small
-from wharf.operators.projections import in_list_and_equal
-from wharf.operators.sampling import check_allowed, sample_exact
 from wharf.operators.surrogate import dense_ids
 from wharf.operators.upsert import last_write_wins
 from wharf.plans import analytics as A
 from wharf.plans import lake as L
+from wharf.plans import questions as Qs
 from wharf.plans import serving as S
 from wharf.plans import star
 from wharf.session import scratch_path
@@ -829,19 +828,14 @@ def surrogate_key(spark, sf_dir):
 SAMPLE_SUBJECTS = ("en", "fr")
 SAMPLE_USE = "src1"
 SAMPLE_N = 5
-SAMPLE_ALLOWED_N = (5, 10, 20)
 
 
 @register("sample_n")
 def sample_n(spark, sf_dir):
     """PL-16: DQ-10, DQ-9, FLT-9, SMP-1, FN-12 (random rows: rows-only check)."""
     docs = _t(spark, sf_dir).documents
-    check_allowed(SAMPLE_N, SAMPLE_ALLOWED_N)
-    Q.require_values(docs, "lang", list(SAMPLE_SUBJECTS))
-    Q.require_values(docs, "source", [SAMPLE_USE])
-    pool = docs.filter(in_list_and_equal("lang", SAMPLE_SUBJECTS, "source", SAMPLE_USE))
-    picked = sample_exact(pool, SAMPLE_N, seed=7)
-    return picked.select(*[X.null_to_empty(c).alias(c) for c in picked.columns])
+    return Qs.get_questions(docs, SAMPLE_USE, SAMPLE_SUBJECTS, SAMPLE_N,
+                            subject_col="lang", use_col="source", seed=7)
 
 
 @register("append_rows", """
