@@ -61,3 +61,17 @@ def test_ssb_cli(spark, tmp, capsys):
     out = capsys.readouterr().out
     for q in ("oneDim", "twoDim", "drill", "oneDimSameDist"):
         assert q in out
+
+
+def test_load_study_cli(spark, tmp, capsys):
+    rows = [f"{i};1;2;1;A;3;4;{i * 10 if i % 3 else ''};{i}.50" for i in range(40)]
+    os.makedirs(tmp + "/split")
+    for p in range(4):
+        with gzip.open(f"{tmp}/split/tickets.part{p}.csv.gz", "wt") as f:
+            f.write("\n".join(rows[p::4]) + "\n")
+    with gzip.open(f"{tmp}/tickets_full.csv.gz", "wt") as f:
+        f.write("\n".join(rows) + "\n")
+    assert main(["load-study", "--split", tmp + "/split", "--single",
+                 tmp + "/tickets_full.csv.gz"]) == 0
+    out = capsys.readouterr().out
+    assert "split" in out and "single" in out

@@ -4,6 +4,7 @@
     python -m wharf star-v2 --log-data DIR --song-data DIR --out DIR [--run-date 2018-11-05]
     python -m wharf lake-chain --customer DIR --accelerometer DIR --step-trainer DIR --out DIR
     python -m wharf ssb --data DIR --out DIR [--buckets N]
+    python -m wharf load-study --split DIR --single FILE [--sep ';']
 
 Inputs are read with the declared schemas of :mod:`wharf.schemas`; outputs
 are written below ``--out`` (a shared folder on a cluster). Results shown on
@@ -90,6 +91,12 @@ def _ssb(spark, a) -> int:
     return 0
 
 
+def _load_study(spark, a) -> int:
+    layout.compare_loads(spark, {"split": a.split, "single": a.single}, schemas.TICKETS,
+                         sep=a.sep).show(truncate=False)
+    return 0
+
+
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="wharf")
     p.add_argument("--master", default=None, help="e.g. local[8]; leave unset on a cluster")
@@ -115,9 +122,14 @@ def main(argv: list[str] | None = None) -> int:
     ss.add_argument("--buckets", type=int, default=64)
     ss.add_argument("--bucket-key", default="lo_orderdate",
                     help="lineorder bucket column (the join key; T-19)")
+    ls = sub.add_parser("load-study", help="split-file against single-file gzip load (tickets)")
+    ls.add_argument("--split", required=True, help="folder or glob of the split gzip parts")
+    ls.add_argument("--single", required=True, help="the single gzip file")
+    ls.add_argument("--sep", default=";")
     a = p.parse_args(argv)
     spark = get_session(a.master, app_name=f"wharf-{a.cmd}")
-    run = {"star-v1": _star_v1, "star-v2": _star_v2, "lake-chain": _lake_chain, "ssb": _ssb}
+    run = {"star-v1": _star_v1, "star-v2": _star_v2, "lake-chain": _lake_chain, "ssb": _ssb,
+           "load-study": _load_study}
     return run[a.cmd](spark, a)
 
 

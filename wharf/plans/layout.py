@@ -77,6 +77,27 @@ def compare_layouts(spark: SparkSession, queries: Mapping[str, QueryOnTables],
         "improvement_pct", X.improvement_pct("time_plain", "time_bucketed"))
 
 
+def compare_loads(spark: SparkSession, sources: Mapping[str, str], schema: str,
+                  sep: str = ";", spread: int | None = None) -> DataFrame:
+    """PL-15 on existing files: load each source, report partitions and seconds.
+
+    ``sources`` maps a label to a path (a folder or glob of gzip parts). A
+    source that reads as one partition (a single unsplittable file) is
+    repartitioned to ``spread`` tasks (default: the session's parallelism),
+    as a load of one big file must be before any further work.
+    """
+    from wharf.sources.files import read_delimited
+
+    spread = spread or spark.sparkContext.defaultParallelism
+    rows = []
+    for label, path in sources.items():
+        loaded = read_delimited(spark, path, schema, sep=sep)
+        n_in = loaded.rdd.getNumPartitions()
+        t = run_noop(loaded.repartition(spread) if n_in == 1 else loaded)
+        rows.append((label, n_in, t))
+    return spark.createDataFrame(rows, "layout string, input_partitions int, load_seconds double")
+
+
 def split_vs_single(spark: SparkSession, df: DataFrame, base: str, schema: str,
                     parts: int = 8, sep: str = ";") -> DataFrame:
     """PL-15: write ``df`` as ``parts`` gzip files and as one, load both, report.
@@ -84,17 +105,10 @@ def split_vs_single(spark: SparkSession, df: DataFrame, base: str, schema: str,
     The single file is written by one task by construction — that is the
     slow path the study measures; do not use it for production loads.
     """
-    from wharf.sources.files import read_delimited
-
     split_dir = f"{base.rstrip('/')}/split"
     single_dir = f"{base.rstrip('/')}/single"
     w = lambda d: d.write.mode("overwrite").option("sep", sep).option("compression", "gzip")
     w(df.repartition(parts)).csv(split_dir)
     w(df.coalesce(1)).csv(single_dir)
-    rows = []
-    for name, path, rep in (("split", split_dir, None), ("single", single_dir, parts)):
-        loaded = read_delimited(spark, f"{path}/part*", schema, sep=sep)
-        n_in = loaded.rdd.getNumPartitions()
-        t = run_noop(loaded.repartition(rep) if rep else loaded)
-        rows.append((name, n_in, t))
-    return spark.createDataFrame(rows, "layout string, input_partitions int, load_seconds double")
+    return compare_loads(spark, {"split": f"{split_dir}/part*", "single": f"{single_dir}/part*"},
+                         schema, sep=sep, spread=parts)
