@@ -75,3 +75,24 @@ def test_load_study_cli(spark, tmp, capsys):
                  tmp + "/tickets_full.csv.gz"]) == 0
     out = capsys.readouterr().out
     assert "split" in out and "single" in out
+
+
+def test_serving_cli(spark, tmp, capsys):
+    header = ("artist,auth,firstName,gender,itemInSession,lastName,length,level,location,method,"
+              "page,registration,sessionId,song,status,ts,userId")
+    lines = [
+        header,
+        'Band,Logged In,Ann,F,4,Lee,200.5,paid,"San Jose, CA",PUT,NextSong,1.54E+12,338,Old,200,1.54111E+12,10',
+        'Band,Logged In,Ann,F,4,Lee,201.5,paid,"San Jose, CA",PUT,NextSong,1.54E+12,338,New,200,1.54112E+12,10',
+        ',Logged In,Ann,F,5,Lee,,paid,"San Jose, CA",GET,Home,1.54E+12,338,,200,1.54113E+12,10',
+        'Crew,Logged In,Bo,M,0,Ray,100.0,free,"Reno, NV",PUT,NextSong,1.54E+12,182,All Hands Against His Own,200,1.54114E+12,10',
+    ]
+    os.makedirs(tmp + "/event_data")
+    with open(tmp + "/event_data/2018-11-01-events.csv", "w") as f:
+        f.write("\n".join(lines) + "\n")
+    assert main(["serving", "--event-data", tmp + "/event_data", "--out", tmp + "/srv",
+                 "--buckets", "4"]) == 0
+    out = capsys.readouterr().out
+    assert "'lines': 4" in out                       # header + 3 rows with an artist
+    assert "New" in out and "| Old" not in out       # last write wins on (338, 4)
+    assert "Bo" in out and "Ray" in out               # user_by_song lookup

@@ -5,6 +5,7 @@
     python -m wharf lake-chain --customer DIR --accelerometer DIR --step-trainer DIR --out DIR
     python -m wharf ssb --data DIR --out DIR [--buckets N]
     python -m wharf load-study --split DIR --single FILE [--sep ';']
+    python -m wharf serving --event-data DIR --out DIR [--buckets N]
 
 Inputs are read with the declared schemas of :mod:`wharf.schemas`; outputs
 are written below ``--out`` (a shared folder on a cluster). Results shown on
@@ -20,8 +21,10 @@ import sys
 from pyspark.sql import functions as F
 
 from wharf import schemas
+from wharf.functions import exprs as X
+from wharf.operators import quality
 from wharf.operators.quality import report_lines, run_suite
-from wharf.plans import analytics, lake, layout, star
+from wharf.plans import analytics, lake, layout, serving, star
 from wharf.session import analyze_tables, get_session
 from wharf.sources import files
 
@@ -91,6 +94,21 @@ def _ssb(spark, a) -> int:
     return 0
 
 
+def _serving(spark, a) -> int:
+    raw = files.read_csv_dir(spark, a.event_data, schemas.EVENT_CSV_COLUMNS)
+    clean_dir = f"{a.out.rstrip('/')}/event_datafile_new"
+    serving.write_clean_csv(raw, clean_dir)
+    print("clean CSV:", quality.csv_line_count(spark, clean_dir).first().asDict())
+    # The tables keep the event time as the arrival order (T-17), parsed via double (T-4).
+    rows = serving.clean_event_csv(raw, columns=(*serving.CLEAN_COLUMNS, "ts"))
+    events = serving.typed_events(rows).withColumn("ts", X.to_bigint_via_double("ts"))
+    names = serving.build_query_tables(events, a.out, a.buckets)
+    for name, df in serving.answer_queries(spark, names).items():
+        print(f"-- {name}")
+        df.show(50, truncate=False)
+    return 0
+
+
 def _load_study(spark, a) -> int:
     layout.compare_loads(spark, {"split": a.split, "single": a.single}, schemas.TICKETS,
                          sep=a.sep).show(truncate=False)
@@ -122,6 +140,10 @@ def main(argv: list[str] | None = None) -> int:
     ss.add_argument("--buckets", type=int, default=64)
     ss.add_argument("--bucket-key", default="lo_orderdate",
                     help="lineorder bucket column (the join key; T-19)")
+    sv = sub.add_parser("serving", help="query-first tables from an event CSV folder")
+    sv.add_argument("--event-data", required=True)
+    sv.add_argument("--out", required=True)
+    sv.add_argument("--buckets", type=int, default=64)
     ls = sub.add_parser("load-study", help="split-file against single-file gzip load (tickets)")
     ls.add_argument("--split", required=True, help="folder or glob of the split gzip parts")
     ls.add_argument("--single", required=True, help="the single gzip file")
@@ -129,7 +151,7 @@ def main(argv: list[str] | None = None) -> int:
     a = p.parse_args(argv)
     spark = get_session(a.master, app_name=f"wharf-{a.cmd}")
     run = {"star-v1": _star_v1, "star-v2": _star_v2, "lake-chain": _lake_chain, "ssb": _ssb,
-           "load-study": _load_study}
+           "load-study": _load_study, "serving": _serving}
     return run[a.cmd](spark, a)
 
 

@@ -45,11 +45,14 @@ def write_clean_csv(raw: DataFrame, path: str, files: int | None = None) -> None
 
 
 def typed_events(clean: DataFrame) -> DataFrame:
-    """Casts of the cleaned text columns before insert (FN-11, T-4)."""
+    """Casts of the cleaned text columns before insert (FN-11, T-4); columns
+    beyond the eleven (e.g. an arrival order) are passed through."""
+    extra = [c for c in clean.columns if c not in CLEAN_COLUMNS]
     return clean.select(
         "artist", "firstName", "gender", X.to_int("itemInSession").alias("itemInSession"),
         "lastName", X.to_double("length").cast("float").alias("length"), "level", "location",
         X.to_int("sessionId").alias("sessionId"), "song", X.to_int("userId").alias("userId"),
+        *extra,
     )
 
 
@@ -87,3 +90,48 @@ def clustered_layout(df: DataFrame, partition_key: Sequence[str],
 def distinct_pairs(df: DataFrame, a: str, b: str) -> DataFrame:
     """PL-11: a (song, user) primary key keeps each listener once."""
     return df.select(F.col(a), F.col(b)).distinct()
+
+
+# The three questions the tables answer (key values of the lookups).
+LOOKUP_SESSION_ITEM = {"sessionId": 338, "itemInSession": 4}
+LOOKUP_USER_SESSION = {"userId": 10, "sessionId": 182}
+LOOKUP_SONG = {"song": "All Hands Against His Own"}
+
+
+def build_query_tables(events: DataFrame, base: str, buckets: int,
+                       order_cols: Sequence[str] = ("ts",), suffix: str = "") -> dict[str, str]:
+    """PL-9 … PL-11: the three query-first tables from typed events.
+
+    ``events`` has the cleaned, typed columns (:func:`typed_events`) plus the
+    arrival-order columns; each table keeps the last arrival per primary key
+    (SNK-6) and is bucketed on its partition key, sorted by its clustering
+    key (SNK-7). Returns ``{table: catalog name}``.
+    """
+    specs = {
+        "songs_by_session": (["sessionId", "itemInSession"], ["artist", "song", "length"],
+                             ["sessionId"], ["itemInSession"]),
+        "song_by_session_and_user": (["userId", "sessionId", "itemInSession"],
+                                     ["artist", "song", "firstName", "lastName"],
+                                     ["userId", "sessionId"], ["itemInSession"]),
+        "user_by_song": (["song", "userId"], ["firstName", "lastName"], ["song"], ["userId"]),
+    }
+    names = {}
+    for table, (key, values, part_key, clustering) in specs.items():
+        name = f"{table}{suffix}"
+        save_serving_table(serving_table(events, key, values, list(order_cols)), name,
+                           part_key, clustering, buckets, path=f"{base.rstrip('/')}/{table}")
+        names[table] = name
+    return names
+
+
+def answer_queries(spark, names: Mapping[str, str]) -> dict[str, DataFrame]:
+    """The three lookups (FLT-12, FLT-12 + SRT-4, FLT-13) on the built tables."""
+    t = {k: spark.table(v) for k, v in names.items()}
+    return {
+        "songs_by_session": lookup(t["songs_by_session"], LOOKUP_SESSION_ITEM,
+                                   ["artist", "song", "length"]),
+        "song_by_session_and_user": lookup(t["song_by_session_and_user"], LOOKUP_USER_SESSION,
+                                           ["artist", "song", "firstName", "lastName"],
+                                           order_by=["itemInSession"]),
+        "user_by_song": lookup(t["user_by_song"], LOOKUP_SONG, ["firstName", "lastName"]),
+    }
