@@ -119,22 +119,22 @@ def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="wharf")
     p.add_argument("--master", default=None, help="e.g. local[8]; leave unset on a cluster")
     sub = p.add_subparsers(dest="cmd", required=True)
-    s1 = sub.add_parser("star-v1")
+    s1 = sub.add_parser("star-v1", help="spec-driven star build from JSON song and log data")
     s1.add_argument("--log-data", required=True)
     s1.add_argument("--song-data", required=True)
     s1.add_argument("--out", required=True)
     s1.add_argument("--year", type=int, default=2018)
-    s2 = sub.add_parser("star-v2")
+    s2 = sub.add_parser("star-v2", help="staged star build with checks (optionally one run date)")
     s2.add_argument("--log-data", required=True)
     s2.add_argument("--song-data", required=True)
     s2.add_argument("--out", required=True)
     s2.add_argument("--run-date", default=None)
-    lc = sub.add_parser("lake-chain")
+    lc = sub.add_parser("lake-chain", help="landing → trusted → curated lake jobs")
     lc.add_argument("--customer", required=True)
     lc.add_argument("--accelerometer", required=True)
     lc.add_argument("--step-trainer", required=True)
     lc.add_argument("--out", required=True)
-    ss = sub.add_parser("ssb")
+    ss = sub.add_parser("ssb", help="SSB queries on plain against bucketed layouts")
     ss.add_argument("--data", required=True, help="folder with lineorder/ part/ supplier/ customer/ dwdate/")
     ss.add_argument("--out", required=True)
     ss.add_argument("--buckets", type=int, default=64)
