@@ -194,9 +194,12 @@ V1_CHECKS = [
     TableChecks("songplay", key=None, not_null=("user_id", "start_time")),
 ]
 
-# The job's suite: the written fact also carries its generated key.
+# The job's suite: the written fact also carries its generated key. It is
+# checked for NULLs in the same pass; its uniqueness holds by construction
+# (partition index and row position), so no distinct count over the fact —
+# a full shuffle of the key column at scale — is spent re-proving it.
 V1_JOB_CHECKS = V1_CHECKS[:-1] + [
-    TableChecks("songplay", key="songplay_id", not_null=("user_id", "start_time")),
+    TableChecks("songplay", key=None, not_null=("songplay_id", "user_id", "start_time")),
 ]
 
 
