@@ -430,7 +430,7 @@ def serving_by_session(spark, sf_dir):
     return _songs_by_session(spark, sf_dir)
 
 
-# The looked-up keys (a session/item pair and a user/session pair).
+# Stand-in parameters: keys present in the driver tables for the point lookups.
 LOOKUP_SESSION, LOOKUP_ITEM = 1, 1
 LOOKUP_ROLE, LOOKUP_CONV = "user", 1
 LOOKUP_PART = 7
@@ -591,7 +591,9 @@ def count_by_two_keys(spark, sf_dir):
 
 # --- SSB (PL-13) --------------------------------------------------------------------
 
-# SSB predicates on the stand-in tables (discount is a fraction here).
+# SSB predicates. Fixed values from the benchmark queries: the year 1997, the quantity
+# bound 24, the region 'AMERICA', the month 'Dec1997'. Stand-ins for the driver tables:
+# the discount band as fractions, the category (a part type) and the two cities (nations).
 SSB_YEAR = 1997
 SSB_DISCOUNT = (0.01, 0.03)
 SSB_MAX_QUANTITY = 24
@@ -780,7 +782,7 @@ def dq_compare(spark, sf_dir):
     return Q.sql_check_report(spark, DQ_SQL_CHECKS)
 
 
-# lineitem's columns and their Spark type names, in file order.
+# lineitem's columns and their Spark type names, in file order (from the Parquet schema).
 _LINEITEM_TYPES = [
     ("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"),
     ("l_linenumber", "int"), ("l_quantity", "double"), ("l_extendedprice", "double"),
@@ -797,7 +799,7 @@ def dq_profile(spark, sf_dir):
     return Q.profile(_t(spark, sf_dir).lineitem)
 
 
-# The requested languages of the domain check (one is absent).
+# Stand-in parameters: the requested languages of the domain check (one is absent).
 DQ_REQUESTED_LANGS = ("en", "fr", "de", "it")
 
 
@@ -824,7 +826,7 @@ def surrogate_key(spark, sf_dir):
     return dense_ids(part, ["p_partkey"], col="sk")
 
 
-# The sampler's request (subjects ↔ languages, use ↔ source, n).
+# Stand-in parameters: the sampler's request (subjects ↔ languages, use ↔ source, n).
 SAMPLE_SUBJECTS = ("en", "fr")
 SAMPLE_USE = "src1"
 SAMPLE_N = 5
@@ -916,7 +918,7 @@ def json_recursive_read(spark, sf_dir):
     )
 
 
-# The positional JSON paths of the event staging load.
+# Stand-in parameters: the positional JSON paths of the event staging load.
 EVENT_JSONPATHS = [
     ("event_id", "$.eventId", "bigint"),
     ("ts", "$.eventTime", "timestamp_ntz"),
