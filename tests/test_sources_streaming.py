@@ -146,3 +146,21 @@ def test_analyze_tables_enables_cbo(spark, tmp):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_incremental_run_on_json_landing(spark, tmp):
+    # STR-1 on JSON lines with the declared landing schema (camelCase keys).
+    from wharf import schemas
+    land, sink, ck = tmp + "/landing", tmp + "/trusted", tmp + "/ck"
+    os.makedirs(land)
+    with open(land + "/a.json", "w") as f:
+        f.write('{"sensorReadingTime": 1, "serialNumber": "s1", "distanceFromObject": 3}\n')
+    schema = schemas.struct(schemas.STEP_TRAINER_LANDING)
+    run_incremental(spark, land, schema, sink, ck, fmt="json")
+    run_incremental(spark, land, schema, sink, ck, fmt="json")
+    assert spark.read.parquet(sink).count() == 1
+    with open(land + "/b.json", "w") as f:
+        f.write('{"sensorReadingTime": 2, "serialNumber": "s2", "distanceFromObject": 4}\n')
+    run_incremental(spark, land, schema, sink, ck, fmt="json")
+    got = sorted(r["serialNumber"] for r in spark.read.parquet(sink).collect())
+    assert got == ["s1", "s2"]
