@@ -61,12 +61,15 @@ def dated_prefix(key: str, run_date: dt.date | dt.datetime) -> str:
 
 def stage(spark: SparkSession, source: str, target: str, schema: T.StructType | str | None = None,
           json_paths: Sequence[tuple[str, str, str]] | None = None,
-          run_date: dt.date | None = None, fmt: str = "parquet") -> DataFrame:
+          run_date: dt.date | None = None, fmt: str = "parquet",
+          table: str | None = None) -> DataFrame:
     """SRC-3: staging load ``(table, bucket, key, timestamped, json_path)``.
 
-    Create + truncate + copy become one overwrite of ``target``. With
-    ``run_date`` the source is the date prefix of SRC-4; with ``json_paths``
-    the load is positional (SRC-2), otherwise by key (SRC-1).
+    Create + truncate + copy become one overwrite of ``target``; with
+    ``table`` the data is also the catalog table of that name (created on the
+    first load, replaced on the next). With ``run_date`` the source is the date
+    prefix of SRC-4; with ``json_paths`` the load is positional (SRC-2),
+    otherwise by key (SRC-1).
     """
     src = dated_prefix(source, run_date) if run_date else source
     if json_paths:
@@ -75,7 +78,11 @@ def stage(spark: SparkSession, source: str, target: str, schema: T.StructType |
         df = read_json(spark, src, schema)
     else:
         df = spark.read.json(src)
-    df.write.mode("overwrite").format(fmt).save(target)
+    w = df.write.mode("overwrite").format(fmt)
+    if table:
+        w.option("path", target).saveAsTable(table)
+        return spark.table(table)
+    w.save(target)
     return spark.read.format(fmt).load(target)
 
 
