@@ -12,8 +12,8 @@ import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 from wharf.sources.tables import TABLES
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = {k: v for k, v in E.queries().items() if k not in E.LLM_QUERIES}
+ORACLE = {k: v for k, v in E.oracle_sql().items() if k not in E.LLM_QUERIES}
 
 
 def _norm(v):

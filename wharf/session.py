@@ -12,6 +12,7 @@ memory are sized by the deployment.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -77,9 +78,9 @@ def apply_runtime_defaults(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is a shared file system path and is used as is. Only
-    when it is unset (tests, a bare local session) a fresh local folder is
-    created and registered, so lineage cutting and scratch tables still work.
+    On a cluster it must be configured: executors and the driver do not share
+    local disks, so there is no fallback and an unset folder raises. Only under
+    a ``local`` master (tests, a bare session) a fresh local folder is created.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -87,6 +88,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="wharf-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
