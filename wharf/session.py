@@ -15,6 +15,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -160,3 +162,23 @@ def analyze_tables(spark: SparkSession, tables: list[str], columns: bool = True)
         spark.sql(f"ANALYZE TABLE {t} COMPUTE STATISTICS" + (" FOR ALL COLUMNS" if columns else ""))
     for key in ("spark.sql.cbo.enabled", "spark.sql.cbo.joinReorder.enabled"):
         spark.conf.set(key, "true")
+
+
+_SHIPPED = "wharf-package.zip"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's code to the executors, once per Spark context.
+
+    Needed where Python tasks run and the package is not installed on the
+    executors. Spark's own file server distributes the archive.
+    """
+    sc = spark.sparkContext
+    if any(f.rsplit("/", 1)[-1] == _SHIPPED for f in sc.listFiles):
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="wharf-code-")) / _SHIPPED
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, Path(root.name) / f.relative_to(root))
+    sc.addPyFile(str(target))
