@@ -171,8 +171,11 @@ def ship_package(spark: SparkSession) -> None:
     """Send this package's code to the executors, once per Spark context.
 
     Needed where Python tasks run and the package is not installed on the
-    executors. Spark's own file server distributes the archive.
+    executors. Spark's own file server distributes the archive. Arrow batches
+    of whole texts are kept to 1,000 rows where the session has no setting.
     """
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None) in (None, "10000"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     sc = spark.sparkContext
     if any(f.rsplit("/", 1)[-1] == _SHIPPED for f in sc.listFiles):
         return
