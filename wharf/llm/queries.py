@@ -12,7 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship_package
 from ..sources.tables import load as _read
-from . import bpe, langid, line_rules, quality_nbsvm
+from . import bpe, credentials, langid, line_rules, near_dup, pii, quality_nbsvm
+
+
+def op1_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 2-word shingles have a similarity of 0.8 or more."""
+    return near_dup.near_duplicates(spark, _read(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op4_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +32,17 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(spark, _read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every text: base spans, and those that the trained classifier adds."""
+    docs = _read(spark, sf_dir, "documents")
+    return pii.find(spark, docs, pii.train(docs))
+
+
+def op8_credentials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every text: base spans, and weak parts of linked credentials."""
+    return credentials.scan(_read(spark, sf_dir, "documents")).drop("span_list", "key")
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every text, learnt from `labels.quality`."""
     docs = _read(spark, sf_dir, "documents")
@@ -49,5 +65,5 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return run
 
 
-QUERIES = {f.__name__: _shipped(f) for f in (op4_line_rules, op6_bpe, op9_quality, op10_language)}
+QUERIES = {f.__name__: _shipped(f) for f in (op1_near_dup, op4_line_rules, op6_bpe, op7_pii, op8_credentials, op9_quality, op10_language)}
 ORACLE: dict[str, str] = {}
