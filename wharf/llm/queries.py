@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship_package
 from ..sources.tables import load as _read
-from . import bpe, credentials, langid, line_rules, near_dup, pii, quality_nbsvm
+from . import bpe, credentials, decontaminate, langid, line_rules, lm_score, near_dup, pii, quality_nbsvm
 
 
 def op1_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,11 +20,21 @@ def op1_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(spark, _read(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the item."""
+    return decontaminate.contaminated(spark, _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op4_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base statistics and the verdict of the cross-document line rules."""
     return line_rules.quality_rules(spark, _read(spark, sf_dir, "documents")).drop("host", "text_hash")
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every text under the log-bilinear model."""
+    return lm_score.score(spark, _read(spark, sf_dir, "documents"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every text's token ids and decoded text."""
     import public_tokenizers
@@ -65,5 +75,5 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return run
 
 
-QUERIES = {f.__name__: _shipped(f) for f in (op1_near_dup, op4_line_rules, op6_bpe, op7_pii, op8_credentials, op9_quality, op10_language)}
+QUERIES = {f.__name__: _shipped(f) for f in (op1_near_dup, op2_decontaminate, op4_line_rules, op5_lm_score, op6_bpe, op7_pii, op8_credentials, op9_quality, op10_language)}
 ORACLE: dict[str, str] = {}
