@@ -55,11 +55,11 @@ def _matches(kind: str, pattern: str) -> Column:
 def parts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(key, kind, start, stop, strong) of every part in the distinct texts; key: the text's md5."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(text.alias("text"))
-    found = [rows.select(F.md5("text").alias("key"), *[_matches(k, p).alias(k) for k, p in {**STRONG, **WEAK}.items()])]
+    found = docs.select(text.alias("text")).select(
+        F.md5("text").alias("key"), *[_matches(k, p).alias(k) for k, p in {**STRONG, **WEAK}.items()])
     arrays = F.concat(*[F.coalesce(F.col(k), F.array()) for k in KINDS])
     any_kind = F.greatest(*[F.size(F.coalesce(F.col(k), F.array())) for k in KINDS]) > 0
-    flat = (found[0].filter(any_kind).select("key", F.explode(arrays).alias("p")).select("key", "p.*")
+    flat = (found.filter(any_kind).select("key", F.explode(arrays).alias("p")).select("key", "p.*")
             .distinct().repartition("key"))
     so_far = Window.partitionBy("key", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     stop = F.sum(F.col("gap") + F.col("n")).over(so_far)
@@ -94,22 +94,30 @@ def linked(found: DataFrame, scope: int = 300) -> DataFrame:
             .select("key", "kind", "start", "stop", "strong"))
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = 300) -> DataFrame:
-    """Per row: id, the counts of the strong kinds, base_sha256, spans (text) and span_list (kind, start, stop)."""
+def span_lists(docs: DataFrame, text_col: str = "text", scope: int = 300) -> DataFrame:
+    """(key, n_* of the strong kinds, span_list) of every distinct text with spans."""
     rank = F.coalesce(*[F.when(F.col("kind") == k, F.lit(i)) for i, k in enumerate(KINDS)])
     item = F.struct("start", rank.alias("rank"), "stop", "kind", "strong")
+    return (linked(parts(docs, text_col), scope).groupBy("key")
+            .agg(*[F.count_if(F.col("strong") & (F.col("kind") == k)).alias(f"n_{k}") for k in STRONG],
+                 F.array_sort(F.collect_list(item)).alias("span_list")))
+
+
+def text_key(text_col: str = "text") -> Column:
+    return F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+
+
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = 300) -> DataFrame:
+    """Per row: id, the counts of the strong kinds, base_sha256, spans (text) and span_list."""
     text = lambda items: F.array_join(F.transform(items, lambda x: F.concat_ws(":", x["kind"], x["start"], x["stop"])), ",")
-    spans = (linked(parts(docs, text_col), scope).groupBy("key")
-             .agg(*[F.count_if(F.col("strong") & (F.col("kind") == k)).alias(f"n_{k}") for k in STRONG],
-                  F.array_sort(F.collect_list(item)).alias("span_list"))
+    spans = (span_lists(docs, text_col, scope)
              .withColumn("base", text(F.filter("span_list", lambda x: x["strong"])))
              .withColumn("spans", text(F.col("span_list"))))
-    rows = docs.select(F.col(id_col).alias(id_col),
-                       F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("key"))
+    rows = docs.select(F.col(id_col).alias(id_col), text_key(text_col).alias("key"))
     return rows.join(spans, "key", "left").select(
         id_col, *[F.coalesce(f"n_{k}", F.lit(0)).cast("long").alias(f"n_{k}") for k in STRONG],
         F.sha2(F.coalesce("base", F.lit("")), 256).alias("base_sha256"), F.coalesce("spans", F.lit("")).alias("spans"),
-        "span_list", "key")
+        "span_list")
 
 
 def masked(text: Column, span_list: Column, mark: str = "[SECRET]") -> Column:

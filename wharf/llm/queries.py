@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship_package
 from ..sources.tables import load as _read
-from . import bpe, credentials, decontaminate, langid, line_rules, lm_score, near_dup, pii, quality_nbsvm
+from . import bpe, credentials, decontaminate, langid, line_rules, lm_score, near_dup, pii, quality_nbsvm, suffix_dedup
 
 
 def op1_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +25,11 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(spark, _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What remains of every text without its repeated 400-byte strings."""
+    return suffix_dedup.remove_repeats(spark, _read(spark, sf_dir, "documents"), with_text=False)
+
+
 def op4_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base statistics and the verdict of the cross-document line rules."""
     return line_rules.quality_rules(spark, _read(spark, sf_dir, "documents")).drop("host", "text_hash")
@@ -50,7 +55,7 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_credentials(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every text: base spans, and weak parts of linked credentials."""
-    return credentials.scan(_read(spark, sf_dir, "documents")).drop("span_list", "key")
+    return credentials.scan(_read(spark, sf_dir, "documents")).drop("span_list")
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,5 +80,5 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return run
 
 
-QUERIES = {f.__name__: _shipped(f) for f in (op1_near_dup, op2_decontaminate, op4_line_rules, op5_lm_score, op6_bpe, op7_pii, op8_credentials, op9_quality, op10_language)}
+QUERIES = {f.__name__: _shipped(f) for f in (op1_near_dup, op2_decontaminate, op3_suffix_dedup, op4_line_rules, op5_lm_score, op6_bpe, op7_pii, op8_credentials, op9_quality, op10_language)}
 ORACLE: dict[str, str] = {}
