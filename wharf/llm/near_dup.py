@@ -5,11 +5,14 @@ Sets that share all minima of a band are candidates; their signatures and then
 their full sets confirm a link (Jaccard similarity of at least `percent` %).
 Linked documents get the smallest id of their component.
 
-Equal sets are one node, so copies never meet in a bucket. In a bucket, members
-are compared with a growing number of centres, and only while they belong to
-different components: one comparison per member where the bucket is one group
-of near copies, every pair across components otherwise. No bucket is capped and
-no pair within a component is emitted twice.
+Equal sets are one node, so copies never meet in a bucket. In each bucket all
+members are compared with one centre, which joins groups of near copies without
+pairs among them. Links that this leaves out can only lie between members of one
+bucket that are in different components then. They are found by an exact prefix
+join of those members' sets: shingles are ordered from rare to frequent, and two
+sets can only be linked if the first shingle they share stands early enough in
+both for the rest to make up the similarity. No bucket is capped, and no bucket's
+pairs are emitted as such.
 
 With 40 bands of 5 rows a pair at the threshold of 80 % is missed with a
 probability of (1 - 0.8**5)**40 = 1.3e-7, a closer pair more rarely.
@@ -124,35 +127,110 @@ def _with_values(pairs: DataFrame, nodes: DataFrame, value: str) -> DataFrame:
     return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y")
 
 
-def _mixed(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """(bucket, node, root, main) of the buckets that hold several components; main: the largest one's root."""
+def _first_pairs(buckets: DataFrame) -> DataFrame:
+    """Each bucket's smallest node with every other member."""
+    low = buckets.groupBy("bucket").agg(F.min("node").alias("a"))
+    return buckets.join(low, "bucket").filter("node != a").select("a", F.col("node").alias("b")).distinct()
+
+
+def _open_nodes(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """(node, root, outside) of the members of buckets with several components.
+
+    outside: the node is not in the largest component of one of its buckets, so
+    that every pair that may still be a link has a node outside."""
     named = buckets.join(labels, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
     main = (named.groupBy("bucket", "root").count().groupBy("bucket")
             .agg(F.max_by("root", F.struct("count", "root")).alias("main"), F.count(F.lit(1)).alias("parts"))
             .filter("parts > 1").drop("parts"))
-    return named.join(main, "bucket")
+    return named.join(main, "bucket").groupBy("node", "root").agg(F.bool_or(F.expr("root != main")).alias("outside"))
 
 
-def _first_pairs(buckets: DataFrame) -> DataFrame:
-    """Each bucket's smallest node with every other member."""
-    low = buckets.groupBy("bucket").agg(F.min("node").alias("a"))
-    return buckets.join(low, "bucket").filter("node != a").select("a", F.col("node").alias("b")).distinct()
+#: Cells of the frequency sketch that orders shingles, the ratio between size classes, and
+#: words of 64 bits in the parity sketch of a set.
+_CELLS, _RATIO, _PARITY = 1 << 20, 1.06, 8
 
 
-def _next_pairs(mixed: DataFrame, every: bool) -> DataFrame:
-    """Members outside a bucket's largest component with all members of other components.
+def _cells(values: np.ndarray) -> np.ndarray:
+    return (values >> np.uint64(44)).astype(np.int64)
+
+
+def _count_cells(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(_CELLS, np.int64)
+    for batch in batches:
+        for v in batch.column("values"):
+            np.add.at(total, _cells(np.frombuffer(v.as_buffer(), np.uint64)), 1)
+    at = np.flatnonzero(total)
+    yield A.batch_of(cell=at, n=total[at])
 
-    Without `every`, of those outside only the smallest one is compared."""
-    outside = mixed.filter("root != main").select("bucket", F.col("node").alias("a"), F.col("root").alias("a_root"))
-    if not every:
-        outside = outside.groupBy("bucket").agg(F.min(F.struct("a", "a_root")).alias("s")).select("bucket", "s.*")
-    return (mixed.join(outside, "bucket").filter("root != a_root")
-            .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct())
+
+def _size_class(n: np.ndarray) -> np.ndarray:
+    return np.floor(np.log(n) / np.log(_RATIO)).astype(np.int32)
+
+
+def _parity(values: np.ndarray) -> np.ndarray:
+    """Parities of the shingles in each of 64 * _PARITY cells, as words of bits.
+
+    Two sets' parities differ in at most as many bits as the sets in shingles."""
+    cells = ((values >> np.uint64(20)) & np.uint64(64 * _PARITY - 1)).astype(np.int64)
+    return np.packbits((np.bincount(cells, minlength=64 * _PARITY) & 1).astype(bool)).view(np.int64)
+
+
+def _prefix(batches: Iterable[pa.RecordBatch], frequency: np.ndarray, percent: int, probe: bool) -> Iterator[pa.RecordBatch]:
+    """The shingles of each set at which a linked set may first meet it, rare ones first.
+
+    most: the greatest size of such a set, by what remains from the shingle on.
+    The index has one row per shingle, with the set's size class; a probe has one
+    for each size class that a linked set may have."""
+    for batch in batches:
+        out: list[list[np.ndarray]] = [[], [], [], [], []]
+        parity = np.zeros((batch.num_rows, _PARITY), np.int64)
+        for i, v in enumerate(batch.column("values")):
+            values = np.frombuffer(v.as_buffer(), np.uint64)
+            n, parity[i] = len(values), _parity(values)
+            values = values[np.lexsort([values, frequency[_cells(values)]])]
+            most = (n - np.arange(n)) * (100 + percent) // percent - n
+            least = -(-n * percent // 100)
+            use = np.flatnonzero(most >= least)
+            if probe:
+                low, high = _size_class(np.array([least]))[0], _size_class(most[use])
+                count = high - low + 1
+                use = np.repeat(use, count)
+                kind = low + np.arange(len(use)) - np.repeat(np.cumsum(count) - count, count)
+            else:
+                kind = np.full(len(use), _size_class(np.array([n]))[0])
+            for column, x in zip(out, (np.full(len(use), i), values[use].view(np.int64), kind, np.full(len(use), n), most[use])):
+                column.append(x)
+        which, shingle, kind, n, most = (np.concatenate([*c, np.zeros(0, np.int64)]).astype(np.int64) for c in out)
+        at = pa.array(which)
+        yield A.batch_of(shingle=shingle, kind=kind.astype(np.int32), node=batch.column("node").take(at),
+                         root=batch.column("root").take(at), n=n.astype(np.int32), most=most.astype(np.int32),
+                         **{f"p{k}": parity[which, k] for k in range(_PARITY)})
+
+
+def _prefix_pairs(spark: SparkSession, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of nodes of different components, one of them outside, that may be links, once for each
+    shingle at which they meet. sets: node, root, outside, values."""
+    got = sets.select("values").mapInArrow(_count_cells, "cell long, n long").groupBy("cell").agg(F.sum("n")).toArrow()
+    frequency = np.zeros(_CELLS, np.int64)
+    frequency[got.column(0).to_numpy()] = got.column(1).to_numpy()
+    shared = spark.sparkContext.broadcast(frequency)
+    schema = "shingle long, kind int, node long, root long, n int, most int"
+    schema += "".join(f", p{k} long" for k in range(_PARITY))
+    columns = ["node", "root", "values"]
+    index = sets.select(columns).mapInArrow(lambda b: _prefix(b, shared.value, percent, False), schema).alias("y")
+    probe = (sets.filter("outside").select(columns)
+             .mapInArrow(lambda b: _prefix(b, shared.value, percent, True), schema).alias("x"))
+    meet = (F.expr("x.shingle = y.shingle and x.kind = y.kind and x.root != y.root and y.n <= x.most and x.n <= y.most")
+            & F.expr(f"100 * y.n >= {percent} * x.n and 100 * x.n >= {percent} * y.n")
+            # A link's sets differ in this share of their sizes at most, and their parities in no more bits.
+            & F.expr(f"({100 + percent}) * (" + " + ".join(f"bit_count(x.p{k} ^ y.p{k})" for k in range(_PARITY))
+                     + f") <= {100 - percent} * (x.n + y.n)"))
+    return probe.join(index, meet).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """Per row: id, n_shingles, component_id, kept, n_links (confirmed links of its set) and text_hash."""
+    """Per row: id, n_shingles, component_id, kept and text_hash."""
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
     kind = rows.schema["id"].dataType.simpleString()
@@ -172,56 +250,38 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, s: Settings = Settings
     exploded = nodes.select("node", F.explode("bands").alias("bucket"))
     crowded = exploded.groupBy("bucket").count().filter("count > 1").select("bucket")
     buckets = written(exploded.join(crowded, "bucket").select("bucket", "node"), "buckets")
-    n_rows = buckets.count()
 
-    def confirmed(pairs: DataFrame, sets: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-        """The pairs that are links, and the sets read so far."""
-        likely = written(_with_values(pairs, nodes, "signature").mapInArrow(
-            lambda b: _agree(b, s.least_agreement), "a long, b long"), "likely")
-        wanted = likely.select(F.col("a").alias("node")).union(likely.select(F.col("b").alias("node"))).distinct()
-        if sets is not None:
-            wanted = wanted.join(sets, "node", "left_anti")
+    def read_sets(wanted: DataFrame) -> DataFrame:
+        """(node, values) of the wanted nodes, from one text of each; repeated rows may repeat it."""
         wanted = wanted.join(nodes.select("node", "at.text_hash", F.col("at.id").alias("at_id")), "node")
-        read = (rows.join(wanted, (rows["text_hash"] == wanted["text_hash"]) & rows["id"].eqNullSafe(wanted["at_id"]))
-                .select("node", "text").mapInArrow(lambda b: _sets(b, s.shingle), "node long, values binary"))
-        # Repeated rows give a set twice.
-        read = written(read.groupBy("node").agg(F.first("values").alias("values")), "sets")
-        sets = read if sets is None else sets.unionByName(read)
-        return written(_with_values(likely, sets, "values").mapInArrow(
-            lambda b: _confirm(b, s.percent), "a long, b long"), "links"), sets
-
-    tested = written(_first_pairs(buckets), "pairs")
-    links, sets = confirmed(tested, None)
+        found = rows.join(wanted, (rows["text_hash"] == wanted["text_hash"]) & rows["id"].eqNullSafe(wanted["at_id"]))
+        return written(found.select("node", "text").mapInArrow(lambda b: _sets(b, s.shingle), "node long, values binary")
+                       .dropDuplicates(["node"]), "sets")
+
+    def likely(pairs: DataFrame) -> DataFrame:
+        return written(_with_values(pairs, nodes, "signature").mapInArrow(
+            lambda b: _agree(b, s.least_agreement), "a long, b long"), "likely")
+
+    def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        return written(_with_values(pairs, sets, "values").mapInArrow(
+            lambda b: _confirm(b, s.percent), "a long, b long"), "links")
+
+    pairs = likely(_first_pairs(buckets))
+    sets = read_sets(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    links = confirmed(pairs, sets)
     labels = written(components(spark, links), "labels")
-    force = False
-    while True:
-        mixed = written(_mixed(buckets, labels), "mixed")
-        per_bucket = mixed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.expr("root != main")).alias("m"))
-        left = per_bucket.agg(F.sum(F.col("n") * F.col("m"))).first()[0]
-        if not left:
-            break
-        # All that remains at once when it is in proportion to the buckets or when one more centre
-        # for each bucket gave no link; else one more centre.
-        every = force or left <= 8 * n_rows
-        found = written(_next_pairs(mixed, every).join(tested, ["a", "b"], "left_anti"), "pairs")
-        new, sets = confirmed(found, sets)
-        tested = tested.unionByName(found)
-        if new.isEmpty():
-            force = True
-        else:
-            links = links.unionByName(new)
-            labels = written(components(spark, links), "labels")
-        if every:
-            break
+    open_ = written(_open_nodes(buckets, labels), "open")
+    if not open_.isEmpty():
+        sets = sets.unionByName(read_sets(open_.select("node").join(sets, "node", "left_anti")))
+        found = likely(_prefix_pairs(spark, sets.join(open_, "node"), s.percent).distinct())
+        links = links.unionByName(confirmed(found, sets)).distinct()
+        labels = written(components(spark, links), "labels")
 
     root = nodes.join(labels, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
     component = root.groupBy("root").agg(F.min("first").alias("component_id"))
-    degree = (links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node")))
-              .groupBy("node").agg(F.count(F.lit(1)).alias("n_links")))
-    answer = root.join(component, "root").join(degree, "node", "left").select("node", "component_id", "n_links")
+    answer = root.join(component, "root").select("node", "component_id")
     ids = signed.select("id", "n_shingles", "text_hash", F.when(F.col("n_shingles") > 0, node).alias("node"))
     out = ids.join(answer, "node", "left")
     component_id = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id"))
     return out.select(F.col("id").alias(id_col), "n_shingles", component_id.alias("component_id"),
-                      F.coalesce(F.col("id") == component_id, F.lit(False)).alias("kept"),
-                      F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "text_hash")
+                      F.coalesce(F.col("id") == component_id, F.lit(False)).alias("kept"), "text_hash")
