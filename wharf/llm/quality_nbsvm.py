@@ -136,7 +136,8 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, label_col: st
         at = np.flatnonzero(total.any(0))
         yield A.batch_of(bucket=at, n0=total[0, at], n1=total[1, at])
 
-    joined = rows.join(target, F.col("id") == F.col("l_id"))
+    # Labels grow with the documents, so both sides are shuffled at every size.
+    joined = rows.join(target.hint("merge"), F.col("id") == F.col("l_id"))
     got = (joined.select("text", "y").mapInArrow(counts, "bucket long, n0 long, n1 long")
            .groupBy("bucket").agg(F.sum("n0"), F.sum("n1")).toArrow())
     total = np.zeros((2, s.buckets))
