@@ -102,8 +102,7 @@ def test_quality_suite_and_comparisons(spark):
     t = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c")], "k int, v string")
     report = Q.run_suite({"t": t}, [Q.TableChecks("t", key="k")])
     got = {r["check"]: (r["actual"], r["passed"]) for r in report.collect()}
-    assert got == {"t is not empty": (3, True), "t.k has no NULL values": (1, False),
-                   "t.k is unique": (1, False)}
+    assert got == {"t: rows": (3, True), "t: NULLs in k": (1, False), "t: repeats of k": (1, False)}
     t.createOrReplaceTempView("dq_t")
     ok = Q.sql_check_report(spark, [Q.SqlCheck("n", "SELECT COUNT(*) FROM dq_t", 0, ">")])
     Q.raise_on_failure(ok)
@@ -159,9 +158,8 @@ def test_column_count_rule_and_observation(spark, tmp):
 def test_report_lines_one_status_per_check(spark):
     t = spark.createDataFrame([(1,), (1,)], "k int")
     lines = Q.report_lines(Q.run_suite({"t": t}, [Q.TableChecks("t", key="k")]))
-    assert lines == ["PASSED: t is not empty (value: 2)",
-                     "PASSED: t.k has no NULL values (value: 0)",
-                     "FAILED: t.k is unique (value: 1)"]
+    assert lines == ["PASSED: t: rows (value: 2)", "PASSED: t: NULLs in k (value: 0)",
+                     "FAILED: t: repeats of k (value: 1)"]
 
 
 def test_size_for_input_only_fills_unset_keys(spark, tmp):
@@ -169,19 +167,50 @@ def test_size_for_input_only_fills_unset_keys(spark, tmp):
     spark.range(1000).write.parquet(tmp + "/p")
     assert input_bytes(spark, [tmp + "/p"]) > 0
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    big = "spark.sql.files.maxPartitionBytes"
-    old = spark.conf.get(big, None)
     try:
-        applied = size_for_input(spark, 100 * 1024 ** 4)  # 100 TiB
-        assert applied[key] == "50000" and applied[big] == "512m"
+        # One rule at every size: 128 MiB of input for each partition, no cap.
+        assert size_for_input(spark, 100 * 1024 ** 4) == {key: "819200"}
         assert size_for_input(spark, 100 * 1024 ** 4) == {}  # already set: left alone
     finally:
         spark.conf.unset(key)
-        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-        if old is None:
-            spark.conf.unset(big)
-        else:
-            spark.conf.set(big, old)
+
+
+def test_preset_settings_are_kept(spark):
+    from wharf.session import apply_runtime_defaults
+    preset = {"spark.sql.session.timeZone": "Asia/Tokyo", "spark.sql.adaptive.skewJoin.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in preset}
+    try:
+        for k, v in preset.items():
+            spark.conf.set(k, v)
+        apply_runtime_defaults(spark)
+        assert {k: spark.conf.get(k) for k in preset} == preset
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_scratch_folder_must_be_shared_off_a_local_master():
+    from types import SimpleNamespace
+
+    from wharf.session import checkpoint_dir
+    context = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: {}, master="spark://host:7077")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(SimpleNamespace(sparkContext=context))
+
+
+def test_unseeded_draws_differ(spark):
+    df = spark.range(1000)
+    draws = {tuple(sorted(r[0] for r in sample_exact(df, 10).collect())) for _ in range(4)}
+    assert len(draws) > 1
+    assert (sorted(sample_exact(df, 10, seed=3).collect()) == sorted(sample_exact(df, 10, seed=3).collect()))
+
+
+def test_negative_epoch_is_cut_towards_1970(spark):
+    from pyspark.sql import functions as F
+
+    from wharf.functions import exprs as X
+    row = spark.range(1).select(*[f(F.lit(-1500)).cast("string") for f in (X.epoch_ms_to_timestamp, X.epoch_ms_to_timestamp_v2)]).first()
+    assert set(row) == {"1969-12-31 23:59:59"}
 
 
 def test_small_library_operators(spark):

@@ -107,3 +107,15 @@ def test_no_registered_query_has_nested_loops_or_python(spark):
         if hits:
             bad[name] = hits
     assert bad == {}
+
+
+def test_plays_are_counted_before_the_dimension_joins(spark):
+    plan = optimized(E.queries()["v1_top_songs_by_gender"](spark, SF_SMALL))
+    # From the root down: the sum of counts, the joins with the dimensions, the count by the fact's keys.
+    first_join, count = plan.index("Join"), plan.index("count(1) AS plays")
+    assert plan.index("sum(plays") < first_join < count
+
+
+def test_v1_star_stays_linear(spark):
+    small, large = (E.queries()["songplay_v1"](spark, d).count() for d in (SF_SMALL, "/root/testdata/sf0.01"))
+    assert large < 15 * small

@@ -4,6 +4,7 @@ import datetime as dt
 import gzip
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from wharf.sinks import writers
@@ -45,13 +46,33 @@ def test_pipe_rows_with_trailing_delimiter(spark, tmp):
     with gzip.open(tmp + "/ssb/part.tbl.gz", "wt") as f:
         f.write("1|lace spring|MFGR#1|\n2|blush thistle|MFGR#4|\n")
     df = files.read_delimited(spark, tmp + "/ssb", "p_partkey int, p_name string, p_mfgr string",
-                              sep="|")
+                              sep="|", trailing_sep=files.ends_with_separator(spark, tmp + "/ssb", "|"))
     assert [tuple(r) for r in df.orderBy("p_partkey").collect()] == [
         (1, "lace spring", "MFGR#1"), (2, "blush thistle", "MFGR#4")]
     report = files.load_tables(spark, {"ssb_part_t": (tmp + "/ssb", df.schema)}, sep="|")
     assert report.count() == 1 and spark.table("ssb_part_t").count() == 2
 
 
+def test_malformed_rows_fail_or_are_counted(spark, tmp):
+    os.makedirs(tmp + "/bad")
+    with open(tmp + "/bad/a.csv", "w") as f:
+        f.write("1,x\nnone,y\n3\n")
+    with pytest.raises(Exception, match="MALFORMED"):
+        files.read_delimited(spark, tmp + "/bad", "k int, v string").collect()
+    assert tuple(files.malformed(spark, tmp + "/bad", "k int, v string").first()) == (3, 2)
+
+
+def test_keyed_append_rule(spark, tmp):
+    # The smallest row of a key wins inside a batch; the target's row wins later; NULL keys go by the whole row.
+    schema = "k int, v string"
+    first = spark.createDataFrame([(1, "b"), (1, "a"), (None, "n"), (None, "n"), (None, None)], schema)
+    second = spark.createDataFrame([(1, "0"), (2, "c"), (None, "n"), (None, "m")], schema)
+    for batch in (first, second, second):
+        writers.append_new(batch, tmp + "/t", key="k")
+    got = sorted((tuple(r) for r in spark.read.parquet(tmp + "/t").collect()), key=repr)
+    assert got == sorted([(1, "a"), (2, "c"), (None, "n"), (None, "m"), (None, None)], key=repr)
+
+
 def test_gzip_parts_read_one_task_per_file(spark, tmp):
     # SRC-5 / SRC-6: gzip is not splittable; 4 parts → 4 partitions, 1 file → 1.
     df = spark.range(4000).select(F.col("id"), (F.col("id") * 2).alias("v"))

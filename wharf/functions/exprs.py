@@ -33,21 +33,20 @@ def epoch_ms(ts: ColumnOrName) -> Column:
     return F.unix_millis(_col(ts).cast("timestamp"))
 
 
+def _whole_seconds(ms: ColumnOrName) -> Column:
+    return F.call_function("div", _col(ms).cast("bigint"), F.lit(1000).cast("bigint"))
+
+
 def epoch_ms_to_timestamp(ms: ColumnOrName) -> Column:
-    """FN-1: ``ts / 1000 * interval '1 second' + TIMESTAMP '1970-01-01'``.
+    """FN-1: epoch milliseconds as a timestamp of whole seconds.
 
-    The division is the warehouse's integer division, so the result has
-    whole seconds.
-    """
-    return F.timestamp_seconds(F.floor(_col(ms) / F.lit(1000)).cast("bigint"))
+    The fraction is cut off towards 1970, as integer division does (T-1)."""
+    return F.timestamp_seconds(_whole_seconds(ms))
 
 
 def epoch_ms_to_timestamp_v2(ms: ColumnOrName) -> Column:
-    """FN-2: ``TIMESTAMP 'epoch' + ts/1000 * interval '1 second'``.
-
-    Same value as FN-1, spelled as interval arithmetic on the epoch literal.
-    """
-    seconds = F.floor(_col(ms) / F.lit(1000)).cast("bigint")
+    """FN-2: the value of FN-1, by interval arithmetic on the epoch."""
+    seconds = _whole_seconds(ms)
     return F.lit("1970-01-01 00:00:00").cast("timestamp") + F.make_dt_interval(
         secs=seconds.cast("decimal(18,6)")
     )

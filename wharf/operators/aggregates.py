@@ -37,8 +37,8 @@ def collapse(df: DataFrame, key: str | Sequence[str], exprs: Mapping[str, Column
     return df.groupBy(*keys).agg(*[e.alias(name) for name, e in exprs.items()])
 
 
-def paid_wins(level: str = "level") -> Column:
-    """AGG-5: ``MAX(CASE WHEN level='paid' THEN 'paid' ELSE 'free' END)``."""
+def paid_wins(level: str | Column = "level") -> Column:
+    """AGG-5: a group with a paid member is paid, any other is free."""
     return F.max(X.paid_or_free(level))
 
 

@@ -122,7 +122,7 @@ def right_join_distinct(left: DataFrame, right: DataFrame, left_keys: Sequence[s
 
 def salted_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
                 right_keys: Sequence[str], how: str = "left", buckets: int = 16,
-                hot_rows: int = 1_000_000, max_hot_keys: int = 10_000) -> DataFrame:
+                hot_rows: int = 1_000_000) -> DataFrame:
     """Equi-join that spreads hot keys of the *right* side over ``buckets`` tasks.
 
     AQE splits skewed partitions only on the side that may be split for the
@@ -136,9 +136,9 @@ def salted_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
     For ``how="left"`` a replicated left row whose bucket happens to be empty
     would come out NULL-padded; a hot key always has right rows, so those
     copies are dropped and the result equals the plain join exactly. The hot
-    key list is at most ``right rows / hot_rows`` long and is broadcast only
-    below ``max_hot_keys`` rows (checked); above it the hot keys are joined by
-    shuffle. Supports ``inner`` and ``left``.
+    key list is at most ``right rows / hot_rows`` long; how it is joined is left
+    to the planner. No job runs while the plan is built. Supports ``inner`` and
+    ``left``.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
@@ -146,7 +146,6 @@ def salted_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
            .filter(F.col("_n") > hot_rows)
            .select(*[F.col(k).alias(f"_hot{i}") for i, k in enumerate(right_keys)])
            .withColumn("_is_hot", F.lit(True)))
-    hot = broadcast_if_small(hot, max_hot_keys)
 
     def tag(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         cond = reduce(lambda a, b: a & b,

@@ -9,6 +9,7 @@ returned rows are the same draw even if an executor is lost.
 
 from __future__ import annotations
 
+import random
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
@@ -28,8 +29,11 @@ def check_allowed(value: int, allowed: Iterable[int]) -> None:
         raise SampleError(f"{value} is not one of {allowed}")
 
 
-def sample_exact(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    """n rows drawn uniformly without replacement; raises if fewer exist."""
+def sample_exact(df: DataFrame, n: int, seed: int | None = None) -> DataFrame:
+    """n rows drawn uniformly without replacement; raises if fewer exist.
+
+    Without a seed every call draws anew."""
+    seed = random.SystemRandom().getrandbits(62) if seed is None else seed
     checkpoint_dir(df.sparkSession)
     picked = (
         df.withColumn("_r", F.rand(seed))

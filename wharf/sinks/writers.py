@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wharf.operators.quality import DataQualityError, check_record_schema, column_count_rule
+from wharf.sources.files import CSV_FORMAT
 
 
 def _existing(spark: SparkSession, path: str, fmt: str,
@@ -67,7 +68,8 @@ def write_by_month(df: DataFrame, path: str, ts_ms_col: str = "ts", mode: str =
     :func:`wharf.sources.files.read_month`) instead of listing a date prefix.
     """
     ts = F.timestamp_millis(F.col(ts_ms_col))
-    (df.withColumn("year", F.year(ts)).withColumn("month", F.month(ts))
+    # Rows of a month meet before the write, so a month has few files; a large month is split.
+    (df.withColumn("year", F.year(ts)).withColumn("month", F.month(ts)).hint("rebalance", "year", "month")
      .write.mode(mode).format(fmt).partitionBy("year", "month").save(path))
 
 
@@ -82,10 +84,12 @@ def append(df: DataFrame, path: str, fmt: str = "parquet",
 
 def append_new(df: DataFrame, path: str, key: str, fmt: str = "parquet",
                partition_by: Sequence[str] = ()) -> None:
-    """SNK-1 with ``dedupe_on``: append only keys not yet in the target (T-11).
+    """SNK-1 with ``dedupe_on``: append only rows not yet in the target (T-11).
 
-    An anti join against the target's keys; reruns of the same hour add
-    nothing. With ``partition_by`` (e.g. the event date) the target is
+    A row is known by its key or, where the key is NULL, by all its columns. Of
+    rows of one batch that are known alike the smallest (in column order) is
+    kept, and none if the target holds one; so the result of a rerun or of a
+    replayed batch is the same. With ``partition_by`` (e.g. the event date) the target is
     partitioned on write and only the partitions the batch touches are probed
     (a semi join on the partition columns, which dynamic partition pruning
     turns into a partition filter on the target's scan), so an hourly run
@@ -97,8 +101,16 @@ def append_new(df: DataFrame, path: str, key: str, fmt: str = "parquet",
         if partition_by:
             touched = df.select(*partition_by).distinct()
             present = present.join(touched, list(partition_by), "left_semi")
-        df = df.join(present.select(key).distinct(), key, "left_anti")
-    append(df, path, fmt, partition_by=partition_by)
+    else:
+        present = df.limit(0)
+    batch, keyed = df.columns, F.col(key).isNotNull()
+    others = [c for c in batch if c != key]
+    rows = (df.filter(keyed).groupBy(key).agg(F.min(F.struct(*others)).alias("_row"))
+            .select(key, "_row.*").select(*batch))
+    rows = rows.join(present.select(key).distinct(), key, "left_anti").select(*batch)
+    # EXCEPT compares all columns, NULL with NULL, and keeps one of equal rows.
+    unkeyed = df.filter(~keyed).subtract(present.filter(~keyed).select(*batch))
+    append(rows.unionByName(unkeyed), path, fmt, partition_by=partition_by)
 
 
 def save_json_table(df: DataFrame, table: str, path: str, mode: str = "append",
@@ -118,11 +130,12 @@ def save_json_table(df: DataFrame, table: str, path: str, mode: str = "append",
 
 
 def quoted_csv(df: DataFrame, path: str, header: bool = True, files: int | None = None) -> None:
-    """SNK-5: CSV with every field quoted. ``files`` merges to that many files
-    without a shuffle (``coalesce``); leave it ``None`` at scale."""
+    """SNK-5: CSV with every field quoted, as :func:`wharf.sources.files.read_csv_dir`
+    reads it back. ``files`` merges to that many files without a shuffle
+    (``coalesce``); leave it ``None`` at scale."""
     out = df.coalesce(files) if files else df
-    (out.write.mode("overwrite").option("header", header).option("quoteAll", True)
-     .option("escape", '"').csv(path))
+    (out.write.mode("overwrite").options(**CSV_FORMAT | {"header": header}).option("quoteAll", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def create_table(spark: SparkSession, table: str, schema: T.StructType | str, *,

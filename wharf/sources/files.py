@@ -98,18 +98,40 @@ def read_month(spark: SparkSession, path: str, run_date: dt.date, fmt: str = "pa
 
 def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str,
                    sep: str = ",", header: bool = False, repartition: int | None = None,
-                   options: Mapping[str, str] | None = None) -> DataFrame:
+                   options: Mapping[str, str] | None = None, trailing_sep: bool = False) -> DataFrame:
     """SRC-5 / SRC-6 / SRC-7: delimited text, gzip or plain, with a declared schema.
 
     ``repartition`` is for a single unsplittable file (SRC-6): the read is one
     task, so spread the rows before any further work. ``options`` go to the
-    CSV reader (e.g. a timestamp format).
+    CSV reader (e.g. a timestamp format). A malformed row fails the read unless
+    ``options`` set another mode (:func:`malformed` counts such rows).
+    ``trailing_sep``: every row ends with a separator.
     """
-    df = (spark.read.option("sep", sep).option("header", header).option("mode", "PERMISSIVE")
-          .options(**(options or {})).schema(schema).csv(path))
+    ddl = schema if isinstance(schema, str) else ", ".join(
+        f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    df = (spark.read.option("sep", sep).option("header", header).option("mode", "FAILFAST")
+          .options(**(options or {})).schema(ddl + (", `_end` string" if trailing_sep else "")).csv(path))
+    df = df.drop("_end")
     return df.repartition(repartition) if repartition else df
 
 
+def ends_with_separator(spark: SparkSession, path: str | Sequence[str], sep: str) -> bool:
+    """Whether the first row of a delimited text ends with the separator."""
+    row = spark.read.text(path).first()
+    return row is not None and row["value"].endswith(sep)
+
+
+def malformed(spark: SparkSession, path: str | Sequence[str], schema: str, fmt: str = "csv",
+              options: Mapping[str, str] | None = None) -> DataFrame:
+    """``(rows, malformed)``: rows of a text source (``csv`` without a header, or
+    ``json`` lines), and those that do not fit the schema."""
+    given = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad", **(options or {})}
+    parse = F.from_csv if fmt == "csv" else F.from_json
+    row = parse(F.col("value"), schema + ", `_bad` string", given)
+    return (spark.read.text(path).select(row.alias("row"))
+            .agg(F.count(F.lit(1)).alias("rows"), F.count("row._bad").alias("malformed")))
+
+
 def load_tables(spark: SparkSession, tables: Mapping[str, tuple[str, T.StructType | str]],
                 database: str | None = None, sep: str = "|",
                 bucket_by: Mapping[str, tuple[Sequence[str], int]] | None = None,
@@ -129,7 +151,8 @@ def load_tables(spark: SparkSession, tables: Mapping[str, tuple[str, T.StructTyp
     for name, (path, schema) in tables.items():
         full = f"{database}.{name}" if database else name
         t0 = time.perf_counter()
-        df = read_delimited(spark, path, schema, sep=sep)
+        df = read_delimited(spark, path, schema, sep=sep,
+                            trailing_sep=ends_with_separator(spark, path, sep))
         target = f"{location.rstrip('/')}/{name}" if location else None
         if bucket_by and name in bucket_by:
             cols, n = bucket_by[name]
@@ -168,12 +191,23 @@ def create_external_json_table(spark: SparkSession, table: str, schema: T.Struct
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING json{opts} LOCATION '{location}'")
 
 
-def read_csv_dir(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """SRC-11 (+ SET-1): every file of a folder, header skipped, all values as text."""
-    if columns:
+#: How this library writes and reads quoted CSV: quotes are doubled inside quotes, fields
+#: may hold line ends, an empty field is an empty text and NULL has a mark of its own.
+CSV_FORMAT = {"header": True, "quote": '"', "escape": '"', "emptyValue": "", "nullValue": "\\N"}
+
+
+def read_csv_dir(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
+                 schema: T.StructType | str | None = None, multi_line: bool = True) -> DataFrame:
+    """SRC-11 (+ SET-1): every file of a folder, header skipped, all values as text
+    (or of ``schema``).
+
+    Fields may hold line ends, so a file is read by one task; ``multi_line=False``
+    splits large files whose fields hold none. Unquoted empty fields are NULL.
+    """
+    reader = spark.read.options(**CSV_FORMAT).option("multiLine", multi_line)
+    if columns and schema is None:
         schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-        return spark.read.option("header", True).schema(schema).csv(path)
-    return spark.read.option("header", True).csv(path)
+    return (reader.schema(schema) if schema is not None else reader).csv(path)
 
 
 def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
