@@ -23,22 +23,31 @@ from pyspark.sql import functions as F
 from wharf import schemas
 from wharf.functions import exprs as X
 from wharf.operators import quality
-from wharf.operators.quality import report_lines, run_suite
+from wharf.operators.quality import report_lines
 from wharf.plans import analytics, lake, layout, serving, star
 from wharf.session import analyze_tables, get_session
+from wharf.sinks.writers import overwrite
 from wharf.sources import files
 
 
+def _result(df, out: str, name: str, preview: int = 20) -> None:
+    """Write a whole result below ``out`` and show its first rows, marked as such."""
+    path = f"{out.rstrip('/')}/results/{name}"
+    overwrite(df, path)
+    written = df.sparkSession.read.parquet(path)
+    print(f"-- {name}: {written.count()} rows in {path}; first rows:")
+    written.show(preview, truncate=False)
+
+
 def _star_v1(spark, a) -> int:
     events = files.read_json(spark, a.log_data, schemas.STAGING_EVENTS)
     songs = files.read_json(spark, a.song_data, schemas.STAGING_SONGS)
     paths = star.run_v1(events, songs, a.out)
     tables = {n: spark.read.parquet(p) for n, p in paths.items()}
-    for line in report_lines(run_suite(tables, star.V1_JOB_CHECKS)):
+    for line in report_lines(tables.pop("dq_report")):
         print(line)
     for name, df in analytics.star_sample_queries(tables, a.year).items():
-        print(f"-- {name}")
-        df.show(20, truncate=False)
+        _result(df, a.out, name)
     return 0
 
 
@@ -67,8 +76,11 @@ def _lake_chain(spark, a) -> int:
 
 def _ssb(spark, a) -> int:
     sep = "|"
-    plain = {n: files.read_delimited(spark, f"{a.data.rstrip('/')}/{n}", ddl, sep=sep)
-             for n, ddl in schemas.SSB_TABLES.items()}
+    plain = {}
+    for n, ddl in schemas.SSB_TABLES.items():
+        path = f"{a.data.rstrip('/')}/{n}"
+        plain[n] = files.read_delimited(spark, path, ddl, sep=sep,
+                                        trailing_sep=files.ends_with_separator(spark, path, sep))
     paths = layout.write_plain(plain, a.out)
     plain = {n: spark.read.parquet(p) for n, p in paths.items()}
     keys = {"lineorder": a.bucket_key, "part": "p_partkey", "supplier": "s_suppkey",
@@ -104,8 +116,7 @@ def _serving(spark, a) -> int:
     events = serving.typed_events(rows).withColumn("ts", X.to_bigint_via_double("ts"))
     names = serving.build_query_tables(events, a.out, a.buckets)
     for name, df in serving.answer_queries(spark, names).items():
-        print(f"-- {name}")
-        df.show(50, truncate=False)
+        _result(df, a.out, name)
     return 0
 
 

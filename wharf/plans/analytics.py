@@ -40,9 +40,14 @@ def popular_per_group(plays: DataFrame, group_col: str, item_cols: Sequence[str]
     return ranked.select("rank", group_col, *item_cols, count_col)
 
 
-def top_by_count(plays: DataFrame, key: str, k: int, count_col: str = "play_count") -> DataFrame:
-    """Queries 2 and 3: ``GROUP BY key ORDER BY COUNT(*) DESC LIMIT k`` (LIM-1, SRT-1)."""
-    return top_k(count_by(plays, [key], alias=count_col), order_spec(desc=[count_col], asc=[key]), k)
+def top_by_count(plays: DataFrame, key: str, k: int, count_col: str = "play_count",
+                 weight: str | None = None) -> DataFrame:
+    """Queries 2 and 3: ``GROUP BY key ORDER BY COUNT(*) DESC LIMIT k`` (LIM-1, SRT-1).
+
+    ``weight`` as in :func:`popular_per_group`."""
+    counts = (count_by(plays, [key], alias=count_col) if weight is None else
+              plays.groupBy(key).agg(F.sum(weight).cast("bigint").alias(count_col)))
+    return top_k(counts, order_spec(desc=[count_col], asc=[key]), k)
 
 
 def count_by_sorted(plays: DataFrame, keys: Sequence[str], sort_key: str,
@@ -161,18 +166,23 @@ def star_sample_queries(tables: dict[str, DataFrame], year: int) -> dict[str, Da
     """
     sp, songs, artists = tables["songplay"], tables["songs"], tables["artists"]
     users, time_dim = tables["users"], tables["time_dim"]
+
+    def plays(fact: DataFrame, *keys: str) -> DataFrame:
+        """Plays counted by the fact's keys, before the joins with the dimensions."""
+        return fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("plays"))
+
     by_gender = (
-        sp.join(songs.select("song_id", "title"), "song_id")
+        plays(sp, "song_id", "artist_id", "user_id").join(songs.select("song_id", "title"), "song_id")
         .join(artists.select("artist_id", F.col("name").alias("artist")), "artist_id")
         .join(users.select("user_id", "gender"), "user_id")
     )
     in_year = sp.join(time_dim.filter(F.col("year") == year).select("start_time"), "start_time")
-    by_artist = in_year.join(artists.select("artist_id", "name"), "artist_id")
-    by_user = sp.join(users.select("user_id", full_name("first_name", "last_name").alias("name")),
+    by_artist = plays(in_year, "artist_id").join(artists.select("artist_id", "name"), "artist_id")
+    by_user = plays(sp, "user_id").join(users.select("user_id", full_name("first_name", "last_name").alias("name")),
                       "user_id")
     return {
-        "top_songs_by_gender": popular_per_group(by_gender, "gender", ["title", "artist"], 3),
-        "top_artists_in_year": top_by_count(by_artist, "name", 10),
-        "top_users": top_by_count(by_user, "name", 3),
+        "top_songs_by_gender": popular_per_group(by_gender, "gender", ["title", "artist"], 3, weight="plays"),
+        "top_artists_in_year": top_by_count(by_artist, "name", 10, weight="plays"),
+        "top_users": top_by_count(by_user, "name", 3, weight="plays"),
         "plays_by_location_level": count_by_sorted(sp, ["location", "level"], "location"),
     }

@@ -64,13 +64,12 @@ def machine_learning_curated(steps: DataFrame, readings: DataFrame,
                              step_cols: Sequence[str] = ("serialNumber", "sensorReadingTime",
                                                          "distanceFromObject"),
                              reading_cols: Sequence[str] = ("x", "y", "z"),
-                             salt_buckets: int = 0, hot_rows: int = 1_000_000) -> DataFrame:
+                             salt_buckets: int = 16, hot_rows: int = 1_000_000) -> DataFrame:
     """PL-7: steps left-joined to readings on equal time, no DISTINCT (JN-7, T-14).
 
-    AQE can split a hot time only on the steps side of this left join; when
-    many readings share one instant, ``salt_buckets > 0`` spreads the times
-    with more than ``hot_rows`` readings over that many tasks
-    (:func:`wharf.operators.joins.salted_join`).
+    AQE can split a hot time only on the steps side of this left join; times
+    with more than ``hot_rows`` readings are spread over ``salt_buckets`` tasks
+    (:func:`wharf.operators.joins.salted_join`); 0 turns this off.
     """
     if salt_buckets > 0:
         st = steps.select(*[F.col(c).alias(f"s_{c}") for c in steps.columns])

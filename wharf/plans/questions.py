@@ -33,7 +33,7 @@ def get_questions(bank: DataFrame, use: str, subjects: Sequence[str], n: int,
     require_values(bank, subject_col, list(subjects))
     require_values(bank, use_col, [use])
     pool = bank.filter(in_list_and_equal(subject_col, list(subjects), use_col, use))
-    picked = sample_exact(pool, n, seed=0 if seed is None else seed)
+    picked = sample_exact(pool, n, seed=seed)
     return picked.select(*[X.null_to_empty(c).alias(c) for c in picked.columns])
 
 

@@ -26,6 +26,7 @@ from wharf.functions import exprs as X
 from wharf.operators import quality as Q
 from wharf.operators.aggregates import distinct_count
 from wharf.operators.joins import broadcast_if_small
+from wharf.operators.projections import drop_fields
 from wharf.operators.surrogate import dense_ids
 from wharf.operators.upsert import last_write_wins
 from wharf.plans import analytics as A
@@ -35,12 +36,14 @@ from wharf.plans import serving as S
 from wharf.plans import star
 from wharf.session import scratch_path
 from wharf.sinks.writers import (
-    append_new, append_record, quoted_csv, save_bucketed, save_json_table,
+    append, append_new, append_record, create_table, drop_tables, overwrite, quoted_csv,
+    save_bucketed, save_json_table, truncate_table, use_namespace,
 )
 from wharf.sources import conform as C
 from wharf.sources.files import (
     create_external_json_table, dated_prefix, list_files, load_tables, read_catalog,
-    read_csv_dir, read_delimited, read_json, read_json_recursive, stage,
+    malformed, read_csv_dir, read_csv_inferred, read_delimited, read_json, read_json_recursive,
+    read_table, stage,
 )
 from wharf.sources.tables import Tables
 from wharf.streaming.incremental import run_incremental, run_keyed_append
@@ -96,13 +99,16 @@ def json_field_extract(spark, sf_dir):
     )
 
 
+# A stand-in shift: this less an event's time is before 1970, with a fraction of a second.
+EARLIER_MS = 1_500_000_000_499
+
+
 @register("epoch_to_timestamp", f"""
-SELECT event_id,
-       (epoch_us(ts) // 1000) // 1000 AS epoch_s,
-       {_START('epoch_us(ts) // 1000')} AS start_time,
-       {_START('epoch_us(ts) // 1000')} AS start_time_v2
-FROM events
-""")
+SELECT event_id, ms // 1000 AS epoch_s,
+       {_START('ms')} AS start_time, {_START('ms')} AS start_time_v2,
+       {_START(f'trunc(({{EARLIER_MS}} - ms) / 1000.0)::BIGINT * 1000')} AS before_1970
+FROM (SELECT event_id, epoch_us(ts) // 1000 AS ms FROM events) t
+""".replace("{EARLIER_MS}", str(EARLIER_MS)))
 def epoch_to_timestamp(spark, sf_dir):
     """FN-1, FN-2, T-1, T-22: epoch ms → whole-second timestamps, both spellings."""
     ev = _t(spark, sf_dir).events.select("event_id", X.epoch_ms("ts").alias("ms"))
@@ -111,6 +117,7 @@ def epoch_to_timestamp(spark, sf_dir):
         F.expr("ms div 1000").alias("epoch_s"),
         X.epoch_ms_to_timestamp("ms").alias("start_time"),
         X.epoch_ms_to_timestamp_v2("ms").alias("start_time_v2"),
+        X.epoch_ms_to_timestamp(F.lit(EARLIER_MS) - F.col("ms")).alias("before_1970"),
     )
 
 
@@ -194,41 +201,38 @@ def artist_dim_v1(spark, sf_dir):
 
 
 def _v1_check_sql() -> str:
+    """The 17 checks, written out: non-empty, key without NULL, key unique, and two columns of the fact."""
+    plays = f"SELECT * FROM staging_events WHERE {_EV_WHERE}"
     tables = {
-        "users": f"SELECT userId AS user_id FROM staging_events WHERE {_EV_WHERE} GROUP BY userId",
-        "artists": "SELECT artist_id FROM staging_songs WHERE song_id IS NOT NULL GROUP BY artist_id",
-        "songs": "SELECT DISTINCT song_id, title, artist_id, year, duration FROM staging_songs "
-                 "WHERE song_id IS NOT NULL",
-        "time_dim": f"SELECT DISTINCT {_START('ts')} AS start_time FROM staging_events "
-                    f"WHERE {_EV_WHERE}",
-        "songplay": f"SELECT {_START('se.ts')} AS start_time, se.userId AS user_id "
-                    "FROM staging_events se JOIN staging_songs ss ON se.song = ss.title "
-                    f"WHERE se.page = '{PLAY_PAGE}' AND se.userId IS NOT NULL "
-                    "AND ss.song_id IS NOT NULL",
+        "users": ("user_id", f"SELECT userId AS user_id FROM ({plays}) p GROUP BY userId"),
+        "artists": ("artist_id", "SELECT DISTINCT artist_id FROM staging_songs WHERE song_id IS NOT NULL"),
+        "songs": ("song_id", "SELECT DISTINCT song_id, title, artist_id, year, duration FROM staging_songs "
+                             "WHERE song_id IS NOT NULL"),
+        "time_dim": ("start_time", f"SELECT DISTINCT {_START('ts')} AS start_time FROM ({plays}) p"),
+        "songplay": ("songplay_id", f"SELECT row_number() OVER () AS songplay_id, {_START('p.ts')} AS start_time, "
+                                    f"p.userId AS user_id FROM ({plays}) p JOIN staging_songs s ON p.song = s.title "
+                                    "WHERE s.song_id IS NOT NULL"),
     }
-    return _with(_SE, _SS) + _suite_sql(star.V1_CHECKS, tables)
+    parts = []
+    for name, (key, sql) in tables.items():
+        nulls = [key, "user_id", "start_time"] if name == "songplay" else [key]
+        parts.append(f"SELECT '{name}: rows' AS \"check\", count(*) AS actual, count(*) > 0 AS passed FROM ({sql}) t")
+        parts += [f"SELECT '{name}: NULLs in {c}', count(*) - count({c}), count(*) = count({c}) FROM ({sql}) t" for c in nulls]
+        parts.append(f"SELECT '{name}: repeats of {key}', count({key}) - count(DISTINCT {key}), "
+                     f"count({key}) = count(DISTINCT {key}) FROM ({sql}) t")
+    return _with(_SE, _SS) + "\nUNION ALL\n".join(parts)
 
 
-def _suite_sql(specs, tables: dict[str, str]) -> str:
+def _suite_sql(specs) -> str:
     parts = []
-    for s in specs:
-        src = tables.get(s.table, s.table)
-        src = f"({src}) AS t" if src.lstrip().upper().startswith("SELECT") else src
-        parts.append(
-            f"SELECT '{s.table} is not empty' AS \"check\", COUNT(*) AS actual, "
-            f"COUNT(*) > 0 AS passed FROM {src}"
-        )
-        cols = ([s.key] if s.key else []) + [c for c in s.not_null if c != s.key]
-        for c in cols:
-            parts.append(
-                f"SELECT '{s.table}.{c} has no NULL values', COUNT(*) FILTER (WHERE {c} IS NULL), "
-                f"COUNT(*) FILTER (WHERE {c} IS NULL) = 0 FROM {src}"
-            )
-        if s.key:
-            parts.append(
-                f"SELECT '{s.table}.{s.key} is unique', COUNT({s.key}) - COUNT(DISTINCT {s.key}), "
-                f"COUNT({s.key}) - COUNT(DISTINCT {s.key}) = 0 FROM {src}"
-            )
+    for spec in specs:
+        t = spec.table
+        parts.append(f"SELECT '{t}: rows' AS \"check\", count(*) AS actual, count(*) > 0 AS passed FROM {t}")
+        parts += [f"SELECT '{t}: NULLs in {c}', count(*) - count({c}), count(*) = count({c}) FROM {t}"
+                  for c in dict.fromkeys(([spec.key] if spec.key else []) + list(spec.not_null))]
+        if spec.key:
+            parts.append(f"SELECT '{t}: repeats of {spec.key}', count({spec.key}) - count(DISTINCT {spec.key}), "
+                         f"count({spec.key}) = count(DISTINCT {spec.key}) FROM {t}")
     return "\nUNION ALL\n".join(parts)
 
 
@@ -335,12 +339,14 @@ def join_two_keys_select(spark, sf_dir):
 
 
 @register("existence_curated", """
-SELECT DISTINCT c.* FROM customer c JOIN events e ON c.c_custkey = e.user_id
+SELECT DISTINCT c.* FROM (SELECT * FROM customer UNION ALL SELECT * FROM customer WHERE c_custkey % 2 = 0) c
+JOIN events e ON c.c_custkey = e.user_id
 """)
 def existence_curated(spark, sf_dir):
-    """PL-5: JN-5 as a semi join + AGG-11 whole-row dedupe."""
+    """PL-5: JN-5 as a semi join + AGG-11 whole-row dedupe (every second customer twice)."""
     t = _t(spark, sf_dir)
-    return L.customer_curated(t.customer, t.events, customer_key="c_custkey",
+    twice = t.customer.unionAll(t.customer.filter(F.col("c_custkey") % 2 == 0))
+    return L.customer_curated(twice, t.events, customer_key="c_custkey",
                               reading_user="user_id")
 
 
@@ -358,31 +364,23 @@ def right_join_distinct(spark, sf_dir):
 
 
 @register("left_join_time", """
-SELECT s.event_id AS serial_number, s.ts AS sensor_reading_time, s.value AS distance,
+WITH steps AS (SELECT *, event_id // 3 AS instant FROM events),
+     readings AS (SELECT *, event_id // 2 AS instant FROM events WHERE event_id % 7 <> 0)
+SELECT s.event_id AS serial_number, s.instant AS sensor_reading_time, s.value AS distance,
        r.event_id AS x_event, r.value AS x_value
-FROM events s
-LEFT JOIN events r ON s.ts = r.ts
-WHERE s.event_type = 'purchase'
+FROM steps s LEFT JOIN readings r ON s.instant = r.instant
 """)
 def left_join_time(spark, sf_dir):
-    """PL-7: JN-7, left join on equal (exact) time, no DISTINCT (T-14).
+    """PL-7: JN-7, left join on equal time, no DISTINCT (T-14).
 
-    Steps are the purchase events, readings are all events; the key is the
-    exact timestamp, as in the reference, so each step meets the readings
-    taken at that instant (at least its own) and the output stays linear in
-    the input — no time bucketing that would pair every event of a bucket.
-    """
+    Three steps share an instant with up to two readings, and some instants have
+    none, so fan-out and padding occur while the output stays linear. Steps and
+    readings are all events (readings without every seventh)."""
     ev = _t(spark, sf_dir).events
-    steps = ev.filter(F.col("event_type") == "purchase").select(
-        F.col("event_id").alias("serial_number"),
-        F.col("ts").alias("sensor_reading_time"),
-        F.col("value").alias("distance"),
-    )
-    readings = ev.select(
-        F.col("ts").alias("reading_time"),
-        F.col("event_id").alias("x_event"),
-        F.col("value").alias("x_value"),
-    )
+    steps = ev.select(F.col("event_id").alias("serial_number"), F.expr("event_id div 3").alias("sensor_reading_time"),
+                      F.col("value").alias("distance"))
+    readings = ev.filter(F.col("event_id") % 7 != 0).select(
+        F.expr("event_id div 2").alias("reading_time"), F.col("event_id").alias("x_event"), F.col("value").alias("x_value"))
     return L.machine_learning_curated(
         steps, readings, step_time="sensor_reading_time", reading_time="reading_time",
         step_cols=("serial_number", "sensor_reading_time", "distance"),
@@ -414,14 +412,21 @@ _CONV_DEDUP = """
 conv AS (
   SELECT conv_id, turn, role, text FROM (
     SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY role DESC, text DESC) AS rn
-    FROM conversations) t
+    FROM (SELECT conv_id, turn, role, text FROM conversations
+          UNION ALL SELECT conv_id, turn, role, 'again: ' || text FROM conversations WHERE turn % 2 = 1) u) t
   WHERE rn = 1
 )"""
 
 
+def _conversations(spark, sf_dir) -> DataFrame:
+    """Conversations, every second turn twice, so that a key repeats."""
+    conv = _t(spark, sf_dir).conversations.select("conv_id", "turn", "role", "text")
+    again = conv.filter(F.col("turn") % 2 == 1).withColumn("text", F.concat(F.lit("again: "), "text"))
+    return conv.unionAll(again)
+
+
 def _songs_by_session(spark, sf_dir) -> DataFrame:
-    conv = _t(spark, sf_dir).conversations
-    return S.serving_table(conv, ["conv_id", "turn"], ["role", "text"], ["role", "text"])
+    return S.serving_table(_conversations(spark, sf_dir), ["conv_id", "turn"], ["role", "text"], ["role", "text"])
 
 
 @register("serving_by_session", _with(_CONV_DEDUP) + "SELECT * FROM conv")
@@ -741,7 +746,7 @@ DQ_SPECS = [
 ]
 
 
-@register("dq_suite", _suite_sql(DQ_SPECS, {}))
+@register("dq_suite", _suite_sql(DQ_SPECS))
 def dq_suite(spark, sf_dir):
     """DQ-1 … DQ-5: non-empty, key not NULL, key unique per table; one pass each."""
     t = _t(spark, sf_dir)
@@ -886,7 +891,165 @@ def csv_quoted_roundtrip(spark, sf_dir):
     part = _t(spark, sf_dir).part
     path = scratch_path(spark, "part_csv")
     quoted_csv(part, path)
-    return spark.read.option("header", True).schema(part.schema).csv(path)
+    return read_csv_dir(spark, path, schema=part.schema)
+
+
+_HARD_CSV_SQL = """
+SELECT *, 'He said "' || lang || '", ok' AS quoted, 'a' || chr(10) || '"' || source AS two_lines,
+       'C:\\dir\\' || doc_id AS backslash, '' AS empty, CAST(NULL AS VARCHAR) AS missing, '  ' || lang || ' ' AS padded
+FROM documents"""
+
+
+def _hard_csv(spark, sf_dir) -> tuple[DataFrame, str]:
+    d = _t(spark, sf_dir).documents
+    hard = d.select("*", F.format_string('He said "%s", ok', "lang").alias("quoted"),
+                    F.concat(F.lit('a\n"'), "source").alias("two_lines"),
+                    F.concat(F.lit("C:\\dir\\"), F.col("doc_id").cast("string")).alias("backslash"),
+                    F.lit("").alias("empty"), F.lit(None).cast("string").alias("missing"),
+                    F.concat(F.lit("  "), "lang", F.lit(" ")).alias("padded"))
+    path = scratch_path(spark, "hard_csv")
+    quoted_csv(hard, path)
+    return hard, path
+
+
+@register("csv_hard_roundtrip", _HARD_CSV_SQL)
+def csv_hard_roundtrip(spark, sf_dir):
+    """SNK-5 → SRC-11 with quotes, commas, line ends, backslashes, blanks, empty and NULL fields."""
+    hard, path = _hard_csv(spark, sf_dir)
+    return read_csv_dir(spark, path, schema=hard.schema)
+
+
+@register("csv_row_count", "SELECT count(*) AS rows FROM documents")
+def csv_row_count(spark, sf_dir):
+    """DQ-13: rows of the written CSV; line ends inside fields are no rows."""
+    _, path = _hard_csv(spark, sf_dir)
+    return Q.csv_line_count(spark, path).select("rows")
+
+
+@register("malformed_rows", "SELECT count(*) AS rows, count(*) FILTER (WHERE p_partkey % 9 = 0) AS malformed FROM part")
+def malformed_rows(spark, sf_dir):
+    """SRC-5 / SRC-7: rows that do not fit the schema are counted (and fail a plain read)."""
+    part = _t(spark, sf_dir).part
+    path = scratch_path(spark, "part_malformed")
+    key = F.when(F.col("p_partkey") % 9 == 0, F.lit("x")).otherwise(F.col("p_partkey").cast("string"))
+    part.select(F.concat_ws(";", key, "p_brand").alias("value")).write.text(path)
+    return malformed(spark, path, "p_partkey bigint, p_brand string", options={"sep": ";"})
+
+
+@register("csv_inferred", "SELECT n_nationkey, n_regionkey, n_name FROM nation")
+def csv_inferred(spark, sf_dir):
+    """SRC-12: header and types inferred."""
+    path = scratch_path(spark, "nation_csv")
+    _t(spark, sf_dir).nation.write.option("header", True).csv(path)
+    got = read_csv_inferred(spark, path)
+    return got.select(F.col("n_nationkey").cast("long"), F.col("n_regionkey").cast("long"), "n_name")
+
+
+@register("table_source", "SELECT item_id, text FROM benchmark")
+def table_source(spark, sf_dir):
+    """SRC-15: a question bank stored as a table of another format."""
+    path = scratch_path(spark, "bank_orc")
+    _t(spark, sf_dir).benchmark.write.orc(path)
+    return read_table(spark, path, fmt="orc")
+
+
+@register("drop_fields", "SELECT p_partkey, p_name FROM part")
+def drop_fields_entry(spark, sf_dir):
+    """PRJ-5: all columns but the named ones."""
+    part = _t(spark, sf_dir).part
+    return drop_fields(part, [c for c in part.columns if c not in ("p_partkey", "p_name")])
+
+
+@register("count_and_first", "SELECT count(*) AS n, min(r_regionkey) AS first_key FROM region")
+def count_and_first(spark, sf_dir):
+    """DQ-8, LIM-2: row count and first row of a sorted table."""
+    n, first = Q.verify_table(_t(spark, sf_dir).region.orderBy("r_regionkey"))
+    return spark.createDataFrame([(n, first[0]["r_regionkey"])], "n long, first_key long")
+
+
+@register("table_lifecycle", """
+SELECT 'filled' AS step, count(*) AS n FROM supplier
+UNION ALL SELECT 'truncated', 0 UNION ALL SELECT 'appended', count(*) FROM supplier
+UNION ALL SELECT 'tables after drop', 0
+""")
+def table_lifecycle(spark, sf_dir):
+    """SNK-9, SNK-10, SNK-11, SNK-7: namespace, table from a spec, truncate, append, drop."""
+    before, space = spark.catalog.currentDatabase(), _table_name("space")
+    supplier = _t(spark, sf_dir).supplier
+    use_namespace(spark, space, scratch_path(spark, space))
+    try:
+        create_table(spark, "s", supplier.schema)
+        steps = []
+        supplier.write.insertInto("s")
+        steps.append(("filled", spark.table("s").count()))
+        truncate_table(spark, "s")
+        steps.append(("truncated", spark.table("s").count()))
+        supplier.write.insertInto("s")
+        steps.append(("appended", spark.table("s").count()))
+        drop_tables(spark, ["s"])
+        steps.append(("tables after drop", spark.sql(f"SHOW TABLES IN {space}").filter("NOT isTemporary").count()))
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+        spark.sql(f"DROP DATABASE IF EXISTS {space} CASCADE")
+    return spark.createDataFrame(steps, "step string, n long")
+
+
+@register("plain_append_twice", "SELECT * FROM orders UNION ALL SELECT * FROM orders")
+def plain_append_twice(spark, sf_dir):
+    """SNK-1: an append without a key doubles the rows when run twice."""
+    path, o = scratch_path(spark, "orders_twice"), _t(spark, sf_dir).orders
+    append(o, path)
+    append(o, path)
+    return spark.read.parquet(path)
+
+
+@register("keyed_append_rules", """
+WITH rows AS (SELECT event_id, event_type, CASE WHEN event_id % 11 = 0 THEN NULL ELSE event_id // 4 END AS k FROM events),
+     one AS (SELECT min(event_id) AS event_id FROM rows WHERE event_id % 4 IN (2, 3) AND k IS NOT NULL GROUP BY k),
+     two AS (SELECT min(event_id) AS event_id FROM rows WHERE k IS NOT NULL GROUP BY k
+             HAVING count(*) FILTER (WHERE event_id % 4 IN (2, 3)) = 0)
+SELECT event_id, event_type, k FROM rows
+WHERE k IS NULL OR event_id IN (SELECT event_id FROM one) OR event_id IN (SELECT event_id FROM two)
+""")
+def keyed_append_rules(spark, sf_dir):
+    """SNK-1 with a key: repeats inside a batch and across batches, NULL keys, and a rerun."""
+    ev, path = _t(spark, sf_dir).events, scratch_path(spark, "keyed")
+    rows = ev.select("event_id", "event_type", F.when(F.col("event_id") % 11 != 0, F.expr("event_id div 4")).alias("k"))
+    for batch in (rows.filter((F.col("event_id") % 4).isin(2, 3)), rows, rows):
+        append_new(batch, path, key="k")
+    return spark.read.parquet(path)
+
+
+@register("dimension_loads", """
+SELECT 'appended' AS mode, c_custkey, c_name FROM customer
+UNION ALL SELECT 'appended', c_custkey, c_name FROM customer
+UNION ALL SELECT 'truncated', c_custkey, c_name FROM customer
+""")
+def dimension_loads(spark, sf_dir):
+    """SNK-2, SNK-3: a dimension loaded twice, without and with truncation."""
+    dim, out = _t(spark, sf_dir).customer.select("c_custkey", "c_name"), []
+    for mode, load in (("appended", append), ("truncated", overwrite)):
+        path = scratch_path(spark, f"dim_{mode}")
+        load(dim, path)
+        load(dim, path)
+        out.append(spark.read.parquet(path).select(F.lit(mode).alias("mode"), "*"))
+    return out[0].unionAll(out[1])
+
+
+@register("sample_facts", f"""
+SELECT {SAMPLE_N} AS drawn, {SAMPLE_N} AS different, 0 AS outside_pool, 0 AS nulls_left,
+       count(*) >= {SAMPLE_N} AS enough
+FROM documents WHERE lang IN ('en', 'fr') AND source = '{SAMPLE_USE}'
+""")
+def sample_facts(spark, sf_dir):
+    """SMP-1, FLT-9, FN-12, DQ-10, PL-16: what holds of any draw, by an unseeded one."""
+    docs = _t(spark, sf_dir).documents.withColumn("lacking", F.lit(None).cast("string"))
+    got = Qs.get_questions(docs, SAMPLE_USE, SAMPLE_SUBJECTS, SAMPLE_N, subject_col="lang", use_col="source")
+    inside = F.col("lang").isin(*SAMPLE_SUBJECTS) & (F.col("source") == SAMPLE_USE)
+    return got.agg(F.count(F.lit(1)).cast("int").alias("drawn"), F.count_distinct("doc_id").cast("int").alias("different"),
+                   F.count_if(~inside).cast("int").alias("outside_pool"),
+                   F.count_if(F.col("lacking").isNull()).cast("int").alias("nulls_left"),
+                   (F.count(F.lit(1)) >= SAMPLE_N).alias("enough"))
 
 
 @register("json_table_roundtrip", """
@@ -1080,11 +1243,7 @@ def star_v2_job(spark, sf_dir):
     t = _t(spark, sf_dir)
     out = scratch_path(spark, "star_v2")
     paths = star.run_v2(C.staging_events(t), C.staging_songs(t), out, play_page=PLAY_PAGE)
-    # A rerun of the same hour appends nothing (T-11).
-    append_new(star.songplays_v2(spark.read.parquet(paths["staging_events"]),
-                                 spark.read.parquet(paths["staging_songs"]), PLAY_PAGE),
-               paths["songplays"], key="songplay_id")
-    return spark.read.parquet(paths["songplays"])
+    return star.read_songplays(spark, paths["songplays"])
 
 
 def _table_name(prefix: str) -> str:
@@ -1106,7 +1265,7 @@ accelerometer_landing AS (
 step_trainer_landing AS (
   SELECT epoch_us(ts) // 1000 AS sensorReadingTime, CAST(user_id AS VARCHAR) AS serialNumber,
          CAST(floor(value) AS INTEGER) AS distanceFromObject
-  FROM events WHERE event_type = 'purchase'
+  FROM events
 ),
 customer_trusted AS (
   SELECT * FROM customer_landing WHERE shareWithResearchAsOfDate IS NOT NULL
@@ -1133,8 +1292,8 @@ def lake_chain(spark, sf_dir):
     """PL-3 → PL-7 chained through published JSON catalog tables (SNK-4, SRC-9, DQ-7).
 
     Landing stand-ins: customers (consent when the balance is not negative),
-    every event as an accelerometer reading of its user, purchases as step
-    readings; times are epoch milliseconds, as in the landing tables.
+    every event as an accelerometer reading of its user and as a step
+    reading; times are epoch milliseconds, as in the landing tables.
     """
     t = _t(spark, sf_dir)
     c, ev = t.customer, t.events
@@ -1149,7 +1308,7 @@ def lake_chain(spark, sf_dir):
         F.col("user_id").cast("string").alias("user"), X.epoch_ms("ts").alias("timestamp"),
         F.col("value").alias("x"), (F.col("value") / 2).alias("y"), (-F.col("value")).alias("z"),
     )
-    steps = ev.filter(F.col("event_type") == "purchase").select(
+    steps = ev.select(
         X.epoch_ms("ts").alias("sensorReadingTime"),
         F.col("user_id").cast("string").alias("serialNumber"),
         F.floor("value").cast("int").alias("distanceFromObject"),
@@ -1188,7 +1347,7 @@ def external_json_table(spark, sf_dir):
 
 _V1_STAR_CTES = f"""
 songplay AS (
-  SELECT {_START('se.ts')} AS start_time, se.userId AS user_id, ss.song_id, ss.artist_id
+  SELECT {_START('se.ts')} AS start_time, se.userId AS user_id, ss.song_id, ss.artist_id, se.location, se.level
   FROM staging_events se JOIN staging_songs ss ON se.song = ss.title
   WHERE se.page = '{PLAY_PAGE}' AND se.userId IS NOT NULL AND ss.song_id IS NOT NULL
 ),
@@ -1200,12 +1359,18 @@ artists AS (
   GROUP BY artist_id
 ),
 users AS (
-  SELECT userId AS user_id, MAX(gender) AS gender FROM staging_events
-  WHERE {_EV_WHERE} GROUP BY userId
+  SELECT userId AS user_id, MAX(gender) AS gender, MAX(firstName) || ' ' || MAX(lastName) AS name
+  FROM staging_events WHERE {_EV_WHERE} GROUP BY userId
 )"""
+V1_YEAR = 2024
+
 
+def _v1_query(name: str):
+    return lambda spark, sf_dir: A.star_sample_queries(_v1(spark, sf_dir), year=V1_YEAR)[name]
 
-@register("v1_top_songs_by_gender", _with(_SE, _SS, _V1_STAR_CTES) + """
+
+# PL-12 on the v1 star itself: plays are counted by the fact's keys before the dimension joins.
+register("v1_top_songs_by_gender", _with(_SE, _SS, _V1_STAR_CTES) + """
 SELECT * FROM (
   SELECT CAST(ROW_NUMBER() OVER (PARTITION BY u.gender ORDER BY COUNT(*) DESC, s.title, a.name)
               AS INTEGER) AS rank,
@@ -1217,11 +1382,18 @@ SELECT * FROM (
   GROUP BY u.gender, s.title, a.name
 ) sub
 WHERE rank <= 3
-""")
-def v1_top_songs_by_gender(spark, sf_dir):
-    """PL-12 query 1 on the v1 star itself: songplay ⋈ songs ⋈ artists ⋈ users, top 3
-    per gender (WIN-1, WIN-2, JN-3)."""
-    return A.star_sample_queries(_v1(spark, sf_dir), year=2024)["top_songs_by_gender"]
+""")(_v1_query("top_songs_by_gender"))
+register("v1_top_artists_in_year", _with(_SE, _SS, _V1_STAR_CTES) + f"""
+SELECT a.name, COUNT(*) AS play_count FROM songplay sp JOIN artists a ON sp.artist_id = a.artist_id
+WHERE year(sp.start_time) = {V1_YEAR} GROUP BY a.name ORDER BY play_count DESC, a.name LIMIT 10
+""")(_v1_query("top_artists_in_year"))
+register("v1_top_users", _with(_SE, _SS, _V1_STAR_CTES) + """
+SELECT u.name, COUNT(*) AS play_count FROM songplay sp JOIN users u ON sp.user_id = u.user_id
+GROUP BY u.name ORDER BY play_count DESC, u.name LIMIT 3
+""")(_v1_query("top_users"))
+register("v1_plays_by_location_level", _with(_SE, _SS, _V1_STAR_CTES) + """
+SELECT location, level, COUNT(*) AS play_count FROM songplay GROUP BY location, level
+""")(_v1_query("plays_by_location_level"))
 
 
 @register("json_roundtrip", "SELECT * FROM events")

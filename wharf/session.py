@@ -18,6 +18,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 # Defaults applied only where the cluster left a key unset.
@@ -51,10 +52,14 @@ def get_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(SESSION_DEFAULTS)
+    conf = dict(extra or {})
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
+    if SparkSession.getActiveSession() is None:
+        # Settings given at submit are known once the JVM runs; they are kept.
+        SparkContext._ensure_initialized()
+        given = SparkConf()
+        conf = {k: v for k, v in SESSION_DEFAULTS.items() if not given.contains(k)} | conf
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -64,17 +69,12 @@ def get_session(
 
 
 def apply_runtime_defaults(spark: SparkSession) -> None:
-    """Set the SQL defaults on an existing session where they are unset."""
+    """Set the SQL defaults on an existing session where they are unset.
+
+    Among them is the zone: timestamps without a zone are read as UTC."""
     for key, value in SESSION_DEFAULTS.items():
-        if key.startswith("spark.ui") or key.startswith("spark.sql.execution.arrow"):
-            continue
-        if spark.conf.get(key, None) is None:
-            try:
-                spark.conf.set(key, value)
-            except Exception:  # static conf on a running session
-                pass
-    # The reference's timestamps are zone-less; every derivation here assumes UTC.
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key) and spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -103,13 +103,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/wharf-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-# Sizing rules: bytes of input per initial shuffle partition, and the
-# partition / split sizes used once inputs reach terabytes.
-_BYTES_PER_INITIAL_PARTITION = 512 * 1024 * 1024
-_MAX_INITIAL_PARTITIONS = 50_000
-_LARGE_INPUT = 10 * 1024 ** 4  # 10 TiB
-_LARGE_ADVISORY = "256m"
-_LARGE_SPLIT = "512m"
+# Bytes of (compressed) input for each initial shuffle partition.
+BYTES_PER_PARTITION = 128 * 1024 * 1024
 
 
 def input_bytes(spark: SparkSession, paths: list[str]) -> int:
@@ -125,29 +120,18 @@ def input_bytes(spark: SparkSession, paths: list[str]) -> int:
 
 
 def size_for_input(spark: SparkSession, total_bytes: int) -> dict[str, str]:
-    """Size shuffles and scan splits for an input of ``total_bytes``.
+    """Size shuffles for an input of ``total_bytes``, where the cluster left it unset.
 
-    Sets, only where the cluster left them unset: the initial number of
-    shuffle partitions AQE coalesces from (one per 512 MiB of input, at least
-    two per core, at most 50 000), and for inputs of 10 TiB and more a 256 MiB
-    advisory partition size and 512 MiB scan splits, so tasks stay few enough
-    to schedule and small enough to fit executor memory. Returns what it set.
+    The number of shuffle partitions that adaptive execution starts from is one
+    for each :data:`BYTES_PER_PARTITION` of input, and two for each core at
+    least; the same rule holds at every size. Returns what it set.
     """
-    cores = spark.sparkContext.defaultParallelism
-    wanted = {
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(
-            max(2 * cores, min(_MAX_INITIAL_PARTITIONS,
-                               -(-total_bytes // _BYTES_PER_INITIAL_PARTITION)))),
-    }
-    if total_bytes >= _LARGE_INPUT:
-        wanted["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = _LARGE_ADVISORY
-        wanted["spark.sql.files.maxPartitionBytes"] = _LARGE_SPLIT
-    applied = {}
-    for key, value in wanted.items():
-        if spark.conf.get(key, None) is None:
-            spark.conf.set(key, value)
-            applied[key] = value
-    return applied
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    wanted = str(max(2 * spark.sparkContext.defaultParallelism, -(-total_bytes // BYTES_PER_PARTITION)))
+    if spark.conf.get(key, None) is not None:
+        return {}
+    spark.conf.set(key, wanted)
+    return {key: wanted}
 
 
 def analyze_tables(spark: SparkSession, tables: list[str], columns: bool = True) -> None:

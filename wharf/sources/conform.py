@@ -8,8 +8,10 @@ column expressions:
 * ``staging_events`` (event log): ``events`` with its ``props.k`` part, its
   customer and the customer's nation. ``event_type = 'purchase'`` plays the
   role of ``page = 'NextSong'``.
-* ``staging_songs`` (song catalogue): ``part`` (``p_name`` is the title,
-  ``p_brand`` the artist, ``p_retailprice`` the duration).
+* ``staging_songs`` (song catalogue): ``part`` (``p_brand`` is the artist,
+  ``p_retailprice`` the duration). Two parts share a title, so a join on the
+  title alone has a few real duplicates and grows with the plays; every tenth
+  part is missing, so that some plays have no song.
 * ``lineorder``: ``lineitem`` with its order's date, customer and priority,
   the fact table of the layout study.
 
@@ -33,10 +35,19 @@ from wharf.sources.tables import Tables
 PAID_VALUE_THRESHOLD = 50.0
 
 
+# Parts whose key is a multiple of this are not in the song catalogue.
+MISSING_SONG = 10
+
+
+def song_title(key: str) -> F.Column:
+    """The stand-in title of a part: shared by two parts."""
+    return F.concat(F.lit("Song "), F.expr(f"{key} div 2").cast("string"))
+
+
 def staging_events(t: Tables) -> DataFrame:
     """The event-log staging table (FIXTURES §1 columns, camelCase)."""
     e = t.events.select("event_id", "ts", "user_id", "event_type", "value", "props")
-    p = t.part.select("p_partkey", "p_name", "p_brand", "p_retailprice")
+    p = t.part.select("p_partkey", "p_brand", "p_retailprice")
     c = t.customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     n = broadcast_if_small(t.nation.select("n_nationkey", "n_name"), max_rows=10_000)
     return (
@@ -56,7 +67,7 @@ def staging_events(t: Tables) -> DataFrame:
             F.col("n_name").alias("location"),
             F.col("event_type").alias("page"),
             F.expr("event_id div 10").alias("sessionId"),
-            F.col("p_name").alias("song"),
+            song_title("p_partkey").alias("song"),
             X.epoch_ms("ts").alias("ts"),
             F.col("c_mktsegment").alias("userAgent"),
             F.col("user_id").alias("userId"),
@@ -66,7 +77,7 @@ def staging_events(t: Tables) -> DataFrame:
 
 def staging_songs(t: Tables) -> DataFrame:
     """The song-catalogue staging table (FIXTURES §2 columns)."""
-    return t.part.select(
+    return t.part.filter(F.col("p_partkey") % MISSING_SONG != 0).select(
         F.lit(1).alias("num_songs"),
         F.col("p_brand").alias("artist_id"),
         F.col("p_size").cast("double").alias("artist_latitude"),
@@ -74,7 +85,7 @@ def staging_songs(t: Tables) -> DataFrame:
         F.col("p_type").alias("artist_location"),
         F.col("p_brand").alias("artist_name"),
         F.col("p_partkey").cast("string").alias("song_id"),
-        F.col("p_name").alias("title"),
+        song_title("p_partkey").alias("title"),
         F.col("p_retailprice").alias("duration"),
         F.col("p_size").alias("year"),
     )
@@ -116,7 +127,7 @@ staging_events AS (
          p.p_retailprice AS length,
          CASE WHEN e.value >= {PAID_VALUE_THRESHOLD} THEN 'paid' ELSE 'free' END AS level,
          n.n_name AS location, e.event_type AS page, e.event_id // 10 AS sessionId,
-         p.p_name AS song, epoch_us(e.ts) // 1000 AS ts, c.c_mktsegment AS userAgent,
+         'Song ' || CAST(p.p_partkey // 2 AS VARCHAR) AS song, epoch_us(e.ts) // 1000 AS ts, c.c_mktsegment AS userAgent,
          e.user_id AS userId
   FROM events e
   LEFT JOIN part p ON CAST(json_extract_string(e.props, '$.k') AS BIGINT) = p.p_partkey
@@ -124,13 +135,14 @@ staging_events AS (
   LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 )"""
 
-STAGING_SONGS_SQL = """
+STAGING_SONGS_SQL = f"""
 staging_songs AS (
   SELECT 1 AS num_songs, p_brand AS artist_id, CAST(p_size AS DOUBLE) AS artist_latitude,
          p_retailprice AS artist_longitude, p_type AS artist_location, p_brand AS artist_name,
-         CAST(p_partkey AS VARCHAR) AS song_id, p_name AS title, p_retailprice AS duration,
+         CAST(p_partkey AS VARCHAR) AS song_id,
+         'Song ' || CAST(p_partkey // 2 AS VARCHAR) AS title, p_retailprice AS duration,
          p_size AS year
-  FROM part
+  FROM part WHERE p_partkey % {MISSING_SONG} <> 0
 )"""
 
 LINEORDER_SQL = """
