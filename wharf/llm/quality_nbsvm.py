@@ -49,8 +49,14 @@ class Model:
     shift: float
 
 
+#: Shares of words that repeat the word before: one indicator for each share that is exceeded.
+REPEATS = (0.01, 0.03, 0.1, 0.2, 0.4, 0.7)
+
+
 def indicators(data: np.ndarray, offsets: np.ndarray, s: Settings) -> Iterator[np.ndarray]:
-    """The distinct n-gram buckets of each document of a flat batch."""
+    """The distinct n-gram buckets of each document of a flat batch.
+
+    Beside the n-grams themselves, the pattern "a word twice" is an n-gram whatever the word."""
     mask = np.uint64(s.buckets - 1)
     starts, ends, bounds = A.words(data, offsets)
     sums = A.prefix_sums(A.byte_codes(data))
@@ -61,11 +67,16 @@ def indicators(data: np.ndarray, offsets: np.ndarray, s: Settings) -> Iterator[n
         grams.append((A.mix(g + np.uint64(n)) & mask, b))
     last = np.maximum(len(data) - s.characters + 1, 0)
     c = A.mix(A.range_hashes(sums, np.arange(last), np.arange(last) + s.characters) + np.uint64(99)) & mask
+    doc = A.segments_of(bounds)
+    again = np.bincount(doc[1:][(h[1:] == h[:-1]) & (doc[1:] == doc[:-1])], minlength=len(offsets) - 1)
+    share = again / np.maximum(np.diff(bounds), 1)
+    pattern = (A.mix(np.arange(len(REPEATS), dtype=np.uint64) + np.uint64(7777)) & mask).astype(np.int64)
     seen = np.zeros(s.buckets, bool)
     for i in range(len(offsets) - 1):
         for g, b in grams:
             seen[g[b[i]:b[i + 1]]] = True
         seen[c[offsets[i]:max(offsets[i], min(offsets[i + 1] - s.characters + 1, last))]] = True
+        seen[pattern[share[i] > np.array(REPEATS)]] = True
         at = np.flatnonzero(seen)
         seen[at] = False
         yield at
