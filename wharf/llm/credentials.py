@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 #: The strong patterns. A run of hex digits is always matched as a whole, so its
 #: least length may stand in the pattern.
 STRONG = {
@@ -110,7 +112,10 @@ def text_key(text_col: str = "text") -> Column:
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = 300) -> DataFrame:
     """Per row: id, the counts of the strong kinds, base_sha256, spans (text) and span_list."""
     text = lambda items: F.array_join(F.transform(items, lambda x: F.concat_ws(":", x["kind"], x["start"], x["stop"])), ",")
-    spans = (span_lists(docs, text_col, scope)
+    # Written, so that a much copied text's rows meet it in a join that adaptive execution may split.
+    path = scratch_path(docs.sparkSession, "credential-spans")
+    span_lists(docs, text_col, scope).write.parquet(path)
+    spans = (docs.sparkSession.read.parquet(path)
              .withColumn("base", text(F.filter("span_list", lambda x: x["strong"])))
              .withColumn("spans", text(F.col("span_list"))))
     rows = docs.select(F.col(id_col).alias(id_col), text_key(text_col).alias("key"))
