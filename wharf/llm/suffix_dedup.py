@@ -57,7 +57,7 @@ class Settings:
             raise ValueError("the cover reads 3 * span + 7 bytes, more than length")
 
 
-_GRAM = 8
+_GRAM, _PLACE = 8, np.uint64((1 << 24) - 1)
 
 
 def samples(data: np.ndarray, offsets: np.ndarray, s: Settings) -> tuple[np.ndarray, ...]:
@@ -67,16 +67,20 @@ def samples(data: np.ndarray, offsets: np.ndarray, s: Settings) -> tuple[np.ndar
     if n <= 0:
         return none, none, none, none
     grams = np.ndarray((len(data) - _GRAM + 1,), "<u8", data.tobytes(), strides=(1,))
-    # Hash above, position below: the least value of a window is its leftmost least hash.
-    bits = np.uint64(max(1, int(len(data)).bit_length()))
-    least = (A.mix(grams) >> bits << bits) | np.arange(len(grams), dtype=np.uint64)
-    size = 1
-    while 2 * size <= reach:
-        least, size = np.minimum(least[:-size], least[size:]), 2 * size
-    if size < reach:
-        least = np.minimum(least[:size - reach], least[reach - size:])
-    first = np.arange(min(n, len(least)))
-    x = (least[:len(first)] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    first = np.arange(max(0, min(n, len(grams) - reach + 1)))
+    x = np.empty(len(first), np.int64)
+    # Hash above, position in the piece below: the least value of a window is its leftmost least
+    # hash. Both parts have fixed widths, so equal strings are treated alike in every batch.
+    for i in range(0, len(first), 1 << 23):
+        j = min(i + (1 << 23), len(first))
+        piece = grams[i:j + reach - 1]
+        least = (A.mix(piece) & ~_PLACE) | np.arange(len(piece), dtype=np.uint64)
+        size = 1
+        while 2 * size <= reach:
+            least, size = np.minimum(least[:-size], least[size:]), 2 * size
+        if size < reach:
+            least = np.minimum(least[:size - reach], least[reach - size:])
+        x[i:j] = i + (least & _PLACE).astype(np.int64)
     sample = first + (x - first) % s.span
     doc = np.searchsorted(offsets, first, "right") - 1
     inside = first + s.length <= offsets[doc + 1]
@@ -163,17 +167,19 @@ def _cut(batches: Iterable[pa.RecordBatch], with_text: bool) -> Iterator[pa.Reco
 def repeated_spans(spark: SparkSession, rows: DataFrame, s: Settings) -> DataFrame:
     """(text_key, lo, hi): byte ranges of the texts that repeats cover; they may overlap.
 
-    A triple, name or prefix that very many texts share is counted before it is
-    shuffled, and joins on it are split by adaptive execution."""
+    A triple or name that very many texts share is counted before it is shuffled.
+    The counts are written, so that a join with them has a shuffle of its own,
+    which adaptive execution may split."""
     def written(frame: DataFrame, name: str) -> DataFrame:
         path = scratch_path(spark, f"suffix-{name}")
         frame.write.parquet(path)
         return spark.read.parquet(path)
 
     texts = rows.select("text_key", "text")
-    triples = texts.mapInArrow(lambda b: _names(b, s, False), "triple long").groupBy("triple").count().filter("count > 1")
+    triples = written(texts.mapInArrow(lambda b: _names(b, s, False), "triple long").groupBy("triple").count()
+                      .filter("count > 1").select("triple"), "triples")
     sampled = texts.mapInArrow(lambda b: _names(b, s, True), "triple long, name long, place long, text_key long")
-    sampled = written(sampled.join(triples.select("triple"), "triple", "left_semi"), "samples")
+    sampled = written(sampled.join(triples, "triple", "left_semi"), "samples")
     names = written(sampled.groupBy("triple", "name").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("text_key", "place")).alias("at")), "names")
     settled = sampled.join(names.filter("n > 1").select("triple", "name"), ["triple", "name"], "left_semi")
@@ -181,7 +187,7 @@ def repeated_spans(spark: SparkSession, rows: DataFrame, s: Settings) -> DataFra
     settled = settled.select("text_key", first.alias("lo"),
                              (first + F.col("place").bitwiseAND(255) + s.length).alias("hi"))
 
-    several = names.groupBy("triple").count().filter("count > 1").select("triple")
+    several = written(names.groupBy("triple").count().filter("count > 1").select("triple"), "several")
     reps = written(names.join(several, "triple", "left_semi")
                    .select(F.monotonically_increasing_id().alias("rep"), "at.text_key", "at.place", "n"), "reps")
     # One row of each text that holds one of them; copies of a text are settled anyway.
