@@ -34,7 +34,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
     verdict = line_rules.quality_rules(spark, docs)
     # Rows of one text and host have one verdict.
-    kept = verdict.filter("kept").select(F.struct("host", "text_hash").alias("key")).distinct()
+    path = scratch_path(spark, "kept-texts")
+    verdict.filter("kept").select(F.struct("host", "text_hash").alias("key")).distinct().write.parquet(path)
+    # Written, so that the rows of a much copied text meet it in a join that adaptive execution may split.
+    kept = spark.read.parquet(path)
     key = F.struct(F.col("source").cast("string").alias("host"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"))
     return _rows(docs, key).join(kept, "key", "left_semi").select("row.*")
 

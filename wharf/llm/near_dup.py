@@ -127,9 +127,8 @@ def _with_values(pairs: DataFrame, nodes: DataFrame, value: str) -> DataFrame:
     return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y")
 
 
-def _first_pairs(buckets: DataFrame) -> DataFrame:
-    """Each bucket's smallest node with every other member."""
-    low = buckets.groupBy("bucket").agg(F.min("node").alias("a"))
+def _first_pairs(buckets: DataFrame, low: DataFrame) -> DataFrame:
+    """Each bucket's smallest node (in low) with every other member."""
     return buckets.join(low, "bucket").filter("node != a").select("a", F.col("node").alias("b")).distinct()
 
 
@@ -248,8 +247,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, s: Settings = Settings
         F.min("id").alias("first"), F.min(F.struct("text_hash", "id")).alias("at"),
         F.first("signature").alias("signature"), F.first("bands").alias("bands")), "nodes")
     exploded = nodes.select("node", F.explode("bands").alias("bucket"))
-    crowded = exploded.groupBy("bucket").count().filter("count > 1").select("bucket")
-    buckets = written(exploded.join(crowded, "bucket").select("bucket", "node"), "buckets")
+    # Written, so that the joins on a bucket have shuffles of their own, which adaptive execution may split.
+    crowded = written(exploded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("a"))
+                      .filter("n > 1").select("bucket", "a"), "crowded")
+    buckets = written(exploded.join(crowded.select("bucket"), "bucket").select("bucket", "node"), "buckets")
 
     def read_sets(wanted: DataFrame) -> DataFrame:
         """(node, values) of the wanted nodes, from one text of each; repeated rows may repeat it."""
@@ -266,7 +267,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, s: Settings = Settings
         return written(_with_values(pairs, sets, "values").mapInArrow(
             lambda b: _confirm(b, s.percent), "a long, b long"), "links")
 
-    pairs = likely(_first_pairs(buckets))
+    pairs = likely(_first_pairs(buckets, crowded))
     sets = read_sets(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
     links = confirmed(pairs, sets)
     labels = written(components(spark, links), "labels")
