@@ -191,7 +191,7 @@ def repeated_spans(spark: SparkSession, rows: DataFrame, s: Settings) -> DataFra
     reps = written(names.join(several, "triple", "left_semi")
                    .select(F.monotonically_increasing_id().alias("rep"), "at.text_key", "at.place", "n"), "reps")
     # One row of each text that holds one of them; copies of a text are settled anyway.
-    holders = reps.groupBy("text_key").agg(F.collect_list(F.struct("rep", "place")).alias("reps"))
+    holders = written(reps.groupBy("text_key").agg(F.collect_list(F.struct("rep", "place")).alias("reps")), "holders")
     packed = rows.mapInArrow(_pack, f"id {rows.schema['id'].dataType.simpleString()}, text_key long, packed binary")
     prefixes = (packed.drop("id").join(holders, "text_key").select("packed", "reps")
                 .mapInArrow(lambda b: _suffixes(b, s), "prefix long, number long"))
@@ -211,8 +211,10 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, s: Settings = Settings(
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
     kind = rows.schema["id"].dataType.simpleString()
-    spans = (repeated_spans(spark, rows, s).groupBy("text_key")
-             .agg(F.collect_set(F.struct("lo", "hi")).alias("spans")))
+    path = scratch_path(spark, "suffix-spans")
+    (repeated_spans(spark, rows, s).groupBy("text_key").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
+     .write.parquet(path))
+    spans = spark.read.parquet(path)
     packed = rows.mapInArrow(_pack, f"id {kind}, text_key long, packed binary")
     schema = f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     out = (packed.join(spans, "text_key", "left").select("id", "packed", "spans")
