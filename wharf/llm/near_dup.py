@@ -279,7 +279,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, s: Settings = Settings
         labels = written(components(spark, links), "labels")
 
     root = nodes.join(labels, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
-    component = root.groupBy("root").agg(F.min("first").alias("component_id"))
+    component = written(root.groupBy("root").agg(F.min("first").alias("component_id")), "components")
     answer = root.join(component, "root").select("node", "component_id")
     ids = signed.select("id", "n_shingles", "text_hash", F.when(F.col("n_shingles") > 0, node).alias("node"))
     out = ids.join(answer, "node", "left")
