@@ -38,7 +38,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -190,13 +190,16 @@ def repeated_spans(spark: SparkSession, rows: DataFrame, s: Settings) -> DataFra
     several = written(names.groupBy("triple").count().filter("count > 1").select("triple"), "several")
     reps = written(names.join(several, "triple", "left_semi")
                    .select(F.monotonically_increasing_id().alias("rep"), "at.text_key", "at.place", "n"), "reps")
-    # One row of each text that holds one of them; copies of a text are settled anyway.
-    holders = written(reps.groupBy("text_key").agg(F.collect_list(F.struct("rep", "place")).alias("reps")), "holders")
+    # Copies of a text hold the same suffixes, and their own samples are settled: one row stands for all.
+    first_row = rows.groupBy("text_key").agg(F.min("id").alias("row_id"))
+    holders = written(reps.groupBy("text_key").agg(F.collect_list(F.struct("rep", "place")).alias("reps"))
+                      .join(first_row, "text_key").withColumnRenamed("text_key", "holder"), "holders")
     packed = rows.mapInArrow(_pack, f"id {rows.schema['id'].dataType.simpleString()}, text_key long, packed binary")
-    prefixes = (packed.drop("id").join(holders, "text_key").select("packed", "reps")
-                .mapInArrow(lambda b: _suffixes(b, s), "prefix long, number long"))
-    both = F.count(F.lit(1)).over(Window.partitionBy("prefix"))
-    repeated = (prefixes.withColumn("n", both).filter("n > 1")
+    held = packed.join(holders, (F.col("text_key") == F.col("holder")) & F.col("id").eqNullSafe(F.col("row_id")))
+    prefixes = written(held.select("packed", "reps").mapInArrow(lambda b: _suffixes(b, s), "prefix long, number long"), "prefixes")
+    # A prefix may stand in very many texts: it is counted before it is shuffled, and its rows may be split.
+    shared = written(prefixes.groupBy("prefix").count().filter("count > 1").select("prefix"), "shared")
+    repeated = (prefixes.join(shared, "prefix", "left_semi")
                 .select(F.shiftright("number", 8).alias("rep"), F.col("number").bitwiseAND(255).alias("k")))
     # Only samples that stand alone under their name are still open.
     open_ = reps.filter("n = 1").select("rep", "text_key", first.alias("first"))
