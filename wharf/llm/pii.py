@@ -90,7 +90,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
         return []
     out = [(s, 0, e) for s, e in emails(text)]
     out += [(m.start(), 1, m.end()) for m in _IP.finditer(text)
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split("."))]
+            if all(len(v := p.lstrip("0")) <= 3 and int(v or "0") <= 255 for p in m.group().split("."))]
     for m in _CARD.finditer(text):
         if 14 <= m.end() - m.start() and 14 <= len(d := _digits(m.group())) <= 19 and _luhn(d):
             out.append((m.start(), 2, m.end()))
