@@ -174,6 +174,27 @@ def test_line_rules_reject_depleted_documents(spark):
     assert kept == {*range(30), 200, *range(300, 340)}
 
 
+def test_long_notices_are_taken_out_and_copied_prose_is_not(spark):
+    ship_package(spark)
+    rng = random.Random(9)
+    line = lambda n: prose(rng, n).replace("\n", " ")
+    notice, article = [line(40), line(25)], [line(30) for _ in range(10)]
+    # 14 unrelated documents made mostly of one notice of two long lines, which stand together.
+    rows = [(i, "\n".join([line(15), *notice, line(15)]), "h") for i in range(14)]
+    # Near copies of one article: each has one line of its own, the others are in 13 texts.
+    for i in range(14):
+        copy = list(article)
+        copy[i % 10] = " ".join([f"edit{chr(97 + i)}", *copy[i % 10].split(" ")[1:]])
+        rows.append((100 + i, "\n".join(copy), "h"))
+    # The notice in few documents of another host.
+    rows += [(200 + i, "\n".join([line(15), *notice, line(15)]), "other") for i in range(9)]
+    out = {r["doc_id"]: r for r in line_rules.quality_rules(
+        spark, spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert {d for d, r in out.items() if r["kept"]} == {*range(100, 114), *range(200, 209)}
+    assert {r["n_words_left"] for d, r in out.items() if d < 14} == {30}
+    assert all(r["n_words_left"] == r["n_words"] for d, r in out.items() if d >= 100)
+
+
 def test_language_model(spark, docs, rows, empty):
     s = lm_score.Settings(words=20, classes=4, known_words=40, start_rows=10)
     out = {(r["doc_id"], r["n_tokens"]): r for r in lm_score.score(spark, docs, s).collect()}

@@ -1,8 +1,13 @@
 """Operator 4: quality rules by cross-document line frequency.
 
-Normalised lines are hashed, the distinct documents that hold a line are counted
-per host, lines above the limits are taken out, and documents that lose most of
-their words to that are rejected.
+Normalised lines of every length are hashed, the distinct documents that hold a
+line are counted per host, lines above the limits are taken out, and documents
+that lose most of their words to that are rejected.
+
+A long line that many texts hold is a notice or copied prose. Near copies (by
+operator 1, five-word shingles) therefore count as one document of a long line:
+prose that only near copies share is left to near-duplicate removal, and a
+notice in unrelated documents is taken out whatever its length.
 
 Defined cases: a null text is an empty one (no words: the base rule rejects it);
 a null host is a host of its own; repeated rows give repeated result rows, and
@@ -12,7 +17,7 @@ empty result; other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,20 +27,24 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from . import arrays as A
+from . import near_dup
 
 
 @dataclass(frozen=True)
 class LineLimits:
-    """A line is boilerplate of a host if it has at most `max_line_words` words
-    and at least `min_documents` different texts of the host hold it. Longer
-    repeated lines are copied prose, which is left to near-duplicate removal.
+    """A line is boilerplate of a host if at least `min_documents` different texts
+    of the host hold it. For lines of more than `short_line_words` words, texts
+    that are near copies (`NEAR`) count as one.
     A document is depleted if fewer than `min_left` of its words remain."""
 
-    max_line_words: int = 20
+    short_line_words: int = 20
     min_documents: int = 10
     min_left: float = 0.5
 
 
+#: Texts are near copies from this similarity on, as in the pipeline.
+NEAR = near_dup.Settings(shingle=5, percent=80)
+
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 #: For normalised lines: lower case, every digit alike, no ASCII punctuation.
@@ -140,23 +149,45 @@ def scan_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                                   "lines array<struct<hash: bigint, words: int, length: int>>")
 
 
+def _of_unrelated(docs: DataFrame, lines: DataFrame, long: DataFrame, least: int, text_col: str,
+                  written: Callable[[DataFrame, str], DataFrame], spark: SparkSession) -> DataFrame:
+    """(host, hash) of the long lines that at least `least` texts hold of which no two are near copies."""
+    wanted = long.select(F.col("host").alias("w_host"), F.col("hash").alias("w_hash"))
+    holders = written(lines.select("host", "hash", "text_hash").distinct().join(
+        wanted, F.col("host").eqNullSafe(F.col("w_host")) & (F.col("hash") == F.col("w_hash")), "left_semi"), "long-lines")
+    held = written(holders.select("text_hash").distinct(), "long-line-texts")
+    text = F.col(text_col).cast("string")
+    texts = written(docs.select(text.alias("text"), F.xxhash64(text).alias("text_hash")).join(held, "text_hash", "left_semi")
+                    .dropDuplicates(["text_hash"]), "held-texts")
+    groups = near_dup.near_duplicates(spark, texts.withColumnRenamed("text_hash", "id"), NEAR, id_col="id")
+    groups = written(groups.select(F.col("id").alias("text_hash"), "component_id"), "near-texts")
+    return (holders.join(groups, "text_hash").select("host", "hash", "component_id").distinct().groupBy("host", "hash")
+            .count().filter(F.col("count") >= least).select("host", "hash"))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, limits: LineLimits = LineLimits(), id_col: str = "doc_id",
                   text_col: str = "text", host_col: str = "source") -> DataFrame:
     """Per row of `docs`: id, base counts, words left, base_failed and kept.
 
     The scan is written once to the shared scratch folder. Line counts are
     summed before they are shuffled, so a line that a third of all documents
-    hold is one row per task. Only lines short enough to be boilerplate are
-    shuffled at all.
+    hold is one row per task. Near copies are looked for only among the texts
+    that hold a long line above the limit.
     """
-    path = scratch_path(spark, "line-rules")
-    scan_lines(docs, id_col, text_col, host_col).write.parquet(path)
-    scanned = spark.read.parquet(path)
-    lines = (scanned.select("id", "host", "text_hash", F.explode("lines").alias("l"))
-             .select("id", "host", "text_hash", "l.hash", "l.words", "l.length")
-             .filter(F.col("length") <= limits.max_line_words))
-    frequent = (lines.select("host", "hash", "text_hash").distinct().groupBy("host", "hash").count()
-                .filter(F.col("count") >= limits.min_documents).select("host", "hash"))
+    def written(frame: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(spark, name)
+        frame.write.parquet(path)
+        return spark.read.parquet(path)
+
+    scanned = written(scan_lines(docs, id_col, text_col, host_col), "line-rules")
+    lines = (scanned.select("host", "text_hash", F.explode("lines").alias("l"))
+             .select("host", "text_hash", "l.hash", "l.words", "l.length"))
+    repeated = written(lines.select("host", "hash", "length", "text_hash").distinct().groupBy("host", "hash", "length")
+                       .count().filter(F.col("count") >= limits.min_documents), "repeated-lines")
+    frequent = repeated.filter(F.col("length") <= limits.short_line_words).select("host", "hash")
+    long = repeated.filter(F.col("length") > limits.short_line_words).select("host", "hash")
+    if not long.isEmpty():
+        frequent = frequent.unionByName(_of_unrelated(docs, lines, long, limits.min_documents, text_col, written, spark))
     # Rows of one text and host lose the same lines, so the sums are per (host, text).
     f = frequent.select(F.col("host").alias("f_host"), F.col("hash").alias("f_hash"))
     lost = (lines.select("host", "text_hash", "hash", "words").distinct()
