@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,6 +120,40 @@ def test_decontamination(spark, docs, rows, empty):
     assert decontaminate.contaminated(spark, table, bench.filter("false")).count() == 0
 
 
+def found_pairs(items, texts, s=decontaminate.Settings()):
+    """(text, item) positions that the search verifies."""
+    index = decontaminate.Index(list(range(len(items))), items, s)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["id", "text"])
+    return {p for out in decontaminate._search([batch], index) for p in zip(out["id"].to_pylist(), out["item"].to_pylist())}
+
+
+def test_items_with_a_changed_word_are_found():
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice(SYLLABLES) for _ in range(3)) + str(rng.randint(0, 99))
+    items = [[word() for _ in range(n)] for n in (5, 6, 9, 10, 12, 16, 20, 24, 28, 40, 64, 65)]
+    # Questions with an answer of one word, and of several.
+    items += [[*(word() for _ in range(7)), word() + "?", word() + "."], [*(word() for _ in range(9)), word() + "?", word(), word(), word() + "."]]
+    # One rare word, the others common to all items.
+    items += [["rare", *items[5][:5]], [*items[6][:7], *items[7][:2]]]
+    texts, want = [], set()
+    for k, item in enumerate(items):
+        # The answer's only word may not change.
+        inner = range(1, len(item) - 1)
+        for at in inner:
+            for new in ([word()], [], [item[at], word()]):
+                lead = [word() for _ in range(rng.choice([0, 3, 61, 64, 65, 127]))]
+                want.add((len(texts), k))
+                texts.append(" ".join([*lead, *item[:at], *new, *item[at + 1:], *(word() for _ in range(70))]))
+    got = found_pairs([" ".join(i) for i in items], texts)
+    assert want <= got
+    # Two changed words: from ten words on only. Another answer, half of an item or shuffled words are no leak.
+    twice = [" ".join(["xx1" if j == 2 else "xx2" if j == len(i) - 2 else w for j, w in enumerate(i)]) for i in items[:9]]
+    got = found_pairs([" ".join(i) for i in items], twice)
+    assert {k for t, k in got if t == k} == {k for k in range(9) if len(items[k]) >= 10}
+    other = [" ".join([*items[12][:-1], "other."]), " ".join(items[7][:12]), " ".join(rng.sample(items[6], 20)), " ".join(items[4][:9])]
+    assert not {(0, 12), (1, 7), (2, 6), (3, 4)} & found_pairs([" ".join(i) for i in items], other)
+
+
 def test_bounds_lose_no_retrieved_item():
     rng = random.Random(3)
     texts = [prose(rng, rng.randint(6, 40)) for _ in range(70)]

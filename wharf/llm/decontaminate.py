@@ -10,7 +10,11 @@ bounds are never below the score, so nothing above the threshold is lost.
 
 Retrieved items are verified on word 5-grams: the passage must hold at least
 80 % of the item's, and half of those of its question and of its answer (the
-last sentence, where there are several).
+last sentence, where there are several). One changed word destroys five 5-grams,
+too many of a short item; so an item is also verified if a stretch of the passage
+becomes it by changing (replacing, leaving out or putting in) at most two words,
+or one in items of five to nine words, and half of the words of its question and
+of its answer stand. No such item is below the retrieval threshold.
 
 The index is a stated query set: it is broadcast in blocks of at most
 `block_bytes` of item text; more items take more passes over the documents.
@@ -45,6 +49,8 @@ class Settings:
     gram: int = 5
     overlap: float = 0.8
     part_overlap: float = 0.5
+    #: Words of an item that may be changed, as far as `overlap` of its words are left.
+    changed: int = 2
     #: Passages have twice as many words as the longest item, and this many at least.
     least_half: int = 64
     block_items: int = 16
@@ -95,7 +101,15 @@ class Index:
         df = np.bincount(t, minlength=len(self.terms))
         idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
         weight = idf[t] * tf * (s.k1 + 1) / (tf + s.k1 * (1 - s.b + s.b * length[i] / max(length.mean(), 1)))
-        self.threshold = s.share * np.bincount(i, weights=weight, minlength=n)
+        # The changed words may be those with the greatest weights; one term is left at least.
+        self.changed = np.minimum(s.changed, ((1 - s.overlap) * length + 1e-9).astype(np.int64))
+        heavy = np.lexsort((-weight, i))
+        rank = np.arange(len(i)) - np.searchsorted(i[heavy], i[heavy])
+        gone = rank < self.changed[i[heavy]]
+        whole, least = np.bincount(i, weights=weight, minlength=n), np.full(n, np.inf)
+        np.minimum.at(least, i, weight)
+        left = whole - np.bincount(i[heavy][gone], weights=weight[heavy][gone], minlength=n)
+        self.threshold = np.minimum(s.share * whole, np.maximum(left, least))
         part = weight / self.threshold[i]
         # Postings by term, and the greatest part in each block of items.
         self.item, self.part, self.first = i, part, np.searchsorted(t, np.arange(len(self.terms) + 1))
@@ -109,16 +123,18 @@ class Index:
         common = np.bincount(i[~self.rare[t]], weights=part[~self.rare[t]], minlength=n)
         self.common = float(common.max()) if n else 0.0
         self.best = np.maximum.reduceat(part, self.first[:-1]) if len(part) else np.zeros(0)
-        self.half = max(s.least_half, int(length.max()) if n else 0)
+        self.half = max(s.least_half, int(length.max()) + s.changed if n else 0)
         self.filter = np.zeros(1 << 16, bool)
         self.filter[(self.terms & np.uint64(0xFFFF)).astype(np.int64)] = True
         grams, gb = A.shingles(h, bounds, s.gram)
         # Grams that end in the answer belong to the answer; it is the last of several sentences.
         self.grams = [grams[gb[k]:gb[k + 1]] for k in range(n)]
-        self.question = []
+        self.words = [h[bounds[k]:bounds[k + 1]] for k in range(n)]
+        self.question, self.n_asked = [], []
         for text, words, g in zip(texts, length, self.grams):
             answer = re.split(r"(?<=[.?!])\s+", text.strip())
             tail = np.diff(word_hashes(*_flat([answer[-1]]))[1])[0] if len(answer) > 1 else 0
+            self.n_asked.append(words - tail)
             self.question.append(np.arange(len(g)) + min(s.gram, words) <= words - tail)
 
     def passages(self, term: np.ndarray, position: np.ndarray, doc: np.ndarray, n_words: np.ndarray):
@@ -185,7 +201,7 @@ def _search(batches: Iterable[pa.RecordBatch], index: Index) -> Iterator[pa.Reco
             if not size:
                 hit = hit | _holds(window, index, item)
             parts = [float(hit[x].mean()) if x.any() else 1.0 for x in (ask, ~ask)]
-            if hit.mean() >= s.overlap and min(parts) >= s.part_overlap:
+            if (hit.mean() >= s.overlap and min(parts) >= s.part_overlap) or _nearly_holds(window, index, item):
                 best = found.setdefault((d, int(item)), [0.0, 0.0, 0.0, 0])
                 found[d, int(item)] = [max(best[0], float(score)), max(best[1], parts[0]), max(best[2], parts[1]), best[3] + 1]
         rows = sorted(found)
@@ -203,6 +219,33 @@ def _holds(window: np.ndarray, index: Index, item: int) -> np.ndarray:
                          for n in range(1, index.s.gram + 1))])
 
 
+def _nearly_holds(window: np.ndarray, index: Index, item: int) -> bool:
+    """Whether a stretch of the window is the item but for its changed words, with enough of question and answer."""
+    words, n_asked, most = index.words[item], index.n_asked[item], int(index.changed[item])
+    n, column = len(words), np.arange(len(window) + 1)
+    if not most or np.isin(words, window).sum() < n - most:
+        return False
+    # Edits of the item's first i words against stretches of the window that end at each word.
+    edits = np.zeros((n + 1, len(window) + 1), np.int64)
+    for i in range(1, n + 1):
+        row = edits[i - 1] + 1
+        row[1:] = np.minimum(row[1:], edits[i - 1, :-1] + (window != words[i - 1]))
+        edits[i] = np.minimum.accumulate(row - column) + column
+    for j in np.flatnonzero(edits[n] <= most):
+        i, stands = n, np.zeros(n, bool)
+        while i and j:
+            if edits[i, j] == edits[i - 1, j - 1] + (window[j - 1] != words[i - 1]):
+                i, j = i - 1, j - 1
+                stands[i] = window[j] == words[i]
+            elif edits[i, j] == edits[i - 1, j] + 1:
+                i -= 1
+            else:
+                j -= 1
+        if all(x.mean() >= index.s.part_overlap for x in (stands[:n_asked], stands[n_asked:]) if len(x)):
+            return True
+    return False
+
+
 def contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame, s: Settings = Settings(),
                  id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
                  item_text_col: str = "text") -> DataFrame:
