@@ -1,25 +1,22 @@
-"""Operator 3: removal of repeated strings by difference-cover suffix sorting.
+"""Operator 3: removal of repeated strings by content-chosen samples and hashes.
 
 Every byte that lies in a `length`-byte string which also starts elsewhere is
-removed. The suffixes are ordered as far as `length` bytes need it, in the steps
-of the difference-cover algorithm:
-
-1. Sample. A cover picks, for the suffix at p, a sampled suffix a(p) in
-   [p, p + span). The cover is chosen by content (a mod-minimizer) instead of by
-   position modulo 3, so that equal strings have their samples at equal offsets
-   wherever they start, and far fewer suffixes are sampled (about one byte in a
-   hundred).
-2. Sort sampled triples. The first `length - span + 1` bytes of a sampled suffix
-   are a triple of blocks. Triples get names; a sample whose triple occurs once
-   cannot take part in a repeat and is left out.
-3. Recurse on names. A triple's name is extended by the blocks on both sides to
-   all suffixes that the sample stands for. Equal extended names settle all of
-   these suffixes at once; further levels are not needed, as prefixes are only
-   compared on `length` bytes.
-4. Merge the remaining suffixes. What is not settled is placed by its own
-   `length` bytes, once for each distinct extended name of a triple.
-5. Compare adjacent prefixes. Suffixes whose neighbour has the same prefix are
-   repeats, and their bytes are removed.
+removed. Nothing is sorted by suffix: the sort, the recursion and the merge of
+difference-cover suffix sorting are replaced by grouping on hashes.
+
+1. Sample. For the suffix at p, a mod-minimizer picks a sampled suffix a(p) in
+   [p, p + span). It goes by content instead of by position modulo 3, so that
+   equal strings have their samples at equal offsets wherever they start, and far
+   fewer suffixes are sampled (about one byte in a hundred).
+2. Group the sampled triples. The first `length - span + 1` bytes of a sampled
+   suffix are a triple. A sample whose triple occurs once cannot take part in a
+   repeat and is left out.
+3. Extend and group (in place of the recursion). A triple's name covers the bytes
+   on both sides too, as far as the suffixes that the sample stands for need
+   them. Equal names settle all of these suffixes at once.
+4. Group the rest (in place of merge and comparison of neighbours). What is not
+   settled is hashed on its own `length` bytes, once for each distinct name of a
+   triple; a hash that occurs twice or more is a repeat.
 
 Names are 64-bit hashes of the bytes, equal where the bytes are.
 
