@@ -154,6 +154,18 @@ def test_items_with_a_changed_word_are_found():
     assert not {(0, 12), (1, 7), (2, 6), (3, 4)} & found_pairs([" ".join(i) for i in items], other)
 
 
+def test_blocks_of_items_change_no_value(spark):
+    ship_package(spark)
+    rng = random.Random(13)
+    items = [(k, prose(rng, n)) for k, n in enumerate((8, 12, 20, 40, 90, 15, 30, 9))]
+    texts = [(k, f"{prose(rng, 200)} {items[k % 8][1]} {prose(rng, rng.randint(1, 150))} {items[(k + 3) % 8][1]}") for k in range(16)]
+    docs, bench = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = [sorted((r["doc_id"], r["item_id"], round(r["score"], 9), r["n_passages"]) for r in
+                  decontaminate.contaminated(spark, docs, bench, s).collect())
+           for s in (decontaminate.Settings(), decontaminate.Settings(block_bytes=300))]
+    assert got[0] == got[1] and len(got[0]) >= 32
+
+
 def test_bounds_lose_no_retrieved_item():
     rng = random.Random(3)
     texts = [prose(rng, rng.randint(6, 40)) for _ in range(70)]

@@ -18,6 +18,8 @@ of its answer stand. No such item is below the retrieval threshold.
 
 The index is a stated query set: it is broadcast in blocks of at most
 `block_bytes` of item text; more items take more passes over the documents.
+Document frequencies, mean length and passage size are those of all items, so
+the results do not depend on the blocks. The driver holds them (16 bytes a term).
 
 Defined cases: null and empty texts have no passages, null and empty items are
 no test items; items of fewer than five words are one gram; repeated document
@@ -30,7 +32,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -88,19 +90,40 @@ def _runs(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts - starts, counts)
 
 
+@dataclass
+class Totals:
+    """What the scores and passages need of all items."""
+    n: int = 0
+    n_words: int = 0
+    longest: int = 0
+    terms: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    df: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+
+    def with_items(self, texts: list[str]) -> Totals:
+        h, bounds = word_hashes(*_flat(texts))
+        length = np.diff(bounds)
+        terms, term = np.unique(h, return_inverse=True)
+        pair = np.unique(term * len(texts) + A.segments_of(bounds))
+        all_terms, at = np.unique(np.concatenate([self.terms, terms]), return_inverse=True)
+        df = np.zeros(len(all_terms), np.int64)
+        np.add.at(df, at, np.concatenate([self.df, np.bincount(pair // len(texts), minlength=len(terms))]))
+        return Totals(self.n + len(texts), self.n_words + int(length.sum()), max(self.longest, int(length.max())), all_terms, df)
+
+
 class Index:
     """BM25 contributions relative to each item's threshold, by term and by (term, block of items)."""
 
-    def __init__(self, ids: list, texts: list[str], s: Settings):
+    def __init__(self, ids: list, texts: list[str], s: Settings, totals: Totals | None = None):
         self.ids, self.s = ids, s
+        totals = totals or Totals().with_items(texts)
         h, bounds = word_hashes(*_flat(texts))
         n, item, length = len(texts), A.segments_of(bounds), np.diff(bounds)
         self.terms, term = np.unique(h, return_inverse=True)
         pair, tf = np.unique(term * n + item, return_counts=True)
         t, i = pair // n, pair % n
-        df = np.bincount(t, minlength=len(self.terms))
-        idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
-        weight = idf[t] * tf * (s.k1 + 1) / (tf + s.k1 * (1 - s.b + s.b * length[i] / max(length.mean(), 1)))
+        df = totals.df[np.searchsorted(totals.terms, self.terms)]
+        idf = np.log(1 + (totals.n - df + 0.5) / (df + 0.5))
+        weight = idf[t] * tf * (s.k1 + 1) / (tf + s.k1 * (1 - s.b + s.b * length[i] / max(totals.n_words / totals.n, 1)))
         # The changed words may be those with the greatest weights; one term is left at least.
         self.changed = np.minimum(s.changed, ((1 - s.overlap) * length + 1e-9).astype(np.int64))
         heavy = np.lexsort((-weight, i))
@@ -119,11 +142,11 @@ class Index:
         self.block_first = np.searchsorted(t[at], np.arange(len(self.terms) + 1))
         self.n_blocks = n // s.block_items + 1
         # Frequent terms are bounded together by the most that any item can get from them.
-        self.rare = df * 8 <= n
+        self.rare = df * 8 <= totals.n
         common = np.bincount(i[~self.rare[t]], weights=part[~self.rare[t]], minlength=n)
         self.common = float(common.max()) if n else 0.0
         self.best = np.maximum.reduceat(part, self.first[:-1]) if len(part) else np.zeros(0)
-        self.half = max(s.least_half, int(length.max()) + s.changed if n else 0)
+        self.half = max(s.least_half, totals.longest + s.changed)
         self.filter = np.zeros(1 << 16, bool)
         self.filter[(self.terms & np.uint64(0xFFFF)).astype(np.int64)] = True
         grams, gb = A.shingles(h, bounds, s.gram)
@@ -256,15 +279,22 @@ def contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame, s: Sett
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     schema = f"id {kind}, item long, score double, question_overlap double, answer_overlap double, n_passages long"
-    out = None
+
+    def block(k: int) -> tuple[list, list[str]]:
+        part = test.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks)) == k) if n_blocks > 1 else test
+        pairs = sorted((r["item"] is not None, r["item"] or 0, r["text"]) for r in part.collect() if r["text"])
+        full = np.flatnonzero(np.diff(word_hashes(*_flat([p[2] for p in pairs]))[1])) if pairs else []
+        return [pairs[i][1] if pairs[i][0] else None for i in full], [pairs[i][2] for i in full]
+
+    totals, out = Totals(), None
+    for k in range(n_blocks):
+        if texts := block(k)[1]:
+            totals = totals.with_items(texts)
     for k in range(n_blocks):
-        block = test.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks)) == k) if n_blocks > 1 else test
-        pairs = sorted((r["item"] is not None, r["item"] or 0, r["text"]) for r in block.collect() if r["text"])
-        ids, texts = [p[1] if p[0] else None for p in pairs], [p[2] for p in pairs]
-        full = [i for i, n in enumerate(np.diff(word_hashes(*_flat(texts))[1])) if n] if texts else []
-        if not full:
+        ids, texts = block(k)
+        if not texts:
             continue
-        shared = spark.sparkContext.broadcast(Index([ids[i] for i in full], [texts[i] for i in full], s))
+        shared = spark.sparkContext.broadcast(Index(ids, texts, s, totals))
         found = rows.mapInArrow(lambda b, shared=shared: _search(b, shared.value), schema)
         out = found if out is None else out.unionByName(found)
     if out is None:
