@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship_package
 from ..sources.tables import load as _read
-from . import bpe, credentials, decontaminate, langid, line_rules, lm_score, near_dup, pii, quality_nbsvm, suffix_dedup
+from . import (bag_search, bpe, credentials, decontaminate, langid, line_dedup, line_rules, lm_score, near_dup, phrases, pii,
+               quality_nbsvm, suffix_dedup)
 
 
 def op1_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,6 +72,21 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(spark, docs, langid.train(spark, docs))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    return bag_search.search(spark, _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 strongest phrases of every language."""
+    return phrases.collocations(spark, _read(spark, sf_dir, "documents"))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What remains of every text without the lines that earlier documents hold."""
+    return line_dedup.digest(line_dedup.dedup_lines(spark, _read(spark, sf_dir, "documents")))
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,5 +96,7 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return run
 
 
-QUERIES = {f.__name__: _shipped(f) for f in (op1_near_dup, op2_decontaminate, op3_suffix_dedup, op4_line_rules, op5_lm_score, op6_bpe, op7_pii, op8_credentials, op9_quality, op10_language)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: _shipped(f) for f in (
+    op1_near_dup, op2_decontaminate, op3_suffix_dedup, op4_line_rules, op5_lm_score, op6_bpe, op7_pii, op8_credentials,
+    op9_quality, op10_language, op11_ranked_search, op12_phrases, op13_line_dedup)}
+ORACLE: dict[str, str] = {"op11_ranked_search": bag_search.SQL, "op12_phrases": phrases.SQL, "op13_line_dedup": line_dedup.SQL}
