@@ -207,14 +207,16 @@ def artists_v2(staging_songs: DataFrame) -> DataFrame:
         "artist_id", "artist_name", "artist_location", "artist_latitude", "artist_longitude"])
 
 
+def time_columns(start_time: str | Column) -> list[Column]:
+    """The columns of `time` v2 for a start time; weekday 0 = Sunday."""
+    st = F.col(start_time) if isinstance(start_time, str) else start_time
+    return [st.alias("start_time"), X.hour(st).alias("hour"), X.day(st).alias("day"), X.iso_week(st).alias("week"),
+            X.month(st).alias("month"), X.year(st).alias("year"), X.dow_sunday0(st).alias("weekday")]
+
+
 def time_v2(songplays: DataFrame) -> DataFrame:
     """Time v2 reads the fact and keeps every row (no DISTINCT); weekday 0 = Sunday."""
-    st = F.col("start_time")
-    return songplays.select(
-        st, X.hour(st).alias("hour"), X.day(st).alias("day"), X.iso_week(st).alias("week"),
-        X.month(st).alias("month"), X.year(st).alias("year"),
-        X.dow_sunday0(st).alias("weekday"),
-    )
+    return songplays.select(*time_columns("start_time"))
 
 
 V2_CHECKS = [

@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from wharf.functions import exprs as X
 from wharf.operators import quality as Q
+from wharf.operators import quality_state as QS
 from wharf.operators.aggregates import distinct_count
 from wharf.operators.joins import broadcast_if_small
 from wharf.operators.projections import drop_fields
@@ -34,7 +35,9 @@ from wharf.plans import lake as L
 from wharf.plans import questions as Qs
 from wharf.plans import serving as S
 from wharf.plans import star
+from wharf.plans import star_refresh as SR
 from wharf.session import scratch_path
+from wharf.sinks.keyed_table import KeyedTable, Layout
 from wharf.sinks.writers import (
     append, append_new, append_record, create_table, drop_tables, overwrite, quoted_csv,
     save_bucketed, save_json_table, truncate_table, use_namespace,
@@ -47,6 +50,7 @@ from wharf.sources.files import (
 )
 from wharf.sources.tables import Tables
 from wharf.streaming.incremental import run_incremental, run_keyed_append
+from wharf.streaming.keyed import run_keyed_stream
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -1237,6 +1241,129 @@ def incremental_keyed_replay(spark, sf_dir):
     return spark.read.parquet(target).select(*ev.columns)
 
 
+_NULL_KEYED = """
+rows AS (SELECT event_id, event_type, ts, CASE WHEN event_id % 11 = 0 THEN NULL ELSE event_id END AS k FROM events)"""
+
+
+@register("incremental_keyed_state", _with(_NULL_KEYED) + "SELECT event_id, event_type, ts, k FROM rows")
+def incremental_keyed_state(spark, sf_dir):
+    """STR-2: keys seen so far are the stream's state, so the target is not read.
+
+    Early events arrive first, then all events (the early ones again, repeated
+    rows, late rows among new ones), then a run without new files. NULL keys are
+    known by their whole row."""
+    ev = _t(spark, sf_dir).events
+    rows = ev.select("event_id", "event_type", "ts", F.when(F.col("event_id") % 11 != 0, F.col("event_id")).alias("k"))
+    landing, target, ck = (scratch_path(spark, n) for n in ("landing", "fact", "ck"))
+    early = rows.filter(F.col("ts") < F.lit(INCREMENTAL_SPLIT).cast("timestamp_ntz"))
+    for batch in (early, rows.unionAll(early), None):
+        if batch is not None:
+            batch.write.mode("append").parquet(landing)
+        run_keyed_stream(spark, landing, rows.schema, target, "k", ck)
+    return spark.read.schema(rows.schema).parquet(target)
+
+
+_UPSERT_ORDER = ["arrival", *_LI_ORDER]
+_LI_CHANGES = """
+top AS (SELECT max(l_orderkey) AS k FROM lineitem),
+writes AS (
+  SELECT *, 1 AS arrival FROM lineitem
+  UNION ALL SELECT lineitem.* REPLACE (l_quantity + 1 AS l_quantity), 2 AS arrival FROM lineitem, top WHERE l_orderkey * 4 > k * 3
+  UNION ALL SELECT lineitem.* REPLACE (-1.0 AS l_quantity), 0 AS arrival FROM lineitem, top WHERE l_orderkey * 8 > k * 7
+  UNION ALL SELECT lineitem.* REPLACE (l_orderkey + k AS l_orderkey), 2 AS arrival FROM lineitem, top WHERE l_orderkey * 16 <= k
+)"""
+
+
+@register("upsert_touched_files", _with(_LI_CHANGES) + f"""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                               ORDER BY {', '.join(c + ' DESC' for c in _UPSERT_ORDER)}) AS rn FROM writes) t
+WHERE rn = 1
+""")
+def upsert_touched_files(spark, sf_dir):
+    """SNK-6 on a stored table, PL-9 … PL-11: two batches; the second rewrites the files that hold its keys.
+
+    First all lines; then changes of the orders with the highest keys, older
+    writes that arrive late, and lines of new orders."""
+    li = _t(spark, sf_dir).lineitem
+    top = li.agg(F.max("l_orderkey")).first()[0] or 0
+    first = li.withColumn("arrival", F.lit(1))
+    key = F.col("l_orderkey")
+    changed = li.filter(key * 4 > top * 3).withColumns({"l_quantity": F.col("l_quantity") + 1, "arrival": F.lit(2)})
+    late = li.filter(key * 8 > top * 7).withColumns({"l_quantity": F.lit(-1.0), "arrival": F.lit(0)})
+    added = li.filter(key * 16 <= top).withColumns({"l_orderkey": key + top, "arrival": F.lit(2)})
+    # A table design of 16 key ranges, whatever the size; files of a range are split by size.
+    table = KeyedTable(spark, scratch_path(spark, "lineitem_keyed"), ["l_orderkey", "l_linenumber"], first.schema,
+                       Layout(slots=1, width=top // 16 + 1))
+    table.upsert(first, _UPSERT_ORDER)
+    table.upsert(changed.unionByName(late).unionByName(added), _UPSERT_ORDER)
+    return table.read()
+
+
+_FACT_COLUMNS = ["start_time", "userid", "level", "song_id", "artist_id", "sessionid", "location", "useragent"]
+_PLAYS_ONCE = f"""
+plays_once AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY songplay_id, CASE WHEN songplay_id IS NULL THEN row(COLUMNS(*)) END
+                                 ORDER BY {', '.join(c + ' NULLS FIRST' for c in _FACT_COLUMNS)}) AS rn FROM songplays) t
+  WHERE rn = 1
+)""".replace("row(COLUMNS(*))", f"row({', '.join(_FACT_COLUMNS)})")
+
+
+def _refreshed(spark, sf_dir) -> str:
+    """Three runs of the v2 star, by time of the events; the second is repeated."""
+    t = _t(spark, sf_dir)
+    events, songs = C.staging_events(t), C.staging_songs(t)
+    out = scratch_path(spark, "star_refresh")
+    hour = F.pmod(F.expr("ts div 3600000"), F.lit(3))
+    for run in (0, 1, 1, 2):
+        SR.refresh_v2(spark, events.filter(hour == run), songs, out, f"run-{run}", play_page=PLAY_PAGE)
+    return out
+
+
+@register("star_v2_refresh", _with(_SE, _SS, _songplays_v2_sql(), _PLAYS_ONCE) + "SELECT * FROM plays_once")
+def star_v2_refresh(spark, sf_dir):
+    """PL-2 by increment: the fact after three runs by hour equals one run's."""
+    return SR.read_v2(spark, _refreshed(spark, sf_dir), "songplays")
+
+
+@register("star_v2_refresh_tables", _with(_SE, _SS, _songplays_v2_sql(), _PLAYS_ONCE) + f"""
+SELECT 'time' AS name, count(*) AS n, count(DISTINCT start_time) AS different FROM plays_once
+UNION ALL SELECT 'users', count(*), count(DISTINCT userid) FROM (
+  SELECT DISTINCT userId AS userid, firstName, lastName, gender, level FROM staging_events WHERE page = '{{PLAY_PAGE}}') u
+UNION ALL SELECT 'songs', count(*), count(DISTINCT song_id) FROM (
+  SELECT DISTINCT song_id, title, artist_id, year, duration FROM staging_songs) s
+UNION ALL SELECT 'artists', count(*), count(DISTINCT artist_id) FROM (
+  SELECT DISTINCT artist_id, artist_name, artist_location, artist_latitude, artist_longitude FROM staging_songs) a
+""".replace("{PLAY_PAGE}", PLAY_PAGE))
+def star_v2_refresh_tables(spark, sf_dir):
+    """PL-2 by increment: `time` and the dimensions after three runs by hour."""
+    out = _refreshed(spark, sf_dir)
+    keys = {"time": "start_time", "users": "userid", "songs": "song_id", "artists": "artist_id"}
+    parts = [SR.read_v2(spark, out, name).agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n"),
+                                              F.count_distinct(key).alias("different")) for name, key in keys.items()]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2]).unionAll(parts[3])
+
+
+# The loads of the checks by increment: each table's time column and the bounds of its three loads.
+DQ_LOADS = {"orders": ("o_orderdate", "1994-05-01", "1996-09-01"), "lineitem": ("l_shipdate", "1994-05-01", "1996-09-01"),
+            "events": ("ts", "2024-01-11", "2024-01-21")}
+DQ_LOAD_SPECS = [s for s in DQ_SPECS if s.table in DQ_LOADS]
+
+
+@register("dq_by_load", _suite_sql(DQ_LOAD_SPECS))
+def dq_by_load(spark, sf_dir):
+    """DQ-1 … DQ-5 by increment: after three loads (one repeated) the report is the suite's over all rows."""
+    t, path = _t(spark, sf_dir), scratch_path(spark, "check_state")
+    for load in (0, 1, 1, 2):
+        rows = {}
+        for name, (column, *bounds) in DQ_LOADS.items():
+            at = sum((F.coalesce(F.col(column) >= F.lit(b).cast("timestamp_ntz"), F.lit(False))).cast("int") for b in bounds)
+            rows[name] = getattr(t, name).filter(at == load)
+        QS.add_load(spark, path, f"load-{load}", rows, DQ_LOAD_SPECS)
+    return QS.report(spark, path, DQ_LOAD_SPECS)
+
+
 @register("star_v2_job", _with(_SE, _SS, _songplays_v2_sql()) + "SELECT * FROM songplays")
 def star_v2_job(spark, sf_dir):
     """PL-2 end to end: stage ×2 → fact → 4 dims → DQ-6 checks; the fact read back."""
