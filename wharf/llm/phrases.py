@@ -8,10 +8,10 @@ reverse transform, the forward interval follows, and both transforms tell
 whether all occurrences have the same word to the left or to the right. Counts
 and extensions are then summed across shards with DataFrame aggregates.
 
-A phrase is frequent only if its words and its pairs of words are. So words are
-counted first, rare ones become breaks; pairs of words come from a first pass of
-the index, rare ones become breaks; longer phrases come from a second pass over
-what is left. All three counts are exact and cover all texts.
+A phrase is frequent only if its parts are. So words are counted first, and then
+phrases by length: each level indexes the stretches of a shard in which all
+phrases of a word less are frequent, so that rare phrases, which are most, are
+summed once at most. All counts are exact and cover all texts.
 
 The score of a phrase of words is the least, over its cuts into two parts, of
 floor(1000 a n / (l r)), with the counts a, l, r of phrase and parts and all n
@@ -27,11 +27,13 @@ shard is a shard of its own; other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import uuid
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -54,7 +56,7 @@ class Settings:
     max_words: int = 5
     min_count: int = 100
     top: int = 2000
-    shard_bytes: int = 8 << 20
+    shard_bytes: int = 4 << 20
 
 
 class FmIndex:
@@ -68,15 +70,16 @@ class FmIndex:
         while length < depth:
             key = rank * (int(rank.max()) + 1) + np.roll(rank, -length)
             order = np.argsort(key)
-            held = key[order]
-            rank = np.empty(n, np.int64)
-            rank[order] = np.cumsum(np.concatenate([[0], held[1:] != held[:-1]]))
+            key = key[order]
+            rank[order] = np.cumsum(np.concatenate([[False], key[1:] != key[:-1]]))
             length *= 2
+        del rank
         self.n = n
-        self.bwt = seq[order - 1]
+        self.bwt = seq[order - 1].astype(np.int32)
         # Sorted (word, position) pairs: their places answer both C[word] and the rank of a word at a position.
-        self.places = np.sort(self.bwt.astype(np.int64) * n + np.arange(n))
-        self.runs = np.concatenate([[0], np.cumsum(self.bwt[1:] != self.bwt[:-1])])
+        self.places = self.bwt.astype(np.int64) * n + np.arange(n)
+        self.places.sort()
+        self.runs = np.concatenate([[False], self.bwt[1:] != self.bwt[:-1]]).cumsum(dtype=np.int32)
 
     def before(self, words: np.ndarray, at: np.ndarray) -> np.ndarray:
         """C[word] + rank(word, at): where the interval of word + pattern begins, `at` being that of the pattern."""
@@ -99,7 +102,7 @@ class Phrases:
 
 def enumerate_phrases(seq: np.ndarray, first: int, last: int) -> Iterator[Phrases]:
     """All phrases of `first` to `last` words of a sequence of ids (0: break), by bidirectional interval extension."""
-    seq = np.concatenate([[0], seq, [0]]).astype(np.int64)
+    seq = np.concatenate([[0], seq, [0]]).astype(np.int32)
     forward, reverse = FmIndex(seq, last), FmIndex(seq[::-1], last)
     words, size = np.unique(seq[seq > 0], return_counts=True)
     low = np.searchsorted(np.sort(seq), words)
@@ -115,6 +118,7 @@ def enumerate_phrases(seq: np.ndarray, first: int, last: int) -> Iterator[Phrase
         held = symbol > 0
         span = int(seq.max()) + 1
         key, count = np.unique(owner[held] * span + symbol[held], return_counts=True)
+        del at, held
         owner, symbol = key // span, key % span
         # Within the pattern's interval suffixes are in order of their next word, breaks first.
         done = np.cumsum(count) - count
@@ -125,22 +129,42 @@ def enumerate_phrases(seq: np.ndarray, first: int, last: int) -> Iterator[Phrase
             yield Phrases(words, size, forward.only(low, size), reverse.only(back, size))
 
 
-def _shards(settings: Settings):
-    """One row per shard: its sequence of local word ids from 1 (0: break) and its dictionary."""
-    def merged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for b in batches:
-            held.append(b)
-            size += b.nbytes
-            if size >= settings.shard_bytes:
-                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-                held, size = [], 0
-        if size:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+def _by_language(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Batches of about `size` bytes, of one language each as far as possible: they have fewer different phrases.
+
+    At most four batches are held, however many languages there are."""
+    held: dict[str, list[pa.RecordBatch]] = {}
+    bytes_of: dict[str, int] = {}
+
+    def joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        return pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+
+    for b in batches:
+        lang = b.column("lang").dictionary_encode()
+        for code, name in enumerate(lang.dictionary.to_pylist()):
+            part = b.filter(pc.equal(lang.indices, code))
+            held.setdefault(name, []).append(part)
+            bytes_of[name] = bytes_of.get(name, 0) + part.nbytes
+            if bytes_of[name] >= size or sum(bytes_of.values()) >= 4 * size:
+                name = max(bytes_of, key=bytes_of.get)
+                bytes_of.pop(name)
+                yield joined(held.pop(name))
+    rest, n = [], 0
+    for name, parts in held.items():
+        rest, n = rest + parts, n + bytes_of[name]
+        if n >= size:
+            yield joined(rest)
+            rest, n = [], 0
+    if n:
+        yield joined(rest)
+
 
+def _shards(settings: Settings):
+    """One row per shard: its sequence of local word ids from 1 (0: break), its dictionary and its words by language."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
-        for rows, data, offsets in A.text_batches(merged(batches), max_bytes=settings.shard_bytes):
+        number = TaskContext.get().partitionId() << 11  # 2,048 shards of a task; 32 bits in all
+        most = number + 2048
+        for rows, data, offsets in A.text_batches(_by_language(batches, settings.shard_bytes), max_bytes=settings.shard_bytes):
             data = A.LOWER[data]
             starts, ends, bounds = words_of(data, offsets)
             if not len(starts):
@@ -160,9 +184,14 @@ def _shards(settings: Settings):
             entry = pa.StructArray.from_arrays(
                 [pa.array(np.arange(1, len(index) + 1, dtype=np.int32)), lang.dictionary.take(pa.array(code[doc[index]])), spelt,
                  pa.array(count.astype(np.int64))], names=["local", "lang", "word", "n"])
+            total = np.bincount(code[doc], minlength=len(lang.dictionary)).astype(np.int64)
+            totals = pa.StructArray.from_arrays([lang.dictionary, pa.array(total)], names=["lang", "n"])
             yield A.batch_of(shard=np.array([number]), seq=pa.array([seq.tobytes()], pa.binary()),
-                             words=pa.ListArray.from_arrays(pa.array([0, len(index)], pa.int32()), entry))
+                             words=pa.ListArray.from_arrays(pa.array([0, len(index)], pa.int32()), entry),
+                             totals=pa.ListArray.from_arrays(pa.array([0, len(totals)], pa.int32()), totals))
             number += 1
+            if number == most:
+                raise ValueError("a task has too many shards; take larger ones")
 
     return run
 
@@ -192,29 +221,39 @@ def distinct_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, code:
     return local.reshape(-1), index
 
 
+#: Rows of one output batch.
+_ROWS = 1 << 16
+
+
 def _numbers(lists: pa.ListArray, *fields: str) -> list[np.ndarray]:
     """The fields of the structs of the (only) list."""
     return [lists.flatten().field(f).to_numpy(zero_copy_only=False) for f in fields]
 
 
-def _grams(shard: int, ids: np.ndarray, found: Phrases, widest: int) -> pa.RecordBatch:
-    """Rows of phrases; ids: global word ids by local id, 0 for none."""
-    n, length = found.words.shape
-    columns = {f"w{k + 1}": ids[found.words[:, k]] if k < length else np.zeros(n, np.int64) for k in range(widest)}
-    return A.batch_of(shard=np.full(n, shard), seq=pa.nulls(n, pa.binary()), ids=pa.nulls(n, pa.list_(pa.int64())),
-                      count=found.count.astype(np.int64), left=ids[found.left], right=ids[found.right], **columns)
-
-
-def _sequence(shard: int, seq: np.ndarray, ids: np.ndarray, widest: int) -> pa.RecordBatch:
-    """The row of a shard's shortened sequence."""
-    none = pa.nulls(1, pa.int64())
-    return A.batch_of(shard=np.array([shard]), seq=pa.array([seq.astype(np.int32).tobytes()], pa.binary()),
-                      ids=pa.array([ids], pa.list_(pa.int64())), count=none, left=none, right=none,
-                      **{f"w{k + 1}": none for k in range(widest)})
-
-
-def _without_double_breaks(seq: np.ndarray) -> np.ndarray:
-    return seq[(seq > 0) | np.concatenate([[True], seq[:-1] > 0])] if len(seq) else seq
+def listed_starts(seq: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    """Whether one of the `grams` [gram, place] starts at each position."""
+    span = int(max(seq.max(initial=0), grams.max(initial=0))) + 1
+    text, gram = seq.astype(np.int64), grams[:, 0].astype(np.int64)
+    for k in range(1, grams.shape[1]):
+        key = gram * span + grams[:, k]
+        known = np.unique(key)
+        gram = np.searchsorted(known, key) + 1
+        # 0 where no listed gram begins like this.
+        here = text[:len(seq) - k] * span + seq[k:]
+        at = np.minimum(np.searchsorted(known, here), len(known) - 1)
+        text = np.where((known[at] == here) & (text[:len(seq) - k] > 0), at + 1, 0)
+    return np.concatenate([text > 0, np.zeros(len(seq) - len(text), bool)])
+
+
+def segments(seq: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """The stretches of the sequence whose phrases of `length` words begin at `starts`, with breaks between."""
+    first = np.flatnonzero(starts & ~np.concatenate([[False], starts[:-1]]))
+    last = np.flatnonzero(starts & ~np.concatenate([starts[1:], [False]]))
+    size = last - first + length + 1  # with the break
+    at = np.repeat(first, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    out = seq[np.minimum(at, len(seq) - 1)]
+    out[np.cumsum(size) - 1] = 0
+    return out
 
 
 def _one_by_one(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,44 +262,30 @@ def _one_by_one(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield b.slice(i, 1)
 
 
-def _pairs(settings: Settings):
-    """Words that are not frequent become breaks; the pairs of the rest, and the new sequence."""
-    widest = settings.max_words
-
+def _level(length: int):
+    """The phrases of `length` words of each shard, whose parts of a word less are frequent."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _one_by_one(batches):
-            shard, seq = row.column("shard")[0].as_py(), np.frombuffer(row.column("seq")[0].as_py(), np.int32)
-            local, ids = _numbers(row.column("frequent"), "local", "id")
-            new = np.zeros(max(int(seq.max(initial=0)), int(local.max(initial=0))) + 1, np.int64)
+            seq = np.frombuffer(row.column("seq")[0].as_py(), np.int32)
+            local, ids = _numbers(row.column("words"), "local", "id")
+            new = np.zeros(max(int(seq.max(initial=0)), int(local.max(initial=0))) + 1, np.int32)
             new[local] = np.arange(1, len(local) + 1)
-            seq, ids = _without_double_breaks(new[seq]), np.concatenate([[0], ids]).astype(np.int64)
-            for found in enumerate_phrases(seq, 2, 2):
-                yield _grams(shard, ids, found, widest)
-            yield _sequence(shard, seq, ids, widest)
-
-    return run
-
-
-def _longer(settings: Settings):
-    """Pairs that are not frequent become breaks; the phrases of three words and more of the rest."""
-    widest = settings.max_words
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _one_by_one(batches):
-            shard, seq = row.column("shard")[0].as_py(), np.frombuffer(row.column("seq")[0].as_py(), np.int32).astype(np.int64)
-            ids = row.column("ids")[0].values.to_numpy()
-            order = np.argsort(ids)
-            local = [order[np.searchsorted(ids, w, sorter=order)] for w in _numbers(row.column("frequent"), "w1", "w2")]
-            span = len(ids)
-            known = np.sort(local[0] * span + local[1])
-            here = seq[:-1] * span + seq[1:]
-            joined = known[np.minimum(np.searchsorted(known, here), len(known) - 1)] == here
-            # A word stays if it is in a frequent pair; between words of rare pairs stands a break.
-            stays = np.concatenate([joined, [False]]) | np.concatenate([[False], joined])
-            rare = np.flatnonzero(~joined & (seq[:-1] > 0) & (seq[1:] > 0)) + 1
-            seq = _without_double_breaks(np.insert(np.where(stays, seq, 0), rare, 0))
-            for found in enumerate_phrases(seq, 3, widest):
-                yield _grams(shard, ids, found, widest)
+            # Words that are not frequent become breaks, and so does what is in no candidate.
+            seq, ids = new[seq], np.concatenate([[0], ids]).astype(np.int64)
+            if length == 2:
+                starts = np.concatenate([(seq[:-1] > 0) & (seq[1:] > 0), [False]])
+            else:
+                order = np.argsort(ids)
+                grams = [order[np.searchsorted(ids, w, sorter=order)] for w in _numbers(row.column("parts"), *[f"w{k}" for k in range(1, length)])]
+                held = listed_starts(seq, np.stack(grams, 1))
+                starts = held & np.concatenate([held[1:], [False]])
+            shard = row.column("shard")[0].as_py()
+            for found in enumerate_phrases(segments(seq, starts, length), length, length):
+                for i in range(0, len(found.count), _ROWS):
+                    j = min(len(found.count), i + _ROWS)
+                    words = {f"w{k + 1}": ids[found.words[i:j, k]] for k in range(length)}
+                    yield A.batch_of(shard=np.full(j - i, shard), **words, count=found.count[i:j].astype(np.int64),
+                                     left=ids[found.left[i:j]], right=ids[found.right[i:j]])
 
     return run
 
@@ -274,47 +299,59 @@ def collocations(spark: SparkSession, docs: DataFrame, settings: Settings = Sett
         return spark.read.parquet(path)
 
     slots = [f"w{k + 1}" for k in range(settings.max_words)]
-    gram = "shard long, seq binary, ids array<long>, count long, left long, right long, " + ", ".join(f"{w} long" for w in slots)
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                        F.col(text_col).cast("string").alias("text"))
-    shards = written(rows.mapInArrow(_shards(settings), "shard long, seq binary, "
-                                     "words array<struct<local: int, lang: string, word: string, n: bigint>>"), "phrase-shards")
+    made = rows.mapInArrow(_shards(settings), "shard long, seq binary, words array<struct<local: int, lang: string, "
+                           "word: string, n: bigint>>, totals array<struct<lang: string, n: bigint>>")
+    # Bucketed, so that each level's join moves the lists to the shards and not the shards.
+    table = f"phrase_shards_{uuid.uuid4().hex}"
+    (made.write.option("path", scratch_path(spark, "phrase-shards")).bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "shard")
+     .saveAsTable(table))
+    shards = spark.table(table)
+    totals = written(shards.select(F.inline("totals")).groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
+
+    # A word has one row per shard. One shuffle by word gives its count and the shards that need to know;
+    # a word's id is its first place.
+    word = Window.partitionBy("lang", "word")
+    place = F.shiftleft(F.col("shard"), 31) + F.col("local")
     entries = shards.select("shard", F.inline("words"))
-    words = written(entries.groupBy("lang", "word").agg(F.sum("n").alias("f")).filter(F.col("f") >= settings.min_count)
-                    .withColumn("id", F.monotonically_increasing_id() + 1), "frequent-words")
-    totals = entries.groupBy("lang").agg(F.sum("n").alias("n"))
-
-    def with_lists(left: DataFrame, listed: DataFrame) -> DataFrame:
-        """Each shard with its list, which is bounded by the shard itself."""
-        return left.join(written(listed, "shard-lists"), "shard")
-
-    known = entries.select("shard", "local", "lang", "word").join(words.select("lang", "word", "id"), ["lang", "word"])
-    lists = known.groupBy("shard").agg(F.collect_list(F.struct("local", "id")).alias("frequent"))
-    pairs = written(with_lists(shards.select("shard", "seq"), lists).mapInArrow(_pairs(settings), gram), "phrase-pairs")
-
-    def summed(grams: DataFrame) -> DataFrame:
-        """Counts over all shards; single: the word on one side of every occurrence anywhere."""
-        def single(side: str) -> Column:
-            return (F.min(side) == F.max(side)) & (F.min(side) > 0)
-
-        return (grams.groupBy(*slots).agg(F.sum("count").alias("f"), (single("left") | single("right")).alias("extended"))
-                .filter(F.col("f") >= settings.min_count))
-
-    local = pairs.filter("count is not null")
-    two = written(summed(local), "frequent-pairs")
-    lists = (local.select("shard", "w1", "w2").join(two.select("w1", "w2"), ["w1", "w2"])
-             .groupBy("shard").agg(F.collect_list(F.struct("w1", "w2")).alias("frequent")))
-    grams = two
-    if settings.max_words > 2:
-        more = with_lists(pairs.filter("count is null").select("shard", "seq", "ids"), lists).mapInArrow(_longer(settings), gram)
-        longest = F.col(slots[-1]) > 0
-        grams = two.unionByName(summed(more))
-        # The longest phrases have no longer candidate.
-        grams = grams.withColumn("extended", F.col("extended") & ~longest)
-    else:
-        grams = grams.withColumn("extended", F.lit(False))
-    grams = written(grams, "frequent-phrases")
-    return _ranked(grams, words, totals, slots, settings, written)
+    known = written(entries.withColumns({"f": F.sum("n").over(word), "id": F.min(place).over(word)})
+                    .filter(F.col("f") >= settings.min_count)
+                    .select("shard", "local", "id", F.when(F.col("id") == place, F.col("word")).alias("word"), "lang", "f"), "frequent-words")
+    words = known.filter("word is not null").select("id", "lang", "word", "f")
+
+    def lists(rows: DataFrame, name: str, *fields: str) -> DataFrame:
+        """The rows of each shard as one list, which is bounded by the shard itself."""
+        return written(rows.groupBy("shard").agg(F.collect_list(F.struct(*fields)).alias(name)), f"shard-{name}")
+
+    def single(side: str, over: Callable[[Column], Column]) -> Column:
+        """Whether all occurrences anywhere have one word on this side."""
+        return (over(F.min(side)) == over(F.max(side))) & (over(F.min(side)) > 0)
+
+    shard_words = lists(known, "words", "local", "id")
+    zero, grams, level = F.lit(0).cast("long"), None, None
+    for length in range(2, settings.max_words + 1):
+        key = slots[:length]
+        source = shards.select("shard", "seq").join(shard_words, "shard")
+        if level is not None:
+            source = source.join(lists(level, "parts", *slots[:length - 1]), "shard")
+        local = source.mapInArrow(_level(length), f"shard long, {', '.join(f'{w} long' for w in key)}, count long, left long, right long")
+        if length < settings.max_words:
+            # As for words: one shuffle gives the counts and the shards that need to know.
+            over = lambda c, w=Window.partitionBy(*key): c.over(w)
+            level = written(local.withColumns({"f": over(F.sum("count")), "first": over(F.min("shard")),
+                                               "extended": single("left", over) | single("right", over)})
+                            .filter(F.col("f") >= settings.min_count).select("shard", *key, "f", "first", "extended"), "frequent-phrases")
+            found = level.filter("first = shard")
+        else:
+            # The longest phrases have no longer candidate.
+            found = written(local.groupBy(*key).agg(F.sum("count").alias("f")).filter(F.col("f") >= settings.min_count)
+                            .withColumn("extended", F.lit(False)), "longest-phrases")
+        found = found.select(*key, *[zero.alias(w) for w in slots[length:]], "f", "extended")
+        grams = found if grams is None else grams.unionByName(found)
+    out = _ranked(grams, words, totals, slots, settings, written)
+    spark.sql(f"DROP TABLE {table}")  # the name; the files stay in the scratch folder
+    return out
 
 
 def _ranked(grams: DataFrame, words: DataFrame, totals: DataFrame, slots: list[str], settings: Settings, written) -> DataFrame:
