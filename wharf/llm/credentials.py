@@ -32,7 +32,7 @@ STRONG = {
 LEAST = {"assign": 8, "access": 16, "hex": 32}
 WEAK = {
     "account": r"""(?:(?i:user(?:name)?|login|client_?id|account_?id))["']?\x20*[:=]\x20*["']?([A-Za-z0-9._@-]{3,})""",
-    "mixed": r"((?<![A-Za-z0-9+/])(?=[A-Za-z+/]{0,64}[0-9])[A-Za-z0-9+/]{16,})",
+    "mixed": r"((?<![A-Za-z0-9+/])(?=[A-Za-z+/]*+[0-9])[A-Za-z0-9+/]{16,})",
     "endpoint": r"((?:(?i:https?)://|(?:(?i:host|endpoint|server))\x20*[:=]\x20*)[A-Za-z0-9.-]+)",
 }
 KINDS = [*STRONG, *WEAK]

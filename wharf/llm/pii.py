@@ -7,6 +7,8 @@ logistic span classifier, which decides on the loose candidates.
 
 What the estimation needs is the number of candidates of each vote pattern: a
 table of fixed size (kinds x votes x shapes), counted over all texts by Spark.
+Candidates may have any length; the context labelers read 40 characters on each
+side of one, which bounds what they look at, not what is found.
 
 Defined cases: a null text is an empty one (no spans); repeated rows give
 repeated result rows; texts are read whole and matching is linear in their
@@ -39,8 +41,9 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _HINT = re.compile(r"[0-9@]|[\[(](?:at|AT)[\])]")
 
 _LOOSE = {
-    "email": re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} ?(?:@|[\[(](?:at|AT)[\])]) ?[A-Za-z0-9-]{1,63}"
-                        r"(?: ?(?:\.|[\[(](?:dot|DOT)[\])]) ?[A-Za-z0-9-]{2,63}){1,8}"),
+    # Runs are taken whole, whatever their length.
+    "email": re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?(?:@|[\[(](?:at|AT)[\])]) ?[A-Za-z0-9-]++"
+                        r"(?: ?(?:\.|[\[(](?:dot|DOT)[\])]) ?[A-Za-z0-9-]{2,}+)++"),
     "phone": re.compile(r"(?<![0-9A-Za-z+.-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])"),
     "card": re.compile(r"(?<![0-9A-Za-z.-])[0-9]{4}(?:[ -][0-9]{4}){3}(?![0-9A-Za-z-])"),
 }
