@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from wharf.operators import quality_state
 from wharf.operators.quality import DataQualityError, TableChecks, run_suite
 from wharf.operators.upsert import last_write_wins
-from wharf.sinks.keyed_table import CommitConflict, KeyedTable, Layout
+from wharf.sinks.commits import CommitConflict
+from wharf.sinks.keyed_table import KeyedTable, Layout
 from wharf.streaming.keyed import keyed_append_writer, run_keyed_stream
 
 SCHEMA = "a long, b string, at long, v string"

@@ -122,7 +122,7 @@ def right_join_distinct(left: DataFrame, right: DataFrame, left_keys: Sequence[s
 
 def salted_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
                 right_keys: Sequence[str], how: str = "left", buckets: int = 16,
-                hot_rows: int = 1_000_000) -> DataFrame:
+                hot_rows: int = 1_000_000, hot: Sequence[str] | None = None) -> DataFrame:
     """Equi-join that spreads hot keys of the *right* side over ``buckets`` tasks.
 
     AQE splits skewed partitions only on the side that may be split for the
@@ -139,9 +139,15 @@ def salted_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
     key list is at most ``right rows / hot_rows`` long; how it is joined is left
     to the planner. No job runs while the plan is built. Supports ``inner`` and
     ``left``.
+
+    With ``hot``, a short list of the values (as text) of a single key that are
+    hot, nothing is counted and each side is shuffled once; whether a listed key
+    is really hot, or in the right side at all, does not change the result.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
+    if hot is not None:
+        return _salted_by_list(left, right, left_keys, right_keys, how, buckets, list(hot))
     hot = (right.groupBy(*right_keys).agg(F.count(F.lit(1)).alias("_n"))
            .filter(F.col("_n") > hot_rows)
            .select(*[F.col(k).alias(f"_hot{i}") for i, k in enumerate(right_keys)])
@@ -168,3 +174,28 @@ def salted_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
     if how == "left":
         out = out.filter(~(F.col("_is_hot") & F.col("_matched").isNull()))
     return out.drop("_is_hot", "_salt", "_rsalt", "_matched")
+
+
+def _salted_by_list(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_keys: Sequence[str], how: str,
+                    buckets: int, hot: list[str]) -> DataFrame:
+    if len(left_keys) != 1:
+        raise ValueError("a list of hot keys is for a single key")
+
+    def is_hot(df: DataFrame, key: str) -> Column:
+        return F.coalesce(df[key].cast("string").isin(hot), F.lit(False))
+
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in right.columns]), F.lit(buckets))
+    # Every row has a salt; rows of other keys have 0 on both sides.
+    r = right.withColumn("_rsalt", F.when(is_hot(right, right_keys[0]), salt).otherwise(F.lit(0))).withColumn("_matched", F.lit(True))
+    copies = F.when(is_hot(left, left_keys[0]), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
+    lt = left.withColumn("_salt", F.explode(copies))
+    out = lt.join(r, key_condition(lt, r, list(left_keys), list(right_keys)) & (lt["_salt"] == r["_rsalt"]), how)
+    out = out.drop("_salt", "_rsalt")
+    if how == "left":
+        # Copies of a hot row without a partner go; where the right side has no row of a listed key, the row
+        # itself comes back. The keys found are at most as many as are listed.
+        found = F.broadcast(right.filter(is_hot(right, right_keys[0])).select(F.col(right_keys[0]).alias("_found")).distinct())
+        alone = left.filter(is_hot(left, left_keys[0])).join(found, left[left_keys[0]] == found["_found"], "left_anti")
+        out = out.filter(F.col("_matched").isNotNull() | ~is_hot(out, left_keys[0])).drop("_matched")
+        return out.unionByName(alone, allowMissingColumns=True)
+    return out.drop("_matched")

@@ -26,6 +26,8 @@ from wharf.functions import exprs as X
 from wharf.operators import quality as Q
 from wharf.operators import quality_state as QS
 from wharf.operators.aggregates import distinct_count
+from wharf.operators.hot_keys import HotKeys, join_with_hot_keys
+from wharf.operators.identity import IdentityLedger, append_with_ids, read_with_ids
 from wharf.operators.joins import broadcast_if_small
 from wharf.operators.projections import drop_fields
 from wharf.operators.surrogate import dense_ids
@@ -36,6 +38,7 @@ from wharf.plans import questions as Qs
 from wharf.plans import serving as S
 from wharf.plans import star
 from wharf.plans import star_refresh as SR
+from wharf.plans.clustered import dimension_range, read_clustered, write_clustered
 from wharf.session import scratch_path
 from wharf.sinks.keyed_table import KeyedTable, Layout
 from wharf.sinks.writers import (
@@ -48,8 +51,10 @@ from wharf.sources.files import (
     malformed, read_csv_dir, read_csv_inferred, read_delimited, read_json, read_json_recursive,
     read_table, stage,
 )
+from wharf.sources.listing import FileLedger
 from wharf.sources.tables import Tables
 from wharf.streaming.incremental import run_incremental, run_keyed_append
+from wharf.streaming.joins import close_landing, run_time_join
 from wharf.streaming.keyed import run_keyed_stream
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -367,24 +372,31 @@ def right_join_distinct(spark, sf_dir):
     )
 
 
-@register("left_join_time", """
-WITH steps AS (SELECT *, event_id // 3 AS instant FROM events),
-     readings AS (SELECT *, event_id // 2 AS instant FROM events WHERE event_id % 7 <> 0)
+_TIMES = """
+steps AS (SELECT *, event_id // 3 AS instant FROM events),
+readings AS (SELECT *, event_id // 4 * 2 AS instant FROM events)"""
+_LEFT_JOIN_TIME = _with(_TIMES) + """
 SELECT s.event_id AS serial_number, s.instant AS sensor_reading_time, s.value AS distance,
        r.event_id AS x_event, r.value AS x_value
 FROM steps s LEFT JOIN readings r ON s.instant = r.instant
-""")
-def left_join_time(spark, sf_dir):
-    """PL-7: JN-7, left join on equal time, no DISTINCT (T-14).
+"""
 
-    Three steps share an instant with up to two readings, and some instants have
-    none, so fan-out and padding occur while the output stays linear. Steps and
-    readings are all events (readings without every seventh)."""
+
+def _steps_and_readings(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """All events as steps and as readings. Three steps share an instant; even instants have four readings, odd
+    ones none, so fan-out and padding occur while the output stays linear."""
     ev = _t(spark, sf_dir).events
     steps = ev.select(F.col("event_id").alias("serial_number"), F.expr("event_id div 3").alias("sensor_reading_time"),
                       F.col("value").alias("distance"))
-    readings = ev.filter(F.col("event_id") % 7 != 0).select(
-        F.expr("event_id div 2").alias("reading_time"), F.col("event_id").alias("x_event"), F.col("value").alias("x_value"))
+    readings = ev.select(F.expr("event_id div 4 * 2").alias("reading_time"), F.col("event_id").alias("x_event"),
+                         F.col("value").alias("x_value"))
+    return steps, readings
+
+
+@register("left_join_time", _LEFT_JOIN_TIME)
+def left_join_time(spark, sf_dir):
+    """PL-7: JN-7, left join on equal time, no DISTINCT (T-14)."""
+    steps, readings = _steps_and_readings(spark, sf_dir)
     return L.machine_learning_curated(
         steps, readings, step_time="sensor_reading_time", reading_time="reading_time",
         step_cols=("serial_number", "sensor_reading_time", "distance"),
@@ -392,6 +404,41 @@ def left_join_time(spark, sf_dir):
     )
 
 
+@register("left_join_hot_keys", """
+SELECT s.event_id AS serial_number, s.event_type AS step_type, s.instant, r.n AS x_readings, r.event_id AS x_event
+FROM (SELECT *, CASE WHEN event_id % 3 = 0 THEN -1 ELSE event_id // 3 END AS instant FROM events) s
+LEFT JOIN (SELECT instant, count(*) AS n, min(event_id) AS event_id FROM (
+    SELECT *, CASE WHEN event_id % 3 = 1 THEN -2 ELSE event_id // 4 * 2 END AS instant FROM events) x GROUP BY instant) r
+ON s.instant = r.instant
+UNION ALL
+SELECT s.event_id, s.event_type, -2, NULL, r.event_id FROM (SELECT min(event_id) AS event_id, min(event_type) AS event_type FROM events) s
+JOIN events r ON r.event_id % 3 = 1
+""")
+def left_join_hot_keys(spark, sf_dir):
+    """JN-7 with hot keys on either side: a third of the steps has one time, a third of the readings another.
+
+    The hot keys come from summaries that two loads of the readings leave behind;
+    one step has the readings' hot time, so that its join is spread."""
+    ev = _t(spark, sf_dir).events
+    steps = ev.select(F.col("event_id").alias("serial_number"), F.col("event_type").alias("step_type"),
+                      F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.expr("event_id div 3")).cast("long").alias("instant"))
+    probe = ev.agg(F.min("event_id").alias("serial_number"), F.min("event_type").alias("step_type"), F.lit(-2).cast("long").alias("instant"))
+    readings = ev.select(F.when(F.col("event_id") % 3 == 1, F.lit(-2)).otherwise(F.expr("event_id div 4 * 2")).cast("long").alias("time"),
+                         F.col("event_id").alias("x_event"))
+    state = HotKeys(spark, scratch_path(spark, "hot_times"))
+    for load in (0, 1):
+        state.add(f"load-{load}", readings.filter(F.col("x_event") % 2 == load), "time")
+    n = ev.count()
+    joined = join_with_hot_keys(steps.unionAll(probe), readings, "instant", "time", state.hot(more_than=n // 10))
+    # The rows of all but the spread time are counted per step, which keeps the result linear.
+    rest = (joined.filter(F.col("instant") != -2).groupBy("serial_number", "step_type", "instant")
+            .agg(F.count("x_event").alias("n"), F.min("x_event").alias("x_event"))
+            .select("serial_number", "step_type", "instant", F.when(F.col("n") > 0, F.col("n")).alias("x_readings"), "x_event"))
+    spread = joined.filter(F.col("instant") == -2).select("serial_number", "step_type", "instant",
+                                                           F.lit(None).cast("long").alias("x_readings"), "x_event")
+    return rest.unionAll(spread)
+
+
 # ====================================================================== serving tables
 
 _LI_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
@@ -714,23 +761,26 @@ def ssb_same_dist(spark, sf_dir):
 @register("improvement_pct", """
 WITH a AS (SELECT o_orderpriority AS query,
                   CAST(SUM(CAST(o_totalprice AS DECIMAL(14,2))) AS DOUBLE) AS time_a
-           FROM orders WHERE o_orderstatus = 'F' GROUP BY o_orderpriority),
+           FROM orders GROUP BY o_orderpriority),
      b AS (SELECT o_orderpriority AS query,
-                  CAST(SUM(CAST(o_totalprice AS DECIMAL(14,2))) AS DOUBLE) AS time_b
-           FROM orders WHERE o_orderstatus = 'O' GROUP BY o_orderpriority)
+                  CAST(SUM(CAST(l_extendedprice AS DECIMAL(14,2))) AS DOUBLE) AS time_b
+           FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderpriority)
 SELECT a.query, a.time_a, b.time_b, 100.0 * (a.time_a - b.time_b) / a.time_a AS improvement
 FROM a LEFT JOIN b ON a.query = b.query
 """)
 def improvement_pct(spark, sf_dir):
-    """FN-14 + JN-10: two per-key result tables joined on the key, % change."""
-    o = _t(spark, sf_dir).orders
+    """FN-14 + JN-10: two per-key result tables joined on the key, % change.
 
-    def per_key(status: str, name: str) -> DataFrame:
-        return (o.filter(F.col("o_orderstatus") == status)
-                .groupBy(F.col("o_orderpriority").alias("query"))
-                .agg(F.sum(F.col("o_totalprice").cast("decimal(14,2)")).cast("double").alias(name)))
+    Stand-in measures: the orders' totals and the prices of their lines."""
+    t = _t(spark, sf_dir)
+    o = t.orders.select("o_orderkey", "o_orderpriority", "o_totalprice")
+    lines = t.lineitem.select("l_orderkey", "l_extendedprice").join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+
+    def per_key(df: DataFrame, column: str, name: str) -> DataFrame:
+        return (df.groupBy(F.col("o_orderpriority").alias("query"))
+                .agg(F.sum(F.col(column).cast("decimal(14,2)")).cast("double").alias(name)))
 
-    a, b = per_key("F", "time_a"), per_key("O", "time_b")
+    a, b = per_key(o, "o_totalprice", "time_a"), per_key(lines, "l_extendedprice", "time_b")
     return a.join(b, "query", "left").select(
         "query", "time_a", "time_b", X.improvement_pct("time_a", "time_b").alias("improvement"))
 
@@ -940,13 +990,15 @@ def malformed_rows(spark, sf_dir):
     return malformed(spark, path, "p_partkey bigint, p_brand string", options={"sep": ";"})
 
 
-@register("csv_inferred", "SELECT n_nationkey, n_regionkey, n_name FROM nation")
+@register("csv_inferred", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders")
 def csv_inferred(spark, sf_dir):
     """SRC-12: header and types inferred."""
-    path = scratch_path(spark, "nation_csv")
-    _t(spark, sf_dir).nation.write.option("header", True).csv(path)
+    path = scratch_path(spark, "orders_csv")
+    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+    _t(spark, sf_dir).orders.select(*columns).write.option("header", True).csv(path)
     got = read_csv_inferred(spark, path)
-    return got.select(F.col("n_nationkey").cast("long"), F.col("n_regionkey").cast("long"), "n_name")
+    # Inferred whole numbers are int or bigint by their values.
+    return got.select(*[F.col(c).cast("long") if c.endswith("key") else F.col(c) for c in columns])
 
 
 @register("table_source", "SELECT item_id, text FROM benchmark")
@@ -964,11 +1016,11 @@ def drop_fields_entry(spark, sf_dir):
     return drop_fields(part, [c for c in part.columns if c not in ("p_partkey", "p_name")])
 
 
-@register("count_and_first", "SELECT count(*) AS n, min(r_regionkey) AS first_key FROM region")
+@register("count_and_first", "SELECT count(*) AS n, min(o_orderkey) AS first_key FROM orders")
 def count_and_first(spark, sf_dir):
     """DQ-8, LIM-2: row count and first row of a sorted table."""
-    n, first = Q.verify_table(_t(spark, sf_dir).region.orderBy("r_regionkey"))
-    return spark.createDataFrame([(n, first[0]["r_regionkey"])], "n long, first_key long")
+    n, first = Q.verify_table(_t(spark, sf_dir).orders.orderBy("o_orderkey"))
+    return spark.createDataFrame([(n, first[0]["o_orderkey"])], "n long, first_key long")
 
 
 @register("table_lifecycle", """
@@ -1118,12 +1170,10 @@ def jsonpaths_stage(spark, sf_dir):
 def gzip_split_roundtrip(spark, sf_dir):
     """SRC-5: ``;``-separated gzip parts read by name prefix, one task per file.
 
-    Written with one part per write task (the scan's own split), so the
-    number of parts grows with the table and no shuffle is spent on it.
-    """
+    The rows are dealt evenly to the parts, whatever the split of the source is."""
     li = _t(spark, sf_dir).lineitem
     path = scratch_path(spark, "lineitem_gz")
-    (li.write.mode("overwrite").option("sep", ";").option("compression", "gzip")
+    (li.repartition(_parts(spark)).write.mode("overwrite").option("sep", ";").option("compression", "gzip")
      .option("timestampNTZFormat", _NTZ_FMT).csv(path))
     return read_delimited(spark, f"{path}/part*", li.schema, sep=";",
                           options={"timestampNTZFormat": _NTZ_FMT})
@@ -1345,6 +1395,121 @@ def star_v2_refresh_tables(spark, sf_dir):
     return parts[0].unionAll(parts[1]).unionAll(parts[2]).unionAll(parts[3])
 
 
+def _clustered(spark, sf_dir, **filters) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The SSB tables, and the lines of the clustered layout that may meet filters on dimensions."""
+    s = ssb_tables(_t(spark, sf_dir))
+    path, cols = scratch_path(spark, "lineorder_clustered"), ["lo_orderdate", "lo_partkey", "lo_suppkey"]
+    write_clustered(s["lineorder"], path, cols, files=4 * _parts(spark))
+    ranges = {fact_key: dimension_range(s[dim].filter(condition), key) for fact_key, (dim, key, condition) in filters.items()}
+    return s, read_clustered(spark, path, cols, ranges).rows
+
+
+@register("ssb_one_dim_clustered", ORACLE["ssb_one_dim"])
+def ssb_one_dim_clustered(spark, sf_dir):
+    """SNK-7, PL-14: oneDim on the clustered layout; the year becomes a range of order dates."""
+    s, lines = _clustered(spark, sf_dir, lo_orderdate=("dwdate", "d_datekey", F.col("d_year") == SSB_YEAR))
+    return A.ssb_one_dim(lines, s["dwdate"], SSB_YEAR, *SSB_DISCOUNT, SSB_MAX_QUANTITY)
+
+
+@register("ssb_two_dim_clustered", ORACLE["ssb_two_dim"])
+def ssb_two_dim_clustered(spark, sf_dir):
+    """SNK-7, PL-14: twoDim on the clustered layout; category and region become ranges of keys."""
+    s, lines = _clustered(spark, sf_dir, lo_partkey=("part", "p_partkey", F.col("p_category") == SSB_CATEGORY),
+                          lo_suppkey=("supplier", "s_suppkey", F.col("s_region") == SSB_REGION))
+    return A.ssb_two_dim(lines, s["dwdate"], s["part"], s["supplier"], SSB_CATEGORY, SSB_REGION)
+
+
+@register("ssb_drill_clustered", ORACLE["ssb_drill"])
+def ssb_drill_clustered(spark, sf_dir):
+    """SNK-7, PL-14: drill on the clustered layout; the month and the cities become ranges."""
+    s, lines = _clustered(spark, sf_dir, lo_orderdate=("dwdate", "d_datekey", F.col("d_yearmonth") == SSB_YEARMONTH),
+                          lo_suppkey=("supplier", "s_suppkey", F.col("s_city").isin(*SSB_CITIES)))
+    return A.ssb_drill(lines, s["dwdate"], s["customer"], s["supplier"], SSB_CITIES, SSB_YEARMONTH)
+
+
+@register("ssb_same_dist_clustered", ORACLE["ssb_same_dist"])
+def ssb_same_dist_clustered(spark, sf_dir):
+    """SNK-7, PL-14: oneDimSameDist on the clustered layout, which has no filter."""
+    s, lines = _clustered(spark, sf_dir)
+    return A.ssb_same_dist(lines, s["part"])
+
+
+@register("identity_loads", """
+SELECT p_partkey, p_name, CAST(row_number() OVER (ORDER BY p_size % 3, p_partkey) - 1 AS BIGINT) AS sk FROM part
+""")
+def identity_loads(spark, sf_dir):
+    """SNK-8 over loads: three appends, each numbered from where the last one ended; the second is repeated."""
+    part, path = _t(spark, sf_dir).part.select("p_partkey", "p_name", "p_size"), scratch_path(spark, "parts_with_ids")
+    ledger = IdentityLedger(spark, scratch_path(spark, "part_ids"))
+    for load in (0, 1, 1, 2):
+        append_with_ids(part.filter(F.col("p_size") % 3 == load), path, ledger, f"load-{load}", ["p_partkey"], col="sk")
+    return read_with_ids(spark, path).drop("p_size")
+
+
+@register("listing_ledger", """
+WITH t AS (SELECT event_type, dense_rank() OVER (ORDER BY event_type) AS k FROM events),
+     n AS (SELECT k, event_type, count(*) AS rows FROM t GROUP BY k, event_type)
+SELECT event_type, CASE WHEN k = 1 THEN 'removed' WHEN k = 2 THEN 'changed' WHEN k = 3 THEN 'new' ELSE 'same' END AS status,
+       CAST(CASE WHEN k = 2 THEN 2 * rows ELSE rows END AS BIGINT) AS rows
+FROM n
+""")
+def listing_ledger(spark, sf_dir):
+    """SRC-13, STR-1: the folders of a landing area, one removed, one replaced and one added between two listings."""
+    ev, landing = _t(spark, sf_dir).events, scratch_path(spark, "landing_files")
+    types = [r["event_type"] for r in ev.select("event_type").distinct().orderBy("event_type").collect()]
+    ledger = FileLedger(spark, scratch_path(spark, "listings"), landing, glob="*.parquet")
+
+    def put(kind: str, times: int = 1) -> None:
+        """A delivery of numbered files, which a later one of the same kind replaces."""
+        rows = ev.filter(F.col("event_type") == kind)
+        folder = f"{landing}/{kind}/delivery"
+        (rows if times == 1 else rows.unionAll(rows)).repartition(_parts(spark)).write.mode("overwrite").parquet(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+        parts = sorted(f.getPath().getName() for f in fs.listStatus(path(folder)) if f.getPath().getName().startswith("part-"))
+        for i, part in enumerate(parts):
+            fs.rename(path(folder, part), path(folder, f"rows-{i}.parquet"))
+
+    for kind in types[:2] + types[3:]:
+        put(kind)
+    ledger.take(tag="first")
+    put(types[1], times=2)
+    put(types[2])
+    gone = spark._jvm.org.apache.hadoop.fs.Path(f"{landing}/{types[0]}")
+    gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
+    found = ledger.take(tag="second")
+    kind = F.regexp_extract("path", "([^/]+)/delivery/rows-[0-9]+.parquet$", 1).alias("event_type")
+    return found.groupBy(kind, "status").agg(F.sum("rows").alias("rows"))
+
+
+@register("incremental_time_join", _LEFT_JOIN_TIME)
+def incremental_time_join(spark, sf_dir):
+    """PL-7 by increment (STR-1 × JN-7): three deliveries, a tenth of the rows one delivery late.
+
+    The watermark allows for two deliveries; after the last one both landings are closed."""
+    steps, readings = _steps_and_readings(spark, sf_dir)
+    # Instants as epoch milliseconds.
+    steps = steps.withColumn("sensor_reading_time", (F.col("sensor_reading_time") + 1) * 1000)
+    readings = readings.withColumn("reading_time", (F.col("reading_time") + 1) * 1000)
+    last = max(df.agg(F.max(c)).first()[0] or 0 for df, c in ((steps, "sensor_reading_time"), (readings, "reading_time")))
+    span = last // 3 + 1
+    sides = ((steps, "sensor_reading_time", "serial_number", scratch_path(spark, "steps")),
+             (readings, "reading_time", "x_event", scratch_path(spark, "readings")))
+    sink, ck = scratch_path(spark, "joined"), scratch_path(spark, "ck")
+    for delivery in range(4):
+        for df, time, key, path in sides:
+            late = (F.col(key) % 10 == 0).cast("int")
+            if delivery < 3:
+                df.filter(F.least(F.lit(2), F.expr(f"{time} div {span}") + late) == delivery).write.mode("append").parquet(path)
+            else:
+                close_landing(spark, path, df.schema, time, last + 3 * span)
+        run_time_join(spark, sides[0][3], steps.schema, sides[1][3], readings.schema, sink, ck,
+                      step_time="sensor_reading_time", reading_time="reading_time",
+                      step_cols=("serial_number", "sensor_reading_time", "distance"), reading_cols=("x_event", "x_value"),
+                      delay=f"{2 * span // 1000 + 1} seconds")
+    return spark.read.parquet(sink).withColumn("sensor_reading_time", F.expr("sensor_reading_time div 1000 - 1"))
+
+
 # The loads of the checks by increment: each table's time column and the bounds of its three loads.
 DQ_LOADS = {"orders": ("o_orderdate", "1994-05-01", "1996-09-01"), "lineitem": ("l_shipdate", "1994-05-01", "1996-09-01"),
             "events": ("ts", "2024-01-11", "2024-01-21")}

@@ -12,7 +12,7 @@ Layout below ``path``::
     index/_g=<generation>/                             key range and Bloom bitmaps of each file
     manifest/<generation>/                             the live files of the version that wrote it
     commits/<version>                                  a small JSON file; makes the version the current one
-    tags/<digest>                                      the version that a tagged batch became
+    names/<digest>                                     the version that a tagged batch became
 
 A row's slot says where to look for its key, so that batch and index meet in an
 equi-join. By default it is a range of the key's 64-bit hash: slots are even
@@ -29,7 +29,6 @@ Keys may have NULL parts; NULL equals NULL.
 
 from __future__ import annotations
 
-import hashlib
 import json
 import uuid
 from collections.abc import Sequence
@@ -42,19 +41,12 @@ from pyspark.sql import types as T
 
 from wharf.operators.upsert import last_write_wins
 from wharf.session import scratch_path
+from wharf.sinks.commits import CommitLog
 
 #: Bits of one bitmap of Spark's bitmap functions.
 _BITS = 32768
 
 
-def _tag_file(tag: str) -> str:
-    return f"tags/{hashlib.sha256(tag.encode()).hexdigest()}"
-
-
-class CommitConflict(RuntimeError):
-    """Another writer committed this version first."""
-
-
 @dataclass(frozen=True)
 class Layout:
     """Fixed when the table is created: slots (a power of 2), Bloom bits of a file (in bitmaps of 32,768) and hashes.
@@ -85,16 +77,17 @@ class Commit:
 
 
 class KeyedTable:
-    """One row per key at ``path``; single writer at a time (a second one gets :class:`CommitConflict`)."""
+    """One row per key at ``path``; single writer at a time (a second one gets :class:`~wharf.sinks.commits.CommitConflict`)."""
 
     def __init__(self, spark: SparkSession, path: str, key_cols: Sequence[str], schema: T.StructType,
                  layout: Layout = Layout(), check: bool = True):
         self.spark, self.path, self.keys, self.schema = spark, path.rstrip("/"), list(key_cols), schema
+        self.log = CommitLog(spark, path)
         if not self.keys:
             raise ValueError("a key has one column at least")
         if layout.slots & (layout.slots - 1):
             raise ValueError("slots must be a power of 2")
-        first = self._log(0)
+        first = self.log.entry(0)
         # The layout of an existing table stays; it decides where its rows are.
         self.layout = Layout(**first["layout"]) if first else layout
         if check and first and first["keys"] != self.keys:
@@ -107,44 +100,13 @@ class KeyedTable:
         known = probe.versions()
         if not known:
             raise ValueError(f"no table at {path}")
-        entry = probe._log(known[-1])
+        entry = probe.log.entry(known[-1])
         return cls(spark, path, entry["keys"], T.StructType.fromJson(json.loads(entry["schema"])))
 
     # --- commits ----------------------------------------------------------------------
 
-    def _fs(self, name: str):
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
-
-    def _log(self, version: int) -> dict | None:
-        fs, p = self._fs(f"commits/{version:012d}")
-        if not fs.exists(p):
-            return None
-        rows = self.spark.read.text(f"{self.path}/commits/{version:012d}", wholetext=True).collect()
-        return json.loads(rows[0]["value"])
-
     def versions(self) -> list[int]:
-        fs, p = self._fs("commits")
-        return sorted(int(s.getPath().getName()) for s in fs.listStatus(p)) if fs.exists(p) else []
-
-    def _put(self, name: str, content: str) -> None:
-        fs, p = self._fs(name)
-        out = fs.create(p, True)
-        out.write(bytearray(content.encode()))
-        out.close()
-
-    def _commit(self, commit: Commit, generation: str) -> None:
-        if commit.tag is not None:
-            # Counts only if that version is committed, and with this tag.
-            self._put(_tag_file(commit.tag), str(commit.version))
-        fs, p = self._fs(f"commits/{commit.version:012d}")
-        draft = f"drafts/{uuid.uuid4().hex}"
-        self._put(draft, json.dumps({"commit": asdict(commit), "generation": generation, "keys": self.keys,
-                                     "schema": self.schema.json(), "layout": asdict(self.layout)}))
-        fs.mkdirs(p.getParent())
-        # Complete before it gets its name.
-        if fs.exists(p) or not fs.rename(self._fs(draft)[1], p):
-            raise CommitConflict(f"version {commit.version} exists")
+        return self.log.numbers()
 
     # --- reading ----------------------------------------------------------------------
 
@@ -157,7 +119,7 @@ class KeyedTable:
         known = self.versions()
         if not known:
             return self.spark.createDataFrame([], "file string, slot long, rows long, generation string")
-        entry = self._log(known[-1] if version is None else version)
+        entry = self.log.entry(known[-1] if version is None else version)
         if entry is None:
             raise ValueError(f"no version {version}")
         return self._manifest(entry["generation"])
@@ -248,14 +210,8 @@ class KeyedTable:
 
     def _tagged(self, tag: str | None) -> Commit | None:
         """The commit of the batch with this tag, if there is one."""
-        if tag is None:
-            return None
-        fs, p = self._fs(_tag_file(tag))
-        if not fs.exists(p):
-            return None
-        version = int(self.spark.read.text(f"{self.path}/{_tag_file(tag)}").first()["value"])
-        entry = self._log(version)
-        return Commit(**entry["commit"]) if entry and entry["commit"]["tag"] == tag else None
+        entry = self.log.named(tag) if tag is not None else None
+        return Commit(**entry["commit"]) if entry else None
 
     def _publish(self, rows: DataFrame, rows_in: int, replaced: Sequence[str], read: int,
                  tag: str | None) -> Commit:
@@ -267,7 +223,7 @@ class KeyedTable:
         cols = self.schema.fieldNames()
         (rows.select(*cols).withColumn("_slot", self._slot()).hint("rebalance", "_slot")
          .sortWithinPartitions("_slot", *self.keys).write.partitionBy("_slot").parquet(f"{self.path}/data/_g={generation}"))
-        fs, p = self._fs(f"data/_g={generation}")
+        fs, p = self.log._fs(f"data/_g={generation}")
         gone = self.spark.createDataFrame([(f,) for f in replaced], "file string")
         manifest = live.join(gone, "file", "left_anti") if replaced else live
         written = any(s.isDirectory() for s in fs.listStatus(p))
@@ -280,7 +236,8 @@ class KeyedTable:
         after = self._manifest(generation).agg(F.count(F.lit(1)).alias("f"), F.coalesce(F.sum("rows"), F.lit(0)).alias("n")).first()
         commit = Commit(version, tag, rows_in, after["n"] - old_rows, files_before, read, len(replaced),
                         after["f"] - files_before + len(replaced))
-        self._commit(commit, generation)
+        self.log.add(version, {"commit": asdict(commit), "generation": generation, "keys": self.keys,
+                               "schema": self.schema.json(), "layout": asdict(self.layout)}, name=tag)
         return commit
 
     def _staged(self, batch: DataFrame) -> DataFrame:
