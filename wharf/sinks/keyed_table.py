@@ -31,8 +31,10 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
+from typing import NamedTuple
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,6 +47,14 @@ from wharf.sinks.commits import CommitLog
 
 #: Bits of one bitmap of Spark's bitmap functions.
 _BITS = 32768
+_MANIFEST = "file string, slot long, rows long, generation string"
+
+
+class _File(NamedTuple):
+    name: str
+    slot: int
+    rows: int
+    generation: str
 
 
 @dataclass(frozen=True)
@@ -111,14 +121,13 @@ class KeyedTable:
     # --- reading ----------------------------------------------------------------------
 
     def _manifest(self, generation: str) -> DataFrame:
-        return self.spark.read.schema("file string, slot long, rows long, generation string").parquet(
-            f"{self.path}/manifest/{generation}")
+        return self.spark.read.schema(_MANIFEST).parquet(f"{self.path}/manifest/{generation}")
 
     def files(self, version: int | None = None) -> DataFrame:
         """(file, slot, rows, generation) of the live files of a version (the current one)."""
         known = self.versions()
         if not known:
-            return self.spark.createDataFrame([], "file string, slot long, rows long, generation string")
+            return self.spark.createDataFrame([], _MANIFEST)
         entry = self.log.entry(known[-1] if version is None else version)
         if entry is None:
             raise ValueError(f"no version {version}")
@@ -126,7 +135,12 @@ class KeyedTable:
 
     def row_count(self) -> int:
         """Rows of the current version, from the manifest."""
-        return int(self.files().agg(F.sum("rows").alias("n")).first()["n"] or 0)
+        return sum(f.rows for f in self._live())
+
+    def _live(self) -> list[_File]:
+        """The live files. The driver holds their names, as any reader's listing does, and what an operation reads
+        of the manifest it reads once."""
+        return [_File(r["file"], r["slot"], r["rows"], r["generation"]) for r in self.files().collect()]
 
     def _rows_of(self, paths: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
         columns = list(columns or self.schema.fieldNames())
@@ -136,14 +150,14 @@ class KeyedTable:
                 .parquet(*[unquote(p) for p in paths]).select(*columns))
 
     def read(self, version: int | None = None) -> DataFrame:
-        """The rows of a version. The driver holds the names of the live files."""
+        """The rows of a version."""
         return self._rows_of([r["file"] for r in self.files(version).select("file").collect()])
 
     def lookup(self, **key) -> DataFrame:
         """The row of one key: the files of its slot whose range and Bloom filter allow it."""
         wanted = self.spark.createDataFrame([tuple(key[k] for k in self.keys)],
                                             T.StructType([self.schema[k] for k in self.keys]))
-        found = self._rows_of(self._candidates(wanted))
+        found = self._rows_of(self._candidates(wanted, self._live()))
         for k in self.keys:
             found = found.filter(F.col(k).eqNullSafe(F.lit(key[k])))
         return found
@@ -178,17 +192,15 @@ class KeyedTable:
                    .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")))
         bitmaps.join(ranges, "file").write.parquet(f"{self.path}/index/_g={generation}")
 
-    def _candidates(self, rows: DataFrame) -> list[str]:
+    def _candidates(self, rows: DataFrame, live: list[_File]) -> list[str]:
         """The live files that may hold a key of ``rows`` (a semi join through the index; file names only come back).
 
         A key meets the files of its slot, of which there are ``max_files`` and a few at most."""
-        live = self.files()
-        generations = [r["generation"] for r in live.select("generation").distinct().collect()]
-        if not generations:
+        if not live:
             return []
+        names = {f.name for f in live}
         index = (self.spark.read.option("basePath", f"{self.path}/index")
-                 .parquet(*[f"{self.path}/index/_g={g}" for g in generations])
-                 .join(live.select("file"), "file", "left_semi"))
+                 .parquet(*[f"{self.path}/index/_g={g}" for g in sorted({f.generation for f in live})]))
         key = self._key().alias("key")
         probes = rows.select(*self.keys).distinct().select(key, self._slot().alias("slot"), F.explode(self._places()).alias("place"))
         probes = probes.select("key", "slot", F.bitmap_bucket_number("place").alias("bitmap"),
@@ -197,14 +209,16 @@ class KeyedTable:
         hits = (probes.join(index, ["slot", "bitmap"]).filter((F.col("key") >= F.col("lo")) & (F.col("key") <= F.col("hi")))
                 .filter(F.call_function("getbit", byte, F.expr("bit % 8").cast("int")) == 1)
                 .groupBy("file", "key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= self.layout.hashes))
-        return [r["file"] for r in hits.select("file").distinct().collect()]
+        # The index of a generation also has files that were replaced since.
+        return [r["file"] for r in hits.select("file").distinct().collect() if r["file"] in names]
 
-    def _full_slots(self, rows: DataFrame) -> list[str]:
+    def _full_slots(self, rows: DataFrame, live: list[_File]) -> list[str]:
         """The files of slots that have too many, as far as ``rows`` has something for the slot."""
-        live = self.files()
-        full = live.groupBy("slot").count().filter(F.col("count") > self.layout.max_files).select("slot")
-        meant = rows.select(self._slot().alias("slot")).distinct()
-        return [r["file"] for r in live.join(full.join(meant, "slot"), "slot", "left_semi").select("file").collect()]
+        full = {s for s, n in Counter(f.slot for f in live).items() if n > self.layout.max_files}
+        if not full:
+            return []
+        meant = {r["slot"] for r in rows.select(self._slot().alias("slot")).distinct().collect()} & full
+        return [f.name for f in live if f.slot in meant]
 
     # --- writing ----------------------------------------------------------------------
 
@@ -213,29 +227,25 @@ class KeyedTable:
         entry = self.log.named(tag) if tag is not None else None
         return Commit(**entry["commit"]) if entry else None
 
-    def _publish(self, rows: DataFrame, rows_in: int, replaced: Sequence[str], read: int,
+    def _publish(self, rows: DataFrame, rows_in: int, live: list[_File], replaced: Sequence[str], read: int,
                  tag: str | None) -> Commit:
         """Write ``rows`` as a new generation in place of the files ``replaced``, and commit."""
         known = self.versions()
         version, generation = (known[-1] + 1 if known else 0), uuid.uuid4().hex
-        live = self.files()
-        files_before, old_rows = live.count(), self.row_count()
-        cols = self.schema.fieldNames()
-        (rows.select(*cols).withColumn("_slot", self._slot()).hint("rebalance", "_slot")
+        (rows.select(*self.schema.fieldNames()).withColumn("_slot", self._slot()).hint("rebalance", "_slot")
          .sortWithinPartitions("_slot", *self.keys).write.partitionBy("_slot").parquet(f"{self.path}/data/_g={generation}"))
         fs, p = self.log._fs(f"data/_g={generation}")
-        gone = self.spark.createDataFrame([(f,) for f in replaced], "file string")
-        manifest = live.join(gone, "file", "left_anti") if replaced else live
-        written = any(s.isDirectory() for s in fs.listStatus(p))
-        if written:
+        new: list[_File] = []
+        if any(s.isDirectory() for s in fs.listStatus(p)):
             self._write_index(generation)
-            new = (self.spark.read.parquet(f"{self.path}/index/_g={generation}")
-                   .select("file", "slot", "rows", F.lit(generation).alias("generation")).distinct())
-            manifest = manifest.unionByName(new)
-        manifest.write.parquet(f"{self.path}/manifest/{generation}")
-        after = self._manifest(generation).agg(F.count(F.lit(1)).alias("f"), F.coalesce(F.sum("rows"), F.lit(0)).alias("n")).first()
-        commit = Commit(version, tag, rows_in, after["n"] - old_rows, files_before, read, len(replaced),
-                        after["f"] - files_before + len(replaced))
+            index = self.spark.read.parquet(f"{self.path}/index/_g={generation}").select("file", "slot", "rows").distinct()
+            new = [_File(r["file"], r["slot"], r["rows"], generation) for r in index.collect()]
+        gone = set(replaced)
+        after = [f for f in live if f.name not in gone] + new
+        self.spark.createDataFrame([(f.name, f.slot, f.rows, f.generation) for f in after],
+                                   _MANIFEST).coalesce(1).write.parquet(f"{self.path}/manifest/{generation}")
+        commit = Commit(version, tag, rows_in, sum(f.rows for f in after) - sum(f.rows for f in live), len(live), read,
+                        len(gone), len(new))
         self.log.add(version, {"commit": asdict(commit), "generation": generation, "keys": self.keys,
                                "schema": self.schema.json(), "layout": asdict(self.layout)}, name=tag)
         return commit
@@ -254,11 +264,12 @@ class KeyedTable:
         if done:
             return done
         staged = self._staged(last_write_wins(batch.select(*self.schema.fieldNames()), self.keys, order_cols))
-        replaced = sorted({*self._candidates(staged), *self._full_slots(staged)})
+        live = self._live()
+        replaced = sorted({*self._candidates(staged, live), *self._full_slots(staged, live)})
         merged = staged
         if replaced:
             merged = last_write_wins(self._rows_of(replaced).unionByName(staged), self.keys, order_cols)
-        return self._publish(merged, staged.count(), replaced, len(replaced), tag)
+        return self._publish(merged, staged.count(), live, replaced, len(replaced), tag)
 
     def insert_new(self, batch: DataFrame, tag: str | None = None) -> Commit:
         """Rows whose key is not stored yet; of rows of one key the smallest. Stored rows stay as they are.
@@ -276,7 +287,8 @@ class KeyedTable:
         else:
             rows = rows.distinct()
         staged = self._staged(rows)
-        maybe, full = self._candidates(staged), self._full_slots(staged)
+        live = self._live()
+        maybe, full = self._candidates(staged, live), self._full_slots(staged, live)
         fresh = staged
         if maybe:
             held = self._rows_of(maybe, self.keys).select(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(self.keys)])
@@ -287,4 +299,4 @@ class KeyedTable:
             fresh = staged.join(held, condition, "left_anti")
         if full:
             fresh = fresh.unionByName(self._rows_of(full))
-        return self._publish(fresh, staged.count(), full, len({*maybe, *full}), tag)
+        return self._publish(fresh, staged.count(), live, full, len({*maybe, *full}), tag)
