@@ -131,7 +131,9 @@ def plain_phrases(docs, max_words, least, top):
 
 
 @pytest.mark.parametrize("settings", [phrases.Settings(min_count=3), phrases.Settings(min_count=2, shard_bytes=300, max_words=4, top=20),
-                                      phrases.Settings(min_count=5, shard_bytes=1, max_words=2), phrases.Settings()])
+                                      phrases.Settings(min_count=5, shard_bytes=1, max_words=2), phrases.Settings(),
+                                      # Cells that let everything through, and longer phrases.
+                                      phrases.Settings(min_count=2, cell_bits=10, max_words=7, shard_bytes=2000)])
 def test_phrases_equal_counting(spark, texts, settings):
     got = sorted(map(tuple, phrases.collocations(spark, frame(spark, texts), settings).collect()))
     assert got == plain_phrases(texts, settings.max_words, settings.min_count, settings.top) and got
@@ -169,6 +171,31 @@ def test_index_enumerates_every_phrase_with_its_extensions(seed):
             w: list(v) for w, v in expected.items()}
 
 
+@pytest.mark.parametrize("bits,n", [(10, 5), (10, 600), (14, 100), (14, 12_000), (20, 3)])
+def test_cells_are_summed_over_tasks(spark, monkeypatch, bits, n):
+    """Blocks of several tasks and flushes give the cells that reach the least count, as numbers or as bits."""
+    monkeypatch.setattr(phrases, "_ENTRIES", 200)
+    rng = np.random.default_rng(n)
+    total, batches = Counter(), []
+    for _ in range(3):  # three tasks
+        counter = phrases._Counter(bits, 6)
+        for _ in range(4):
+            cells = np.unique(rng.integers(0, 1 << bits, n)).astype(np.uint32)
+            counts = rng.integers(1, 9, len(cells))
+            for c, k in zip(cells.tolist(), counts.tolist()):
+                total[c] += k
+            batches += counter.add(cells, counts)
+        batches += counter.blocks()
+    rows = sorted((r for b in batches for r in b.to_pylist()), key=lambda r: r["block"])
+    import pyarrow as pa
+    merged = phrases._full_cells(bits, 6)([pa.RecordBatch.from_pylist(rows)])
+    full = phrases.FullCells(bits, [(r["block"], r["dense"], r["data"]) for b in merged for r in b.to_pylist()])
+    every = np.arange(1 << bits, dtype=np.uint32)
+    assert full.has(every).tolist() == [total[c] >= 6 for c in every.tolist()]
+    assert (full.bitmap is not None) == (32 * sum(k >= 6 for k in total.values()) > 1 << bits)
+    assert not phrases.FullCells(bits, []).has(every).any()
+
+
 # --- 13 -------------------------------------------------------------------------------
 
 

@@ -8,16 +8,21 @@ reverse transform, the forward interval follows, and both transforms tell
 whether all occurrences have the same word to the left or to the right. Counts
 and extensions are then summed across shards with DataFrame aggregates.
 
-A phrase is frequent only if its parts are. So words are counted first, and then
-phrases by length: each level indexes the stretches of a shard in which all
-phrases of a word less are frequent, so that rare phrases, which are most, are
-summed once at most. All counts are exact and cover all texts.
+Most phrases are rare, and a phrase is frequent only if its parts are. So words
+and pairs are counted twice: first by a hash into cells, as compressed blocks of
+cells, then by themselves where their cell is full. Phrases of three words are
+looked for where both pairs may be frequent, longer ones where all frequent
+phrases of three words allow it. What the cells let through is counted exactly,
+so they change the work and never the result. There are at most 2^29 cells: the
+set of full ones, which each task gets, has at most 64 MiB. A corpus of more than
+some 10^10 words fills them, and then all phrases are summed.
 
 The score of a phrase of words is the least, over its cuts into two parts, of
 floor(1000 a n / (l r)), with the counts a, l, r of phrase and parts and all n
 words of the language; the arithmetic is decimal with 38 digits. A phrase is
 dropped if one with a word more has the same count: then every occurrence of the
-phrase has that word beside it, in every shard, which is what the extensions say.
+phrase has that word beside it, in every shard, which is what the extensions say
+(by a hash; the counts confirm it).
 
 Defined cases: a null or empty text has no words; a null language is `und`;
 repeated rows count each; ties of the score are ordered by count and phrase; an
@@ -27,14 +32,13 @@ shard is a shard of its own; other columns are not read.
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -46,17 +50,22 @@ _BREAK = np.zeros(256, bool)
 _BREAK[list(b".,;:!?\n\x0b\x0c\r")] = True
 _GAP = _BREAK.copy()
 _GAP[[0x20, 0x09]] = True
+#: Rows of one output batch, and entries of cells that a task holds.
+_ROWS, _ENTRIES = 1 << 14, 1 << 20
+#: The cells are shuffled as this many blocks.
+_BLOCK_BITS = 10
 
 
 @dataclass(frozen=True)
 class Settings:
     """Phrases of 2 to `max_words` words with a count of `min_count` or more; the first `top` of each language.
-    `shard_bytes`: text of one shard."""
+    `shard_bytes`: text of one shard. `cell_bits`: at most 2^cell_bits cells, from 2^10 on."""
 
     max_words: int = 5
     min_count: int = 100
     top: int = 2000
-    shard_bytes: int = 4 << 20
+    shard_bytes: int = 1 << 20
+    cell_bits: int = 29
 
 
 class FmIndex:
@@ -100,10 +109,11 @@ class Phrases:
     right: np.ndarray
 
 
-def enumerate_phrases(seq: np.ndarray, first: int, last: int) -> Iterator[Phrases]:
+def enumerate_phrases(seq: np.ndarray, first: int, last: int, extensions: bool = True) -> Iterator[Phrases]:
     """All phrases of `first` to `last` words of a sequence of ids (0: break), by bidirectional interval extension."""
     seq = np.concatenate([[0], seq, [0]]).astype(np.int32)
-    forward, reverse = FmIndex(seq, last), FmIndex(seq[::-1], last)
+    reverse = FmIndex(seq[::-1], last)
+    forward = FmIndex(seq, last) if extensions else None
     words, size = np.unique(seq[seq > 0], return_counts=True)
     low = np.searchsorted(np.sort(seq), words)
     back = low.copy()
@@ -123,10 +133,13 @@ def enumerate_phrases(seq: np.ndarray, first: int, last: int) -> Iterator[Phrase
         # Within the pattern's interval suffixes are in order of their next word, breaks first.
         done = np.cumsum(count) - count
         inside = done - done[np.searchsorted(owner, owner)]
-        low, back = low[owner] + breaks[owner] + inside, reverse.before(symbol, back[owner])
+        low = low[owner] + breaks[owner] + inside
         words, size = np.concatenate([words[owner], symbol[:, None]], 1), count
+        if extensions or length < last:
+            back = reverse.before(symbol, back[owner])
         if length >= first:
-            yield Phrases(words, size, forward.only(low, size), reverse.only(back, size))
+            none = np.zeros(0, np.int32)
+            yield Phrases(words, size, *((forward.only(low, size), reverse.only(back, size)) if extensions else (none, none)))
 
 
 def _by_language(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -159,11 +172,14 @@ def _by_language(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.Re
         yield joined(rest)
 
 
+_SHARD = ("seq binary, spelt binary, ends binary, lang_of binary, langs array<string>, "
+          "totals array<struct<lang: string, n: bigint>>")
+
+
 def _shards(settings: Settings):
-    """One row per shard: its sequence of local word ids from 1 (0: break), its dictionary and its words by language."""
+    """One row per shard: its sequence of local word ids from 1 (0: break), the words' bytes and languages, and
+    its words by language."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 11  # 2,048 shards of a task; 32 bits in all
-        most = number + 2048
         for rows, data, offsets in A.text_batches(_by_language(batches, settings.shard_bytes), max_bytes=settings.shard_bytes):
             data = A.LOWER[data]
             starts, ends, bounds = words_of(data, offsets)
@@ -172,30 +188,27 @@ def _shards(settings: Settings):
             lang = rows.column("lang").dictionary_encode()
             code, doc = lang.indices.to_numpy(), A.segments_of(bounds)
             local, index = distinct_words(data, starts, ends, code[doc])
-            broken = np.concatenate([[0], np.cumsum(_BREAK[data])])
+            broken = np.concatenate([[0], np.cumsum(_BREAK[data], dtype=np.int32)])
             cut = (broken[starts[1:]] > broken[ends[:-1]]) | (doc[1:] != doc[:-1])
             seq = np.insert(local + 1, np.flatnonzero(cut) + 1, 0).astype(np.int32)
-            count = np.bincount(local, minlength=len(index))
-            size = ends[index] - starts[index]
-            flat = np.repeat(starts[index], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-            spelt = pa.LargeStringArray.from_buffers(
-                len(index), pa.py_buffer(np.concatenate([[0], np.cumsum(size)]).astype(np.int64).tobytes()),
-                pa.py_buffer(data[flat].tobytes())).cast(pa.string())
-            entry = pa.StructArray.from_arrays(
-                [pa.array(np.arange(1, len(index) + 1, dtype=np.int32)), lang.dictionary.take(pa.array(code[doc[index]])), spelt,
-                 pa.array(count.astype(np.int64))], names=["local", "lang", "word", "n"])
+            spelt, size = gathered(data, starts[index], ends[index] - starts[index])
             total = np.bincount(code[doc], minlength=len(lang.dictionary)).astype(np.int64)
             totals = pa.StructArray.from_arrays([lang.dictionary, pa.array(total)], names=["lang", "n"])
-            yield A.batch_of(shard=np.array([number]), seq=pa.array([seq.tobytes()], pa.binary()),
-                             words=pa.ListArray.from_arrays(pa.array([0, len(index)], pa.int32()), entry),
+            yield A.batch_of(seq=pa.array([seq.tobytes()], pa.binary()), spelt=pa.array([spelt.tobytes()], pa.binary()),
+                             ends=pa.array([np.cumsum(size).astype(np.int32).tobytes()], pa.binary()),
+                             lang_of=pa.array([code[doc[index]].astype(np.int32).tobytes()], pa.binary()),
+                             langs=pa.array([lang.dictionary.to_pylist()], pa.list_(pa.string())),
                              totals=pa.ListArray.from_arrays(pa.array([0, len(totals)], pa.int32()), totals))
-            number += 1
-            if number == most:
-                raise ValueError("a task has too many shards; take larger ones")
 
     return run
 
 
+def gathered(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of the ranges one after the other, and the sizes."""
+    at = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+    return data[at], sizes
+
+
 def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words of all pieces, and their bounds by document."""
     none = np.zeros(0, np.int64)
@@ -221,28 +234,216 @@ def distinct_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, code:
     return local.reshape(-1), index
 
 
-#: Rows of one output batch.
-_ROWS = 1 << 16
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, langs: list[str], lang_of: np.ndarray) -> np.ndarray:
+    """A hash of each word and its language."""
+    h = A.range_hashes(A.prefix_sums(A.byte_codes(data)), starts, ends)
+    of_lang = []
+    for lang in langs:
+        b = np.frombuffer(lang.encode(), np.uint8)
+        of_lang.append(A.range_hashes(A.prefix_sums(A.byte_codes(b)), np.array([0]), np.array([len(b)]))[0])
+    return A.mix(h ^ np.array(of_lang, np.uint64)[lang_of] * np.uint64(0x9E3779B97F4A7C15)) if len(h) else h
+
+
+@dataclass
+class Shard:
+    """A shard read again: the sequence, and by local word id (0: break) bytes, hashes and languages."""
+
+    seq: np.ndarray
+    spelt: np.ndarray
+    starts: np.ndarray
+    sizes: np.ndarray
+    hashes: np.ndarray
+    langs: list[str]
+    lang_of: np.ndarray
+
+    @staticmethod
+    def of(row: pa.RecordBatch) -> Shard:
+        get = lambda c, kind: np.frombuffer(row.column(c)[0].as_py(), kind)
+        spelt, ends, lang_of, langs = get("spelt", np.uint8), get("ends", np.int32).astype(np.int64), get("lang_of", np.int32), row.column("langs")[0].as_py()
+        starts = np.concatenate([[0], ends[:-1]])
+        h = np.concatenate([np.zeros(1, np.uint64), word_hashes(spelt, starts, ends, langs, lang_of)])
+        front = lambda x: np.concatenate([[0], x])
+        # The last byte is a blank, to spell phrases with.
+        return Shard(get("seq", np.int32), np.concatenate([spelt, [np.uint8(32)]]), front(starts), front(ends - starts), h, langs, front(lang_of))
+
+    def cells_at(self, length: int, bits: int) -> np.ndarray:
+        """The cell of the `length` words from each position on (of no meaning across breaks)."""
+        n = max(0, len(self.seq) - length + 1)
+        at = np.arange(n)
+        return _cell(A.range_hashes(A.prefix_sums(self.hashes[self.seq]), at, at + length), bits)
+
+    def cells_of(self, words: np.ndarray, bits: int) -> np.ndarray:
+        at = np.arange(len(words)) * words.shape[1]
+        return _cell(A.range_hashes(A.prefix_sums(self.hashes[words.reshape(-1)]), at, at + words.shape[1]), bits)
+
+    def whole(self, length: int) -> np.ndarray:
+        """Whether `length` words without a break start at each position."""
+        n = max(0, len(self.seq) - length + 1)
+        broken = np.concatenate([[0], np.cumsum(self.seq == 0)])
+        return broken[length:length + n] == broken[:n]
+
+    def spell(self, words: np.ndarray) -> pa.Array:
+        """The phrases [phrase, place] as text."""
+        n, length = words.shape
+        starts, sizes = np.full((n, 2 * length - 1), len(self.spelt) - 1), np.ones((n, 2 * length - 1), np.int64)
+        starts[:, ::2], sizes[:, ::2] = self.starts[words], self.sizes[words]
+        data, _ = gathered(self.spelt, starts.reshape(-1), sizes.reshape(-1))
+        ends = np.concatenate([[0], np.cumsum(sizes.sum(1))]).astype(np.int32)
+        return pa.StringArray.from_buffers(n, pa.py_buffer(ends.tobytes()), pa.py_buffer(data.tobytes()))
+
+
+def _cell(h: np.ndarray, bits: int) -> np.ndarray:
+    return (h >> np.uint64(64 - bits)).astype(np.uint32)
+
+
+# --- cells ------------------------------------------------------------------------------
+
+_BLOCK = "block int, cells binary, counts binary"
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """32-bit numbers byte plane by byte plane; small numbers leave planes of zeros, which compress away."""
+    return x.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _numbers(b: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(4, -1).T).view(np.uint32).reshape(-1)
+
+
+class _Counter:
+    """Counts of cells of a task, given out as blocks when there are too many."""
+
+    def __init__(self, bits: int, least: int):
+        self.bits, self.least, self.held, self.n = bits, least, [], 0
+
+    def add(self, cell: np.ndarray, count: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.held.append((cell, np.minimum(count, self.least).astype(np.uint32)))
+        self.n += len(cell)
+        if self.n > _ENTRIES:
+            cell, count = self._merged()
+            self.held, self.n = [(cell, count)], len(cell)
+            if self.n > _ENTRIES // 2:
+                yield from self.blocks()
+
+    def _merged(self) -> tuple[np.ndarray, np.ndarray]:
+        cell, count = (np.concatenate([h[k] for h in self.held]) for k in (0, 1))
+        order = np.argsort(cell)
+        cell, count = cell[order], count[order]
+        first = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else np.zeros(0, np.int64)
+        # Beyond `least` a count says no more.
+        return cell[first], np.minimum(np.add.reduceat(count, first), self.least).astype(np.uint32) if len(first) else count
+
+    def blocks(self) -> Iterator[pa.RecordBatch]:
+        if not self.held:
+            return
+        cell, count = self._merged()
+        self.held, self.n = [], 0
+        size = self.bits - _BLOCK_BITS
+        edge = np.searchsorted(cell, np.arange((1 << _BLOCK_BITS) + 1, dtype=np.uint64) << np.uint64(size))
+        found = np.flatnonzero(edge[1:] > edge[:-1])
+        parts = [(cell[edge[b]:edge[b + 1]] - np.uint32(b << size), count[edge[b]:edge[b + 1]]) for b in found.tolist()]
+        yield A.batch_of(block=found.astype(np.int32), cells=pa.array([_planes(np.diff(c, prepend=np.uint32(0))) for c, _ in parts], pa.binary()),
+                         counts=pa.array([_planes(n) for _, n in parts], pa.binary()))
+
+
+def _full_cells(bits: int, least: int):
+    """Of blocks in order: the cells whose counts reach `least`, as numbers or (from 1 in 32 on) as bits."""
+    size = 1 << bits - _BLOCK_BITS
+
+    def result(block: int, total: np.ndarray) -> pa.RecordBatch:
+        full = np.flatnonzero(total >= least).astype(np.uint32)
+        dense = 32 * len(full) > size
+        data = np.packbits(total >= least).tobytes() if dense else full.tobytes()
+        return A.batch_of(block=np.array([block], np.int32), dense=pa.array([bool(dense)]), data=pa.array([data], pa.binary()))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, total = -1, None
+        for batch in batches:
+            for b, cells, counts in zip(*(batch.column(c).to_pylist() for c in ("block", "cells", "counts"))):
+                if b != block:
+                    if total is not None:
+                        yield result(block, total)
+                    block, total = b, np.zeros(size, np.int64)
+                total[np.cumsum(_numbers(cells))] += _numbers(counts)
+        if total is not None:
+            yield result(block, total)
+
+    return run
 
 
-def _numbers(lists: pa.ListArray, *fields: str) -> list[np.ndarray]:
-    """The fields of the structs of the (only) list."""
-    return [lists.flatten().field(f).to_numpy(zero_copy_only=False) for f in fields]
+class FullCells:
+    """The full cells: sorted numbers, or bits where that is smaller (2^bits / 8 bytes at most)."""
 
+    def __init__(self, bits: int, rows: Iterable[tuple[int, bool, bytes]]):
+        size = 1 << bits - _BLOCK_BITS
+        self.bits, self.bitmap, parts, n = bits, None, [], 0
+        for block, dense, data in sorted(rows):
+            full = np.flatnonzero(np.unpackbits(np.frombuffer(data, np.uint8), count=size)) if dense else np.frombuffer(data, np.uint32)
+            n += len(full)
+            if self.bitmap is None and 32 * n > 1 << bits:
+                self.bitmap = np.zeros(1 << bits - 3, np.uint8)
+                for p in parts:
+                    self._set(p)
+            part = full.astype(np.uint32) + np.uint32(block * size)
+            parts = [*parts, part] if self.bitmap is None else self._set(part)
+        self.cells = np.concatenate(parts) if self.bitmap is None and parts else np.zeros(0, np.uint32)
 
-def listed_starts(seq: np.ndarray, grams: np.ndarray) -> np.ndarray:
-    """Whether one of the `grams` [gram, place] starts at each position."""
-    span = int(max(seq.max(initial=0), grams.max(initial=0))) + 1
-    text, gram = seq.astype(np.int64), grams[:, 0].astype(np.int64)
-    for k in range(1, grams.shape[1]):
-        key = gram * span + grams[:, k]
-        known = np.unique(key)
-        gram = np.searchsorted(known, key) + 1
-        # 0 where no listed gram begins like this.
-        here = text[:len(seq) - k] * span + seq[k:]
-        at = np.minimum(np.searchsorted(known, here), len(known) - 1)
-        text = np.where((known[at] == here) & (text[:len(seq) - k] > 0), at + 1, 0)
-    return np.concatenate([text > 0, np.zeros(len(seq) - len(text), bool)])
+    def _set(self, cells: np.ndarray) -> list:
+        np.bitwise_or.at(self.bitmap, cells >> 3, (1 << (cells & 7)).astype(np.uint8))
+        return []
+
+    def has(self, cell: np.ndarray) -> np.ndarray:
+        if self.bitmap is not None:
+            return (self.bitmap[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 > 0
+        if not len(self.cells):
+            return np.zeros(len(cell), bool)
+        return self.cells[np.minimum(np.searchsorted(self.cells, cell), len(self.cells) - 1)] == cell
+
+
+def full_cells(blocks: DataFrame, bits: int, least: int) -> FullCells:
+    """Sum the blocks of all tasks; at most 2^bits / 8 bytes and a little come to the driver."""
+    rows = (blocks.repartition("block").sortWithinPartitions("block")
+            .mapInArrow(_full_cells(bits, least), "block int, dense boolean, data binary").collect())
+    return FullCells(bits, [(r["block"], r["dense"], bytes(r["data"])) for r in rows])
+
+
+def _one_by_one(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for i in range(b.num_rows):
+            yield b.slice(i, 1)
+
+
+def _hashed_counts(bits: int, least: int):
+    """The counts of words and pairs by cell."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = _Counter(bits, least)
+        for row in _one_by_one(batches):
+            shard = Shard.of(row)
+            found = np.unique(shard.seq[shard.seq > 0], return_counts=True)
+            yield from counter.add(shard.cells_of(found[0][:, None], bits), found[1])
+            for pairs in enumerate_phrases(shard.seq, 2, 2, extensions=False):
+                yield from counter.add(shard.cells_of(pairs.words, bits), pairs.count)
+        yield from counter.blocks()
+
+    return run
+
+
+def _hashed_phrases(bits: int, least: int):
+    """The cells of phrases (as text), each full."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = _Counter(bits, least)
+        for rows, data, offsets in A.text_batches(batches, "phrase"):
+            lang = rows.column("lang").dictionary_encode()
+            starts, ends, bounds = words_of(data, offsets)
+            h = word_hashes(data, starts, ends, lang.dictionary.to_pylist(), lang.indices.to_numpy()[A.segments_of(bounds)])
+            cell = _cell(A.range_hashes(A.prefix_sums(h), bounds[:-1], bounds[1:]), bits)
+            yield from counter.add(cell, np.full(len(cell), least))
+        yield from counter.blocks()
+
+    return run
+
+
+# --- phrases ------------------------------------------------------------------------------
 
 
 def segments(seq: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
@@ -256,36 +457,40 @@ def segments(seq: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
-def _one_by_one(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for i in range(b.num_rows):
-            yield b.slice(i, 1)
+_PHRASE = "lang string, phrase string, words int, count long, left int, right int"
 
 
-def _level(length: int):
-    """The phrases of `length` words of each shard, whose parts of a word less are frequent."""
+def _phrases(lengths: range, part: int, shared):
+    """The phrases of these lengths whose parts of `part` words (of one, for words) have full cells."""
+    def rows(shard: Shard, found: Phrases) -> Iterator[pa.RecordBatch]:
+        side = lambda w: np.where(w > 0, (shard.hashes[w] >> np.uint64(33)).astype(np.int32), -1)
+        for i in range(0, len(found.count), _ROWS):
+            words = found.words[i:i + _ROWS]
+            lang = pa.DictionaryArray.from_arrays(pa.array(shard.lang_of[words[:, 0]].astype(np.int32)), pa.array(shard.langs, pa.string()))
+            yield A.batch_of(lang=lang.cast(pa.string()), phrase=shard.spell(words), words=np.full(len(words), words.shape[1], np.int32),
+                             count=found.count[i:i + _ROWS].astype(np.int64),
+                             left=side(found.left[i:i + _ROWS]).astype(np.int32), right=side(found.right[i:i + _ROWS]).astype(np.int32))
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        full = shared.value
         for row in _one_by_one(batches):
-            seq = np.frombuffer(row.column("seq")[0].as_py(), np.int32)
-            local, ids = _numbers(row.column("words"), "local", "id")
-            new = np.zeros(max(int(seq.max(initial=0)), int(local.max(initial=0))) + 1, np.int32)
-            new[local] = np.arange(1, len(local) + 1)
-            # Words that are not frequent become breaks, and so does what is in no candidate.
-            seq, ids = new[seq], np.concatenate([[0], ids]).astype(np.int64)
-            if length == 2:
-                starts = np.concatenate([(seq[:-1] > 0) & (seq[1:] > 0), [False]])
-            else:
-                order = np.argsort(ids)
-                grams = [order[np.searchsorted(ids, w, sorter=order)] for w in _numbers(row.column("parts"), *[f"w{k}" for k in range(1, length)])]
-                held = listed_starts(seq, np.stack(grams, 1))
-                starts = held & np.concatenate([held[1:], [False]])
-            shard = row.column("shard")[0].as_py()
-            for found in enumerate_phrases(segments(seq, starts, length), length, length):
-                for i in range(0, len(found.count), _ROWS):
-                    j = min(len(found.count), i + _ROWS)
-                    words = {f"w{k + 1}": ids[found.words[i:j, k]] for k in range(length)}
-                    yield A.batch_of(shard=np.full(j - i, shard), **words, count=found.count[i:j].astype(np.int64),
-                                     left=ids[found.left[i:j]], right=ids[found.right[i:j]])
+            shard = Shard.of(row)
+            if 1 in lengths:
+                word, count = np.unique(shard.seq[shard.seq > 0], return_counts=True)
+                held = full.has(shard.cells_of(word[:, None], full.bits))
+                none = np.zeros(held.sum(), np.int32)
+                yield from rows(shard, Phrases(word[held][:, None], count[held], none, none))
+            for length in lengths:
+                if length == 1:
+                    continue
+                # Every part has a full cell, and no break stands between.
+                starts, p = shard.whole(length), min(part, length)
+                held = full.has(shard.cells_at(p, full.bits))
+                for k in range(length - p + 1):
+                    starts &= held[k:k + len(starts)]
+                starts = np.concatenate([starts, np.zeros(len(shard.seq) - len(starts), bool)])
+                for found in enumerate_phrases(segments(shard.seq, starts, length), length, length):
+                    yield from rows(shard, found)
 
     return run
 
@@ -298,95 +503,68 @@ def collocations(spark: SparkSession, docs: DataFrame, settings: Settings = Sett
         frame.write.parquet(path)
         return spark.read.parquet(path)
 
-    slots = [f"w{k + 1}" for k in range(settings.max_words)]
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                        F.col(text_col).cast("string").alias("text"))
-    made = rows.mapInArrow(_shards(settings), "shard long, seq binary, words array<struct<local: int, lang: string, "
-                           "word: string, n: bigint>>, totals array<struct<lang: string, n: bigint>>")
-    # Bucketed, so that each level's join moves the lists to the shards and not the shards.
-    table = f"phrase_shards_{uuid.uuid4().hex}"
-    (made.write.option("path", scratch_path(spark, "phrase-shards")).bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "shard")
-     .saveAsTable(table))
-    shards = spark.table(table)
+    shards = written(rows.mapInArrow(_shards(settings), _SHARD), "phrase-shards")
     totals = written(shards.select(F.inline("totals")).groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
-
-    # A word has one row per shard. One shuffle by word gives its count and the shards that need to know;
-    # a word's id is its first place.
-    word = Window.partitionBy("lang", "word")
-    place = F.shiftleft(F.col("shard"), 31) + F.col("local")
-    entries = shards.select("shard", F.inline("words"))
-    known = written(entries.withColumns({"f": F.sum("n").over(word), "id": F.min(place).over(word)})
-                    .filter(F.col("f") >= settings.min_count)
-                    .select("shard", "local", "id", F.when(F.col("id") == place, F.col("word")).alias("word"), "lang", "f"), "frequent-words")
-    words = known.filter("word is not null").select("id", "lang", "word", "f")
-
-    def lists(rows: DataFrame, name: str, *fields: str) -> DataFrame:
-        """The rows of each shard as one list, which is bounded by the shard itself."""
-        return written(rows.groupBy("shard").agg(F.collect_list(F.struct(*fields)).alias(name)), f"shard-{name}")
-
-    def single(side: str, over: Callable[[Column], Column]) -> Column:
-        """Whether all occurrences anywhere have one word on this side."""
-        return (over(F.min(side)) == over(F.max(side))) & (over(F.min(side)) > 0)
-
-    shard_words = lists(known, "words", "local", "id")
-    zero, grams, level = F.lit(0).cast("long"), None, None
-    for length in range(2, settings.max_words + 1):
-        key = slots[:length]
-        source = shards.select("shard", "seq").join(shard_words, "shard")
-        if level is not None:
-            source = source.join(lists(level, "parts", *slots[:length - 1]), "shard")
-        local = source.mapInArrow(_level(length), f"shard long, {', '.join(f'{w} long' for w in key)}, count long, left long, right long")
-        if length < settings.max_words:
-            # As for words: one shuffle gives the counts and the shards that need to know.
-            over = lambda c, w=Window.partitionBy(*key): c.over(w)
-            level = written(local.withColumns({"f": over(F.sum("count")), "first": over(F.min("shard")),
-                                               "extended": single("left", over) | single("right", over)})
-                            .filter(F.col("f") >= settings.min_count).select("shard", *key, "f", "first", "extended"), "frequent-phrases")
-            found = level.filter("first = shard")
-        else:
-            # The longest phrases have no longer candidate.
-            found = written(local.groupBy(*key).agg(F.sum("count").alias("f")).filter(F.col("f") >= settings.min_count)
-                            .withColumn("extended", F.lit(False)), "longest-phrases")
-        found = found.select(*key, *[zero.alias(w) for w in slots[length:]], "f", "extended")
-        grams = found if grams is None else grams.unionByName(found)
-    out = _ranked(grams, words, totals, slots, settings, written)
-    spark.sql(f"DROP TABLE {table}")  # the name; the files stay in the scratch folder
-    return out
-
-
-def _ranked(grams: DataFrame, words: DataFrame, totals: DataFrame, slots: list[str], settings: Settings, written) -> DataFrame:
-    zero = F.lit(0).cast("long")
-    counts = grams.select(*slots, "f").unionByName(words.select(F.col("id").alias("w1"), *[zero.alias(w) for w in slots[1:]], "f"))
-    counts = written(counts.select(F.struct(*slots).alias("key"), "f"), "phrase-counts")
-    length = sum((F.col(w) > 0).cast("int") for w in slots)
-    kept = grams.filter(~F.col("extended")).select(F.struct(*slots).alias("phrase"), F.col("f").alias("a"), length.alias("words"))
-
-    def part(first: Column, stop: Column) -> Column:
-        """The key of the words from `first` (from 0) to before `stop`."""
-        all_words = F.array(*[F.col(f"phrase.{w}") for w in slots])
-        held = F.slice(all_words, first + 1, stop - first)
-        return F.struct(*[F.coalesce(F.get(held, F.lit(i)), zero).alias(w) for i, w in enumerate(slots)])
-
-    cuts = kept.select("phrase", "a", "words", F.explode(F.sequence(F.lit(1), F.col("words") - 1)).alias("cut"))
-    cuts = cuts.select("phrase", "a", "cut", part(F.lit(0), F.col("cut")).alias("l_key"), part(F.col("cut"), F.col("words")).alias("r_key"))
-    cuts = (cuts.join(counts.select(F.col("key").alias("l_key"), F.col("f").alias("l")), "l_key")
-            .join(counts.select(F.col("key").alias("r_key"), F.col("f").alias("r")), "r_key"))
-    by_id = words.select("id", "lang").join(totals, "lang")
+    n = int(totals.agg(F.sum("n").alias("n")).first()["n"] or 0)
+    bits, least = max(_BLOCK_BITS, min(settings.cell_bits, (4 * n).bit_length())), settings.min_count
+
+    def counted(lengths: range, part: int, full: FullCells) -> DataFrame:
+        """The frequent phrases of these lengths; extended: maybe all occurrences have one word on one side."""
+        shared = spark.sparkContext.broadcast(full)
+        found = shards.drop("totals").mapInArrow(_phrases(lengths, part, shared), _PHRASE)
+        single = lambda side: (F.min(side) == F.max(side)) & (F.min(side) >= 0)
+        summed = found.groupBy("lang", "phrase", "words").agg(F.sum("count").alias("f"), (single("left") | single("right")).alias("extended"))
+        with _few_at_once(spark):
+            return written(summed.filter(F.col("f") >= least), "frequent-phrases")
+
+    with _few_at_once(spark):
+        pairs = full_cells(shards.drop("totals").mapInArrow(_hashed_counts(bits, least), _BLOCK), bits, least)
+    grams = counted(range(1, min(3, settings.max_words) + 1), 2, pairs)
+    if settings.max_words > 3:
+        threes = grams.filter("words = 3").select("lang", "phrase").mapInArrow(_hashed_phrases(bits, least), _BLOCK)
+        grams = grams.unionByName(counted(range(4, settings.max_words + 1), 3, full_cells(threes, bits, least)))
+    return _ranked(grams, totals, settings, written)
+
+
+def _ranked(grams: DataFrame, totals: DataFrame, settings: Settings, written) -> DataFrame:
+    # A phrase with a longer one of the same count; only those that the extensions allow are asked for.
+    longer = grams.filter("words > 2").select("lang", "f", F.split("phrase", " ").alias("w"))
+    inner = longer.select("lang", "f", F.explode(F.array(*[F.array_join(F.slice("w", k, F.size("w") - 1), " ") for k in (1, 2)])).alias("phrase"))
+    kept = grams.filter("words > 1")
+    dropped = kept.filter("extended").select("lang", "phrase", "f").join(inner, ["lang", "phrase", "f"], "left_semi")
+    kept = kept.join(written(dropped.select("lang", "phrase"), "dropped-phrases"), ["lang", "phrase"], "left_anti")
+    counts = grams.select("lang", "phrase", "f")
+    cuts = kept.select("lang", "phrase", F.col("f").alias("a"), F.split("phrase", " ").alias("w"),
+                       F.explode(F.sequence(F.lit(1), F.col("words") - 1)).alias("cut"))
+    cuts = written(cuts.select("lang", "phrase", "a", "cut", F.array_join(F.slice("w", F.lit(1), F.col("cut")), " ").alias("first"),
+                               F.array_join(F.slice("w", F.col("cut") + 1, F.size("w")), " ").alias("rest")), "phrase-cuts")
+    for side, name in (("first", "l"), ("rest", "r")):
+        cuts = cuts.join(counts.select("lang", F.col("phrase").alias(side), F.col("f").alias(name)), ["lang", side])
     wide = lambda c: F.col(c).cast("decimal(19,0)")
-    scored = (cuts.withColumn("id", F.col("phrase.w1")).join(by_id, "id")
-              .withColumn("score", _quotient(F.lit(1000).cast("decimal(4,0)") * F.col("n").cast("decimal(15,0)") * wide("a"),
-                                             wide("l") * wide("r"))))
-    least = scored.groupBy("phrase", "lang", "n", "a").agg(F.min(F.struct("score", "cut", "l", "r")).alias("m"))
-    least = written(least.select("phrase", "lang", "n", "a", "m.score", "m.l", "m.r"), "phrase-scores")
-    spelt = (least.select("phrase", F.posexplode(F.array(*[F.col(f"phrase.{w}") for w in slots])).alias("at", "id")).filter("id > 0")
-             .join(words.select("id", "word"), "id").groupBy("phrase").agg(F.array_sort(F.collect_list(F.struct("at", "word"))).alias("x")))
-    out = least.join(spelt.select("phrase", F.array_join("x.word", " ").alias("text")), "phrase")
-    order = [F.desc("score"), F.desc("a"), F.col("text")]
+    scored = cuts.join(totals, "lang").withColumn(
+        "score", _quotient(F.lit(1000).cast("decimal(4,0)") * F.col("n").cast("decimal(15,0)") * wide("a"), wide("l") * wide("r")))
+    least = scored.groupBy("lang", "phrase", "a", "n").agg(F.min(F.struct("score", "cut", "l", "r")).alias("m"))
+    out = least.select("lang", "phrase", "a", "n", "m.score", "m.l", "m.r")
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
     # In two steps, so that the phrases of a language are not sorted by one task.
-    out = out.withColumn("salt", F.pmod(F.xxhash64("text"), F.lit(64)))
+    out = out.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(64)))
     for parts in (["lang", "salt"], ["lang"]):
         out = out.withColumn("rank", F.row_number().over(Window.partitionBy(*parts).orderBy(*order))).filter(F.col("rank") <= settings.top)
-    return out.select("lang", F.col("rank").cast("long").alias("rank"), F.col("text").alias("phrase"), "a", "l", "r", "n", "score")
+    return out.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+
+
+@contextmanager
+def _few_at_once(spark: SparkSession, rows: int = 2) -> Iterator[None]:
+    """Shards go to Python some at a time, as they are megabytes each; holds for jobs run inside."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
 def _quotient(a: Column, b: Column) -> Column:
