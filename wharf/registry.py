@@ -422,7 +422,8 @@ def left_join_hot_keys(spark, sf_dir):
     ev = _t(spark, sf_dir).events
     steps = ev.select(F.col("event_id").alias("serial_number"), F.col("event_type").alias("step_type"),
                       F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.expr("event_id div 3")).cast("long").alias("instant"))
-    probe = ev.agg(F.min("event_id").alias("serial_number"), F.min("event_type").alias("step_type"), F.lit(-2).cast("long").alias("instant"))
+    hot_time = F.when(F.col("event_id") % 3 == 1, F.lit(-2)).otherwise(F.lit(0)).cast("long")
+    probe = ev.agg(F.min("event_id").alias("serial_number"), F.min("event_type").alias("step_type"), F.min(hot_time).alias("instant"))
     readings = ev.select(F.when(F.col("event_id") % 3 == 1, F.lit(-2)).otherwise(F.expr("event_id div 4 * 2")).cast("long").alias("time"),
                          F.col("event_id").alias("x_event"))
     state = HotKeys(spark, scratch_path(spark, "hot_times"))
