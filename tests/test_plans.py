@@ -119,3 +119,12 @@ def test_plays_are_counted_before_the_dimension_joins(spark):
 def test_v1_star_stays_linear(spark):
     small, large = (E.queries()["songplay_v1"](spark, d).count() for d in (SF_SMALL, "/root/testdata/sf0.01"))
     assert large < 15 * small
+
+
+def test_buckets_grow_in_number_with_the_rows(spark, monkeypatch):
+    from wharf import registry
+
+    monkeypatch.setattr(registry, "BUCKET_ROWS", 1000)
+    fixed = registry._parts(spark)
+    assert registry._buckets(spark, spark.range(10), spark.range(0)) == fixed
+    assert registry._buckets(spark, spark.range(50_001), spark.range(7)) == 51 > fixed
