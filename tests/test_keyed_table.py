@@ -105,6 +105,28 @@ def test_full_slots_are_merged(spark, tmp):
     assert t.files().groupBy("slot").count().agg(F.max("count")).first()[0] <= 4
 
 
+def test_the_index_is_that_of_all_rows_without_sorting_them(spark, tmp):
+    t = KeyedTable(spark, tmp + "/t", ["b", "a"], frame(spark, []).schema, Layout(slots=2, bitmaps=2, hashes=3))
+    keys = [(k, f"b{k % 7}") for k in range(-3000, 3000)] + [(None, "n"), (5, None), (None, None)]
+    t.upsert(frame(spark, [(*k, 1, "x") for k in keys]), ["at"])
+    generation = t.files().first()["generation"]
+    data = (spark.read.schema(t.schema).option("basePath", t.path + "/data").parquet(f"{t.path}/data/_g={generation}"))
+    at = F.col("_metadata.file_path").alias("file")
+    key = F.struct(F.col("b").alias("k0"), F.col("a").alias("k1"))
+    ranges = data.groupBy(at).agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.count(F.lit(1)).alias("rows"),
+                                  F.first("_slot").cast("long").alias("slot"))
+    bits = (data.select(at, F.explode(t._places()).alias("place")).groupBy("file", F.bitmap_bucket_number("place").alias("bitmap"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")))
+    shown = ["file", "bitmap", F.hex("bits"), "lo", "hi", "rows", "slot"]
+    assert as_set(t._index_of(data).select(*shown)) == as_set(bits.join(ranges, "file").select(*shown))
+    # An aggregate with a binary buffer would sort a row for each bit of each key.
+    assert "bitmap_construct_agg" not in t._index_of(data)._jdf.queryExecution().toString()
+    live = t._live()
+    for k in random.Random(3).sample(keys, 5) + [(None, "n"), (5, None), (None, None)]:
+        assert as_set(t.lookup(a=k[0], b=k[1]))[0][:2] == k
+    assert t._candidates(frame(spark, [(9, "b3", 0, "")]), live) == []
+
+
 def test_empty_batches_and_empty_tables(spark, table):
     done = table.upsert(frame(spark, []), ["at"])
     assert done.files_written == 0 and table.read().count() == 0 and table.row_count() == 0

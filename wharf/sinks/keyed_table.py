@@ -184,13 +184,35 @@ class KeyedTable:
     def _write_index(self, generation: str) -> None:
         data = (self.spark.read.schema(self.schema).option("basePath", f"{self.path}/data")
                 .parquet(f"{self.path}/data/_g={generation}"))
+        self._index_of(data).write.parquet(f"{self.path}/index/_g={generation}")
+
+    def _index_of(self, data: DataFrame) -> DataFrame:
+        """(file, bitmap, bits, lo, hi, rows, slot): a row for each Bloom bitmap of a file that has a bit set."""
         at = F.col("_metadata.file_path").alias("file")
-        ranges = data.groupBy(at).agg(F.min(self._key()).alias("lo"), F.max(self._key()).alias("hi"),
-                                      F.count(F.lit(1)).alias("rows"), F.first("_slot").cast("long").alias("slot"))
-        bits = data.select(at, F.explode(self._places()).alias("place"))
-        bitmaps = (bits.groupBy("file", F.bitmap_bucket_number("place").alias("bitmap"))
-                   .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")))
-        bitmaps.join(ranges, "file").write.parquet(f"{self.path}/index/_g={generation}")
+        # Sort-based aggregates would hold the rows of a whole split; those below are hashed and have a row per file, or
+        # a row per 64 Bloom bits of a file. A file is sorted by key: its first and last rows are its range.
+        row = F.col("_metadata.row_index").alias("row")
+        sizes = data.select(at, row, "_slot").groupBy("file").agg(F.count(F.lit(1)).alias("rows"), F.max("row").alias("last"),
+                                                                   F.first("_slot").cast("long").alias("slot"))
+        ends = (data.select(at, row, self._key().alias("key")).join(F.broadcast(sizes), "file")
+                .filter((F.col("row") == 0) | (F.col("row") == F.col("last"))))
+        ranges = ends.groupBy("file", "rows", "slot").agg(F.min("key").alias("lo"), F.max("key").alias("hi"))
+        place = F.col("place")
+        # Bytes of a word are in the order of hex digits; within a byte, the lowest bit is the first.
+        bit = F.expr("shiftleft(1L, cast((7 - (place - 1) div 8 % 8) * 8 + (place - 1) % 8 as int))")
+        words = (data.select(at, F.explode(self._places()).alias("place"))
+                 .select("file", F.bitmap_bucket_number(place).alias("bitmap"),
+                         F.expr("cast(bitmap_bit_position(place) div 64 as int)").alias("word"), bit.alias("bits"))
+                 .groupBy("file", "bitmap", "word").agg(F.bit_or("bits").alias("bits")))
+        found = words.groupBy("file", "bitmap").agg(F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("words"))
+
+        def digits(entry: Column, i: Column) -> Column:
+            before = F.coalesce(F.get("words", i - 1)["word"], F.lit(-1))
+            return F.concat(F.repeat(F.lit("0" * 16), entry["word"] - before - 1), F.lpad(F.hex(entry["bits"]), 16, "0"))
+
+        bits = F.unhex(F.rpad(F.array_join(F.transform("words", digits), ""), _BITS // 4, "0"))
+        bitmaps = found.select("file", "bitmap", bits.alias("bits"))
+        return bitmaps.join(ranges, "file")
 
     def _candidates(self, rows: DataFrame, live: list[_File]) -> list[str]:
         """The live files that may hold a key of ``rows`` (a semi join through the index; file names only come back).
@@ -201,14 +223,17 @@ class KeyedTable:
         names = {f.name for f in live}
         index = (self.spark.read.option("basePath", f"{self.path}/index")
                  .parquet(*[f"{self.path}/index/_g={g}" for g in sorted({f.generation for f in live})]))
-        key = self._key().alias("key")
-        probes = rows.select(*self.keys).distinct().select(key, self._slot().alias("slot"), F.explode(self._places()).alias("place"))
-        probes = probes.select("key", "slot", F.bitmap_bucket_number("place").alias("bitmap"),
-                               F.bitmap_bit_position("place").cast("int").alias("bit"))
-        byte = F.conv(F.hex(F.substring(F.col("bits"), F.expr("bit div 8 + 1").cast("int"), F.lit(1))), 16, 10).cast("int")
-        hits = (probes.join(index, ["slot", "bitmap"]).filter((F.col("key") >= F.col("lo")) & (F.col("key") <= F.col("hi")))
-                .filter(F.call_function("getbit", byte, F.expr("bit % 8").cast("int")) == 1)
-                .groupBy("file", "key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= self.layout.hashes))
+        # One row per file, with its Bloom bits as 64-bit words: a key is tested in its own row, no row per bit is made.
+        files = index.groupBy("file", "slot", "lo", "hi").agg(F.map_from_entries(F.collect_list(F.struct("bitmap", "bits"))).alias("bits"))
+        words = F.expr(f"""flatten(transform(sequence(1L, {self.layout.bitmaps}L), b -> transform(sequence(0, {_BITS // 64 - 1}),
+            i -> coalesce(cast(conv(hex(substring(bits[b], 8 * i + 1, 8)), 16, -10) as bigint), 0L))))""")
+        files = files.select("file", "slot", "lo", "hi", words.alias("words"))
+        places = [f"place{i}" for i in range(self.layout.hashes)]
+        probes = rows.select(self._key().alias("key"), self._slot().alias("slot"), self._places().alias("places"))
+        probes = probes.select("key", "slot", *[(F.col("places")[i] - 1).alias(p) for i, p in enumerate(places)])
+        hits = probes.join(files, "slot").filter((F.col("key") >= F.col("lo")) & (F.col("key") <= F.col("hi")))
+        for p in places:
+            hits = hits.filter(f"getbit(words[cast({p} div 64 as int)], cast((7 - {p} div 8 % 8) * 8 + {p} % 8 as int)) = 1")
         # The index of a generation also has files that were replaced since.
         return [r["file"] for r in hits.select("file").distinct().collect() if r["file"] in names]
 
@@ -296,7 +321,8 @@ class KeyedTable:
             condition = same[0]
             for s in same[1:]:
                 condition = condition & s
-            fresh = staged.join(held, condition, "left_anti")
+            # Stored keys grow with the table: they meet the batch in a shuffle and are not sent through the driver.
+            fresh = staged.join(held.hint("merge"), condition, "left_anti")
         if full:
             fresh = fresh.unionByName(self._rows_of(full))
         return self._publish(fresh, staged.count(), live, full, len({*maybe, *full}), tag)
