@@ -23,6 +23,8 @@ from pyspark.sql import types as T
 from wharf.operators import quality_state
 from wharf.operators.quality import TableChecks, raise_on_failure
 from wharf.plans import star
+from wharf.session import scratch_path
+from wharf.sinks import writers
 from wharf.sinks.keyed_table import Commit, KeyedTable, Layout
 
 #: The checks of v2 as additive measures: at least one user, every song with an id.
@@ -50,7 +52,8 @@ def refresh_v2(spark: SparkSession, events: DataFrame, songs: DataFrame, out_dir
     run over all their events. Raises :class:`DataQualityError` if a check fails
     over all runs so far."""
     base = out_dir.rstrip("/")
-    fact = _with_digest(star.songplays_v2(events, songs, play_page))
+    # The fact is written once for its two tables; the catalogue grows, so it is not sent through the driver.
+    fact = writers.persist(_with_digest(star.songplays_v2(events, songs.hint("merge"), play_page)), scratch_path(spark, "run-fact"))
     tables = {
         "songplays": (fact, _FACT_KEY),
         "time": (fact.select(*_FACT_KEY, *star.time_columns("start_time")), _FACT_KEY),
