@@ -102,6 +102,30 @@ def test_components(spark):
     assert components.components(spark, spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_small_tables_are_not_cut_by_shuffle_partitions(spark, monkeypatch):
+    """What the line rules and the near-duplicate search write has a file for each task of the scan, or core, at most."""
+    rng = random.Random(8)
+    notice = " ".join(f"n{k}" for k in range(30))
+    table = [(i, prose(rng, 60) + "\n" + notice, "a") for i in range(30)]
+    table += [(100 + i, table[i % 3][1] + f"\nmore{i}", "a") for i in range(12)]
+    docs = spark.createDataFrame(table, "doc_id long, text string, source string").coalesce(2)
+    made = []
+    for module in (line_rules, near_dup, components):
+        monkeypatch.setattr(module, "scratch_path", lambda s, n, f=module.scratch_path: made.append(f(s, n)) or made[-1])
+    keys = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        kept = line_rules.quality_rules(spark, docs).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {r["n_words_left"] for r in kept if r["doc_id"] < 30} == {60}
+    files = [len(spark.read.parquet(p).inputFiles()) for p in made]
+    assert len(files) > 10 and max(files) <= spark.sparkContext.defaultParallelism, files
+
+
 def test_decontamination(spark, docs, rows, empty):
     rng = random.Random(6)
     items = [(k, prose(rng, n)) for k, n in enumerate((3, 5, 20, 60, 90))] + [(7, None), (8, ""), (9, "..."), (2, "same item again, no doubt.")]

@@ -24,15 +24,15 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return kids.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
-def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
+def components(spark: SparkSession, edges: DataFrame, tasks: int | None = None) -> DataFrame:
     """(node, root) for every node of the long pairs (a, b); root: its smallest node.
 
-    Each round is written to the shared scratch folder, which cuts lineage. Only
-    the count and a checksum of the edges come to the driver.
+    Each round is written to the shared scratch folder (by at most `tasks` tasks),
+    which cuts lineage. Only the count and a checksum of the edges come to the driver.
     """
     def written(frame: DataFrame) -> tuple[DataFrame, tuple]:
         path = scratch_path(spark, "star")
-        frame.write.parquet(path)
+        (frame.coalesce(tasks) if tasks else frame).write.parquet(path)
         frame = spark.read.parquet(path)
         h = F.xxhash64("a", "b")
         got = frame.agg(F.count(F.lit(1)), F.sum(F.shiftright(h, 20)), F.bit_xor(h)).first()

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import scratch_path, tasks_of
 from . import arrays as A
 from . import near_dup
 
@@ -150,17 +150,17 @@ def scan_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def _of_unrelated(docs: DataFrame, lines: DataFrame, long: DataFrame, least: int, text_col: str,
-                  written: Callable[[DataFrame, str], DataFrame], spark: SparkSession) -> DataFrame:
+                  written: Callable[[DataFrame, str, int], DataFrame], tasks: int, spark: SparkSession) -> DataFrame:
     """(host, hash) of the long lines that at least `least` texts hold of which no two are near copies."""
     wanted = long.select(F.col("host").alias("w_host"), F.col("hash").alias("w_hash"))
     holders = written(lines.select("host", "hash", "text_hash").distinct().join(
-        wanted, F.col("host").eqNullSafe(F.col("w_host")) & (F.col("hash") == F.col("w_hash")), "left_semi"), "long-lines")
-    held = written(holders.select("text_hash").distinct(), "long-line-texts")
+        wanted, F.col("host").eqNullSafe(F.col("w_host")) & (F.col("hash") == F.col("w_hash")), "left_semi"), "long-lines", tasks)
+    held = written(holders.select("text_hash").distinct(), "long-line-texts", tasks)
     text = F.col(text_col).cast("string")
     texts = written(docs.select(text.alias("text"), F.xxhash64(text).alias("text_hash")).join(held, "text_hash", "left_semi")
-                    .dropDuplicates(["text_hash"]), "held-texts")
+                    .dropDuplicates(["text_hash"]), "held-texts", tasks)
     groups = near_dup.near_duplicates(spark, texts.withColumnRenamed("text_hash", "id"), NEAR, id_col="id")
-    groups = written(groups.select(F.col("id").alias("text_hash"), "component_id"), "near-texts")
+    groups = written(groups.select(F.col("id").alias("text_hash"), "component_id"), "near-texts", tasks)
     return (holders.join(groups, "text_hash").select("host", "hash", "component_id").distinct().groupBy("host", "hash")
             .count().filter(F.col("count") >= least).select("host", "hash"))
 
@@ -174,20 +174,21 @@ def quality_rules(spark: SparkSession, docs: DataFrame, limits: LineLimits = Lin
     hold is one row per task. Near copies are looked for only among the texts
     that hold a long line above the limit.
     """
-    def written(frame: DataFrame, name: str) -> DataFrame:
+    def written(frame: DataFrame, name: str, tasks: int = 0) -> DataFrame:
         path = scratch_path(spark, name)
-        frame.write.parquet(path)
+        (frame.coalesce(tasks) if tasks else frame).write.parquet(path)
         return spark.read.parquet(path)
 
     scanned = written(scan_lines(docs, id_col, text_col, host_col), "line-rules")
+    tasks = tasks_of(scanned)
     lines = (scanned.select("host", "text_hash", F.explode("lines").alias("l"))
              .select("host", "text_hash", "l.hash", "l.words", "l.length"))
     repeated = written(lines.select("host", "hash", "length", "text_hash").distinct().groupBy("host", "hash", "length")
-                       .count().filter(F.col("count") >= limits.min_documents), "repeated-lines")
+                       .count().filter(F.col("count") >= limits.min_documents), "repeated-lines", tasks)
     frequent = repeated.filter(F.col("length") <= limits.short_line_words).select("host", "hash")
     long = repeated.filter(F.col("length") > limits.short_line_words).select("host", "hash")
     if not long.isEmpty():
-        frequent = frequent.unionByName(_of_unrelated(docs, lines, long, limits.min_documents, text_col, written, spark))
+        frequent = frequent.unionByName(_of_unrelated(docs, lines, long, limits.min_documents, text_col, written, tasks, spark))
     # Rows of one text and host lose the same lines, so the sums are per (host, text).
     f = frequent.select(F.col("host").alias("f_host"), F.col("hash").alias("f_hash"))
     lost = (lines.select("host", "text_hash", "hash", "words").distinct()

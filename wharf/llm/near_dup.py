@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import scratch_path, tasks_of
 from . import arrays as A
 from .components import components
 
@@ -234,52 +234,54 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, s: Settings = Settings
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
     kind = rows.schema["id"].dataType.simpleString()
 
-    def written(frame: DataFrame, name: str) -> DataFrame:
+    def written(frame: DataFrame, name: str, tasks: int = 0) -> DataFrame:
         path = scratch_path(spark, f"near-dup-{name}")
-        frame.write.parquet(path)
+        (frame.coalesce(tasks) if tasks else frame).write.parquet(path)
         return spark.read.parquet(path)
 
     signed = written(rows.mapInArrow(lambda b: _sign(b, s), f"id {kind}, text_hash long, n_shingles long, set_key long, "
                                      "set_check long, signature binary, bands array<long>"), "signed")
+    tasks = tasks_of(signed)
     # A node is a distinct set, known by two hashes and its size.
     node = F.xxhash64("set_key", "set_check", "n_shingles").alias("node")
     nodes = written(signed.filter("n_shingles > 0").groupBy(node).agg(
         F.min("id").alias("first"), F.min(F.struct("text_hash", "id")).alias("at"),
-        F.first("signature").alias("signature"), F.first("bands").alias("bands")), "nodes")
+        F.first("signature").alias("signature"), F.first("bands").alias("bands")), "nodes", tasks)
     exploded = nodes.select("node", F.explode("bands").alias("bucket"))
     # Written, so that the joins on a bucket have shuffles of their own, which adaptive execution may split.
     crowded = written(exploded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("a"))
-                      .filter("n > 1").select("bucket", "a"), "crowded")
-    buckets = written(exploded.join(crowded.select("bucket"), "bucket").select("bucket", "node"), "buckets")
+                      .filter("n > 1").select("bucket", "a"), "crowded", tasks)
+    buckets = written(exploded.join(crowded.select("bucket"), "bucket").select("bucket", "node"), "buckets", tasks)
 
     def read_sets(wanted: DataFrame) -> DataFrame:
         """(node, values) of the wanted nodes, from one text of each; repeated rows may repeat it."""
         wanted = wanted.join(nodes.select("node", "at.text_hash", F.col("at.id").alias("at_id")), "node")
         found = rows.join(wanted, (rows["text_hash"] == wanted["text_hash"]) & rows["id"].eqNullSafe(wanted["at_id"]))
         return written(found.select("node", "text").mapInArrow(lambda b: _sets(b, s.shingle), "node long, values binary")
-                       .dropDuplicates(["node"]), "sets")
+                       .dropDuplicates(["node"]), "sets", tasks)
 
     def likely(pairs: DataFrame) -> DataFrame:
         return written(_with_values(pairs, nodes, "signature").mapInArrow(
-            lambda b: _agree(b, s.least_agreement), "a long, b long"), "likely")
+            lambda b: _agree(b, s.least_agreement), "a long, b long"), "likely", tasks)
 
     def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         return written(_with_values(pairs, sets, "values").mapInArrow(
-            lambda b: _confirm(b, s.percent), "a long, b long"), "links")
+            lambda b: _confirm(b, s.percent), "a long, b long"), "links", tasks)
 
     pairs = likely(_first_pairs(buckets, crowded))
     sets = read_sets(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
     links = confirmed(pairs, sets)
-    labels = written(components(spark, links), "labels")
-    open_ = written(_open_nodes(buckets, labels), "open")
+    labels = written(components(spark, links, tasks), "labels", tasks)
+    open_ = written(_open_nodes(buckets, labels), "open", tasks)
     if not open_.isEmpty():
         sets = sets.unionByName(read_sets(open_.select("node").join(sets, "node", "left_anti")))
         found = likely(_prefix_pairs(spark, sets.join(open_, "node"), s.percent).distinct())
-        links = links.unionByName(confirmed(found, sets)).distinct()
-        labels = written(components(spark, links), "labels")
+        # The labels of the first links stand for those links.
+        more = labels.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(confirmed(found, sets))
+        labels = written(components(spark, more, tasks), "labels", tasks)
 
     root = nodes.join(labels, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
-    component = written(root.groupBy("root").agg(F.min("first").alias("component_id")), "components")
+    component = written(root.groupBy("root").agg(F.min("first").alias("component_id")), "components", tasks)
     answer = root.join(component, "root").select("node", "component_id")
     ids = signed.select("id", "n_shingles", "text_hash", F.when(F.col("n_shingles") > 0, node).alias("node"))
     out = ids.join(answer, "node", "left")
