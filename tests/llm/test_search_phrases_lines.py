@@ -5,6 +5,7 @@ import math
 import random
 import re
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -196,6 +197,40 @@ def test_cells_are_summed_over_tasks(spark, monkeypatch, bits, n):
     assert not phrases.FullCells(bits, []).has(every).any()
 
 
+@pytest.mark.parametrize("entries", [1 << 20, 60])
+def test_phrases_are_shuffled_as_summed_blocks(monkeypatch, entries):
+    """A task sums its shards into blocks, which give the plain counts and extensions."""
+    import pyarrow as pa
+    monkeypatch.setattr(phrases, "_ENTRIES", entries)
+    rng = random.Random(entries)
+    docs = [(i, " ".join(rng.choice(WORDS[:9]) for _ in range(400)), rng.choice(["en", "dé\n"])) for i in range(12)]
+    everything = SimpleNamespace(value=SimpleNamespace(bits=10, has=lambda cells: np.ones(len(cells), bool)))
+    tasks = [[pa.RecordBatch.from_pydict({"lang": [d[2]], "text": [d[1]]}) for d in docs[k::2]] for k in range(2)]
+    blocks = [list(phrases._phrases(range(1, 4), 2, everything)(phrases._shards(phrases.Settings(shard_bytes=1))(t))) for t in tasks]
+    rows = sorted((r for out in blocks for b in out for r in b.to_pylist()), key=lambda r: r["block"])
+    schema = pa.schema([("block", pa.int32()), ("n", pa.int32()), ("langs", pa.list_(pa.string())), ("data", pa.binary())])
+    got = {(r["lang"], r["phrase"]): (r["f"], r["words"], r["extended"]) for b in phrases._summed_phrases(3)([pa.RecordBatch.from_pylist(rows, schema)]) for r in b.to_pylist()}
+    counts, beside = Counter(), defaultdict(lambda: (set(), set()))
+    for _, text, lang in docs:
+        ws = [None, *text.translate(LOWER).split(" "), None]
+        for k in range(1, 4):
+            for i in range(1, len(ws) - k):
+                key = (lang, " ".join(ws[i:i + k]))
+                counts[key] += 1
+                for seen, w in zip(beside[key], (ws[i - 1], ws[i + k])):
+                    seen.add(w)
+    assert got.keys() == {p for p, f in counts.items() if f >= 3}
+    for key, (f, words, extended) in got.items():
+        assert (f, words) == (counts[key], key[1].count(" ") + 1)
+        if words > 1 and any(len(s) == 1 and None not in s for s in beside[key]):
+            assert extended
+    if entries > 60:
+        for out, k in zip(blocks, range(2)):
+            found = {(lang, " ".join(ws[i:i + n])) for _, text, lang in docs[k::2] for ws in [text.translate(LOWER).split(" ")]
+                     for n in range(1, 4) for i in range(len(ws) - n + 1)}
+            assert sum(r["n"] for b in out for r in b.to_pylist()) == len(found)
+
+
 # --- 13 -------------------------------------------------------------------------------
 
 

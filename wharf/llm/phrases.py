@@ -6,7 +6,8 @@ sequence and of its reverse, suffixes sorted by as many words as a phrase may
 have) enumerates phrases: intervals are extended to the right through the
 reverse transform, the forward interval follows, and both transforms tell
 whether all occurrences have the same word to the left or to the right. Counts
-and extensions are then summed across shards with DataFrame aggregates.
+and extensions are summed by each task over its shards, shuffled as sorted and
+compressed blocks of phrases, and summed across tasks block by block.
 
 Most phrases are rare, and a phrase is frequent only if its parts are. So words
 and pairs are counted twice: first by a hash into cells, as compressed blocks of
@@ -39,6 +40,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -338,12 +340,12 @@ class _Counter:
             return
         cell, count = self._merged()
         self.held, self.n = [], 0
-        size = self.bits - _BLOCK_BITS
+        size, packer = self.bits - _BLOCK_BITS, zstandard.ZstdCompressor(level=3)
         edge = np.searchsorted(cell, np.arange((1 << _BLOCK_BITS) + 1, dtype=np.uint64) << np.uint64(size))
         found = np.flatnonzero(edge[1:] > edge[:-1])
         parts = [(cell[edge[b]:edge[b + 1]] - np.uint32(b << size), count[edge[b]:edge[b + 1]]) for b in found.tolist()]
-        yield A.batch_of(block=found.astype(np.int32), cells=pa.array([_planes(np.diff(c, prepend=np.uint32(0))) for c, _ in parts], pa.binary()),
-                         counts=pa.array([_planes(n) for _, n in parts], pa.binary()))
+        yield A.batch_of(block=found.astype(np.int32), cells=pa.array([packer.compress(_planes(np.diff(c, prepend=np.uint32(0)))) for c, _ in parts], pa.binary()),
+                         counts=pa.array([packer.compress(_planes(n)) for _, n in parts], pa.binary()))
 
 
 def _full_cells(bits: int, least: int):
@@ -357,14 +359,14 @@ def _full_cells(bits: int, least: int):
         return A.batch_of(block=np.array([block], np.int32), dense=pa.array([bool(dense)]), data=pa.array([data], pa.binary()))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, total = -1, None
+        block, total, unpack = -1, None, zstandard.ZstdDecompressor().decompress
         for batch in batches:
             for b, cells, counts in zip(*(batch.column(c).to_pylist() for c in ("block", "cells", "counts"))):
                 if b != block:
                     if total is not None:
                         yield result(block, total)
                     block, total = b, np.zeros(size, np.int64)
-                total[np.cumsum(_numbers(cells))] += _numbers(counts)
+                total[np.cumsum(_numbers(unpack(cells)))] += _numbers(unpack(counts))
         if total is not None:
             yield result(block, total)
 
@@ -457,29 +459,87 @@ def segments(seq: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
-_PHRASE = "lang string, phrase string, words int, count long, left int, right int"
+#: Counted phrases of a task: block, languages and the packed columns of `n` phrases.
+_PACKED = "block int, n int, langs array<string>, data binary"
+_SUMMED = "lang string, phrase string, words int, f long, extended boolean"
+#: Phrases are shuffled as this many blocks, by a hash of their first two words.
+_PHRASE_BLOCK_BITS = 9
+
+
+class _Sums:
+    """Counts and single extensions (-1: none) of phrases, summed whenever they are many."""
+
+    def __init__(self):
+        self.held, self.rows, self.least_rows = [], 0, _ENTRIES // 2
+
+    def add(self, table: pa.Table) -> None:
+        self.held.append(table)
+        self.rows += table.num_rows
+        if self.rows > self.least_rows:
+            self.held = [self.summed()]
+            self.rows = self.held[0].num_rows
+            self.least_rows = max(_ENTRIES // 2, 2 * self.rows)
+
+    def summed(self) -> pa.Table:
+        if len(self.held) == 1:
+            return self.held[0]
+        table = pa.concat_tables(self.held)
+        self.held = []
+        keys = ["block", "lang", "phrase"]
+        sums = table.group_by(keys, use_threads=False).aggregate(
+            [("count", "sum"), *((side, kind) for side in ("left", "right") for kind in ("min", "max"))])
+        one = lambda side: pc.if_else(pc.equal(sums[f"{side}_min"], sums[f"{side}_max"]), sums[f"{side}_min"], pa.scalar(-1, pa.int8()))
+        return pa.table({**{k: sums[k] for k in keys}, "count": sums["count_sum"], "left": one("left"), "right": one("right")})
+
+
+def _pack(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Sorted blocks of phrases; neighbours are alike, so that they compress well."""
+    table = table.sort_by([("block", "ascending"), ("lang", "ascending"), ("phrase", "ascending")]).combine_chunks()
+    if not table.num_rows:
+        return
+    packer = zstandard.ZstdCompressor(level=3)
+    block = table["block"].to_numpy()
+    edges = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1], [True]]))
+    for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        part = table.slice(lo, hi - lo)
+        phrase, lang = part["phrase"].combine_chunks(), part["lang"].combine_chunks().dictionary_encode()
+        text = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, hi - lo], pa.int32()), phrase), "")[0].as_buffer()
+        data = b"".join([_planes(lang.indices.to_numpy()), _planes(pc.binary_length(phrase).to_numpy()),
+                         *(_planes(part["count"].to_numpy() >> k & 0xFFFFFFFF) for k in (0, 32)),
+                         part["left"].to_numpy().tobytes(), part["right"].to_numpy().tobytes(), text])
+        yield A.batch_of(block=np.array([block[lo]], np.int32), n=np.array([hi - lo], np.int32),
+                         langs=pa.array([lang.dictionary.to_pylist()], pa.list_(pa.string())),
+                         data=pa.array([packer.compress(data)], pa.binary()))
+
+
+def _unpack(block: int, n: int, langs: list[str], data: bytes) -> pa.Table:
+    data = zstandard.ZstdDecompressor().decompress(data)
+    code, size, low, high = (_numbers(data[k * 4 * n:(k + 1) * 4 * n]) for k in range(4))
+    left, right = (np.frombuffer(data, np.int8, n, (16 + k) * n) for k in range(2))
+    ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+    return pa.table({"block": np.full(n, block, np.int32), "lang": pa.array(langs, pa.string()).take(pa.array(code)),
+                     "phrase": pa.StringArray.from_buffers(n, pa.py_buffer(ends.tobytes()), pa.py_buffer(data[18 * n:])),
+                     "count": low.astype(np.int64) | high.astype(np.int64) << 32, "left": left, "right": right})
 
 
 def _phrases(lengths: range, part: int, shared):
-    """The phrases of these lengths whose parts of `part` words (of one, for words) have full cells."""
-    def rows(shard: Shard, found: Phrases) -> Iterator[pa.RecordBatch]:
-        side = lambda w: np.where(w > 0, (shard.hashes[w] >> np.uint64(33)).astype(np.int32), -1)
-        for i in range(0, len(found.count), _ROWS):
-            words = found.words[i:i + _ROWS]
-            lang = pa.DictionaryArray.from_arrays(pa.array(shard.lang_of[words[:, 0]].astype(np.int32)), pa.array(shard.langs, pa.string()))
-            yield A.batch_of(lang=lang.cast(pa.string()), phrase=shard.spell(words), words=np.full(len(words), words.shape[1], np.int32),
-                             count=found.count[i:i + _ROWS].astype(np.int64),
-                             left=side(found.left[i:i + _ROWS]).astype(np.int32), right=side(found.right[i:i + _ROWS]).astype(np.int32))
+    """Blocks of the phrases of these lengths whose parts of `part` words (of one, for words) have full cells."""
+    def rows(shard: Shard, found: Phrases) -> pa.Table:
+        side = lambda w: np.where(w > 0, (shard.hashes[w] >> np.uint64(57)).astype(np.int8), -1).astype(np.int8)
+        lang = pa.DictionaryArray.from_arrays(pa.array(shard.lang_of[found.words[:, 0]].astype(np.int32)), pa.array(shard.langs, pa.string()))
+        return pa.table({"block": shard.cells_of(found.words[:, :2], _PHRASE_BLOCK_BITS).astype(np.int32), "lang": lang.cast(pa.string()),
+                         "phrase": shard.spell(found.words), "count": found.count.astype(np.int64),
+                         "left": side(found.left), "right": side(found.right)})
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        full = shared.value
+        full, sums = shared.value, _Sums()
         for row in _one_by_one(batches):
             shard = Shard.of(row)
             if 1 in lengths:
                 word, count = np.unique(shard.seq[shard.seq > 0], return_counts=True)
                 held = full.has(shard.cells_of(word[:, None], full.bits))
                 none = np.zeros(held.sum(), np.int32)
-                yield from rows(shard, Phrases(word[held][:, None], count[held], none, none))
+                sums.add(rows(shard, Phrases(word[held][:, None], count[held], none, none)))
             for length in lengths:
                 if length == 1:
                     continue
@@ -490,7 +550,37 @@ def _phrases(lengths: range, part: int, shared):
                     starts &= held[k:k + len(starts)]
                 starts = np.concatenate([starts, np.zeros(len(shard.seq) - len(starts), bool)])
                 for found in enumerate_phrases(segments(shard.seq, starts, length), length, length):
-                    yield from rows(shard, found)
+                    sums.add(rows(shard, found))
+            if sums.rows > _ENTRIES // 2:
+                yield from _pack(sums.summed())
+                sums = _Sums()
+        if sums.held:
+            yield from _pack(sums.summed())
+
+    return run
+
+
+def _summed_phrases(least: int):
+    """Of blocks in order: the phrases with a count of `least` or more."""
+    def result(sums: _Sums) -> Iterator[pa.RecordBatch]:
+        table = sums.summed()
+        table = table.filter(pc.greater_equal(table["count"], least)).combine_chunks()
+        for b in table.to_batches(max_chunksize=_ROWS):
+            left, right = (pc.greater_equal(b.column(side), 0) for side in ("left", "right"))
+            yield A.batch_of(lang=b.column("lang"), phrase=b.column("phrase"), f=b.column("count"), extended=pc.or_(left, right),
+                             words=pc.add(pc.count_substring(b.column("phrase"), " "), pa.scalar(1, pa.int32()))).select(["lang", "phrase", "words", "f", "extended"])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, sums = -1, None
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("block", "n", "langs", "data"))):
+                if row[0] != block:
+                    if sums is not None:
+                        yield from result(sums)
+                    block, sums = row[0], _Sums()
+                sums.add(_unpack(*row))
+        if sums is not None:
+            yield from result(sums)
 
     return run
 
@@ -500,7 +590,7 @@ def collocations(spark: SparkSession, docs: DataFrame, settings: Settings = Sett
     """(lang, rank, phrase, a, l, r, n, score) of the first `top` phrases of every language."""
     def written(frame: DataFrame, name: str) -> DataFrame:
         path = scratch_path(spark, name)
-        frame.write.parquet(path)
+        frame.write.option("compression", "zstd").parquet(path)
         return spark.read.parquet(path)
 
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
@@ -513,11 +603,10 @@ def collocations(spark: SparkSession, docs: DataFrame, settings: Settings = Sett
     def counted(lengths: range, part: int, full: FullCells) -> DataFrame:
         """The frequent phrases of these lengths; extended: maybe all occurrences have one word on one side."""
         shared = spark.sparkContext.broadcast(full)
-        found = shards.drop("totals").mapInArrow(_phrases(lengths, part, shared), _PHRASE)
-        single = lambda side: (F.min(side) == F.max(side)) & (F.min(side) >= 0)
-        summed = found.groupBy("lang", "phrase", "words").agg(F.sum("count").alias("f"), (single("left") | single("right")).alias("extended"))
+        found = shards.drop("totals").mapInArrow(_phrases(lengths, part, shared), _PACKED)
+        summed = found.repartition("block").sortWithinPartitions("block").mapInArrow(_summed_phrases(least), _SUMMED)
         with _few_at_once(spark):
-            return written(summed.filter(F.col("f") >= least), "frequent-phrases")
+            return written(summed, "frequent-phrases")
 
     with _few_at_once(spark):
         pairs = full_cells(shards.drop("totals").mapInArrow(_hashed_counts(bits, least), _BLOCK), bits, least)
