@@ -220,6 +220,38 @@ def test_repeated_strings(spark, docs, rows, empty, length, span):
     assert suffix_dedup.remove_repeats(spark, empty).count() == 0
 
 
+def test_repeated_strings_of_planted_passages(spark, rows):
+    """Whole texts in shuffled rows over 211 partitions; passages of over 50 words go from 400 bytes on, shorter ones stay."""
+    rng, planted = random.Random(11), {}
+    table = [(i, t) for i, (_, t) in enumerate(rows)]
+    for n_words in [*range(51, 60)] * 2 + [*range(95, 125, 3)]:
+        passage = prose(rng, n_words)
+        size = len(passage.encode())
+        if 380 < size < 400:  # text around it may be alike by chance
+            continue
+        for _ in range(2):
+            planted[len(table)] = size
+            table.append((len(table), " ".join([prose(rng, rng.randint(40, 90)), passage, prose(rng, rng.randint(40, 90))])))
+    want = {i: w for (i, _), w in zip(table, brute.without_repeats([t for _, t in table], 400))}
+    rng.shuffle(table)
+    ship_package(spark)
+    conf = {"spark.sql.shuffle.partitions": "211", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = suffix_dedup.remove_repeats(spark, spark.createDataFrame(table, "doc_id long, text string").repartition(7), with_text=False)
+        got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in out.collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == want
+    long = [i for i, size in planted.items() if size >= 400]
+    assert 10 < len(long) < len(planted) - 10
+    assert all(got[i][1] >= planted[i] for i in long)
+    assert all(got[i][1] == 0 for i in planted if i not in long)
+
+
 def test_line_rules(spark, docs, rows, empty):
     out = line_rules.quality_rules(spark, docs)
     value = lambda r: (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"], r["base_failed"])
