@@ -43,7 +43,7 @@ _HINT = re.compile(r"[0-9@]|[\[(](?:at|AT)[\])]")
 _LOOSE = {
     # Runs are taken whole, whatever their length.
     "email": re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?(?:@|[\[(](?:at|AT)[\])]) ?[A-Za-z0-9-]++"
-                        r"(?: ?(?:\.|[\[(](?:dot|DOT)[\])]) ?[A-Za-z0-9-]{2,}+)++"),
+                        r"(?:(?: ?(?:\.|[\[(](?:dot|DOT)[\])]) ?| (?:dot|DOT) )[A-Za-z0-9-]{2,}+)++"),
     "phone": re.compile(r"(?<![0-9A-Za-z+.-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])"),
     "card": re.compile(r"(?<![0-9A-Za-z.-])[0-9]{4}(?:[ -][0-9]{4}){3}(?![0-9A-Za-z-])"),
 }
