@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_CHECK, SF_SMALL
 from tests.llm import brute
 from wharf.llm import decontaminate
 from wharf.llm.queries import QUERIES
@@ -17,16 +17,28 @@ from wharf.session import ship_package
 
 def test_every_query_is_registered():
     assert set(QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 14)]
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n != "op2_decontaminate"])
+#: Queries whose rows are no documents: benchmark hits, ranks of an item, phrases of a language.
+OTHER_ROWS = {"op2_decontaminate", "op11_ranked_search", "op12_phrases"}
+
+
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in OTHER_ROWS])
 def test_query_returns_every_document_once(spark, name):
     out = QUERIES[name](spark, SF_SMALL)
     ids = Counter(r["doc_id"] for r in out.select("doc_id").collect())
     assert ids == Counter(r["doc_id"] for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id").collect())
 
 
+@pytest.mark.parametrize("name, key, top", [("op11_ranked_search", "item_id", 50), ("op12_phrases", "lang", 2000)])
+def test_query_returns_ranks_without_gaps(spark, name, key, top):
+    ranks = {}
+    for r in QUERIES[name](spark, SF_CHECK).select(key, "rank").collect():
+        ranks.setdefault(r[key], []).append(r["rank"])
+    assert ranks and all(sorted(v) == list(range(1, len(v) + 1)) and len(v) <= top for v in ranks.values())
+
+
 def test_pipeline_stages(spark):
     ship_package(spark)
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
